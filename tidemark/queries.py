@@ -1,2 +1,240 @@
-QUERIES = {}
-ORACLE_SQL = {}
+"""Queries over the given tables, one per operator, each with the SQL that must give the same rows."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .operators import cdc, dq, graph, ir, text
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Current orders are those not open; the load brings those not of low priority, and closes pending ones.
+_CUR = "cur AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'O')"
+_STG = "stg AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END AS o_orderstatus, o_orderpriority FROM orders WHERE o_orderpriority <> '5-LOW')"
+
+
+def order_load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    load = o.where("o_orderpriority <> '5-LOW'").withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "P", "F").otherwise(F.col("o_orderstatus")))
+    return o.where("o_orderstatus <> 'O'"), load
+
+
+@query(f"""WITH {_CUR}, {_STG} SELECT o_orderkey, CASE WHEN c.o_orderkey IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS action
+    FROM stg s LEFT JOIN cur c USING (o_orderkey) WHERE c.o_orderkey IS NULL OR c.o_orderstatus <> s.o_orderstatus""")
+def cdc_merge_keyed(spark, sf_dir):
+    return cdc.merge_keyed(*order_load(spark, sf_dir), "o_orderkey", ["o_orderstatus"])[1]
+
+
+@query(f"""WITH {_CUR}, {_STG} SELECT * FROM stg UNION ALL SELECT * FROM cur WHERE o_orderkey NOT IN (SELECT o_orderkey FROM stg)""")
+def cdc_upsert(spark, sf_dir):
+    return cdc.upsert(*order_load(spark, sf_dir), "o_orderkey")
+
+
+_LINES = "cur AS (SELECT DISTINCT l_orderkey, l_partkey, l_returnflag FROM lineitem WHERE l_linestatus = 'F'), stg AS (SELECT DISTINCT l_orderkey, l_partkey, l_returnflag FROM lineitem WHERE l_quantity > 25)"
+_DIFF = """ins AS (SELECT *, 'INSERT' AS action FROM stg s WHERE NOT EXISTS (SELECT 1 FROM cur c WHERE c.l_orderkey = s.l_orderkey AND c.l_partkey = s.l_partkey AND c.l_returnflag = s.l_returnflag)),
+    del AS (SELECT *, 'DELETE' AS action FROM cur c WHERE l_orderkey IN (SELECT l_orderkey FROM stg) AND NOT EXISTS (SELECT 1 FROM stg s WHERE c.l_orderkey = s.l_orderkey AND c.l_partkey = s.l_partkey AND c.l_returnflag = s.l_returnflag))"""
+
+
+def line_load(spark, sf_dir):
+    x = t(spark, sf_dir, "lineitem")
+    cols = ["l_orderkey", "l_partkey", "l_returnflag"]
+    return x.where("l_linestatus = 'F'").select(cols).distinct(), x.where("l_quantity > 25").select(cols).distinct(), cols
+
+
+@query(f"WITH {_LINES}, {_DIFF} SELECT * FROM ins UNION ALL SELECT * FROM del")
+def cdc_merge_identity(spark, sf_dir):
+    cur, stg, cols = line_load(spark, sf_dir)
+    return cdc.merge_identity(cur, stg, cols, ["l_orderkey"])[1]
+
+
+@query(f"WITH {_LINES}, {_DIFF} SELECT * FROM ins UNION ALL SELECT * FROM del")
+def cdc_merge_composite(spark, sf_dir):
+    cur, stg, cols = line_load(spark, sf_dir)
+    return cdc.merge_composite(cur, stg, cols, ["l_orderkey"])[1]
+
+
+@query(f"WITH {_LINES}, {_DIFF} SELECT l_orderkey, l_partkey, l_returnflag FROM ins UNION ALL SELECT * FROM cur c WHERE NOT EXISTS (SELECT 1 FROM del d WHERE c.l_orderkey = d.l_orderkey AND c.l_partkey = d.l_partkey AND c.l_returnflag = d.l_returnflag)")
+def cdc_apply_diff(spark, sf_dir):
+    cur, stg, cols = line_load(spark, sf_dir)
+    return cdc.apply_diff(cur, cdc.merge_identity(cur, stg, cols, ["l_orderkey"])[1], cols)
+
+
+@query("SELECT l_orderkey, l_partkey, l_linenumber, l_quantity FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS n FROM lineitem) WHERE n = 1")
+def cdc_stage(spark, sf_dir):
+    return cdc.stage(t(spark, sf_dir, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]).select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+
+
+@query("SELECT c_custkey, sha256(concat_ws('|', coalesce(c_name, '∅'), coalesce(CAST(c_nationkey AS VARCHAR), '∅'), coalesce(c_mktsegment, '∅'))) AS row_hash FROM customer")
+def cdc_identity_hash(spark, sf_dir):
+    return t(spark, sf_dir, "customer").select("c_custkey", cdc.identity_hash(["c_name", "c_nationkey", "c_mktsegment"]).alias("row_hash"))
+
+
+@query("SELECT DISTINCT k FROM (SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'P' UNION ALL SELECT c_custkey FROM customer WHERE c_acctbal < 0)")
+def cdc_changed_keys(spark, sf_dir):
+    a = t(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("k"))
+    return cdc.changed_keys([a, t(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("k"))], "k")
+
+
+@query("SELECT c_nationkey, array_to_string(list_sort(list(DISTINCT CAST(c_custkey AS VARCHAR))), ',') AS ids FROM customer WHERE c_nationkey IS NOT NULL GROUP BY 1")
+def cdc_grouped_ids(spark, sf_dir):
+    return cdc.grouped_ids(t(spark, sf_dir, "customer"), "c_nationkey", "c_custkey").withColumn("ids", F.array_join("ids", ","))
+
+
+@query("SELECT o_orderkey, (SELECT min(c_custkey) FROM customer WHERE c_custkey = o_custkey) AS customer_id FROM orders")
+def cdc_resolve_deferred_fk(spark, sf_dir):
+    c = t(spark, sf_dir, "customer").select("c_custkey", F.col("c_custkey").alias("natural"))
+    return cdc.resolve_deferred_fk(t(spark, sf_dir, "orders"), c, "o_custkey", "natural", "c_custkey", "customer_id").select("o_orderkey", "customer_id")
+
+
+@query("""SELECT c_custkey, 'c_mktsegment' AS "column", 'null' AS problem FROM customer WHERE c_mktsegment IS NULL
+    UNION ALL SELECT c_custkey, 'c_mktsegment', 'too long' FROM customer WHERE length(c_mktsegment) > 9""")
+def dq_check_columns(spark, sf_dir):
+    return dq.check_columns(t(spark, sf_dir, "customer"), "c_custkey", ["c_mktsegment"], {"c_mktsegment": 9})
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0)")
+def dq_orphans(spark, sf_dir):
+    return dq.orphans(t(spark, sf_dir, "orders"), t(spark, sf_dir, "customer").where("c_acctbal > 0"), "o_custkey", "c_custkey").select("o_orderkey", "o_custkey")
+
+
+@query("SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def dq_duplicates(spark, sf_dir):
+    return dq.duplicates(t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_partkey"])
+
+
+@query("SELECT l_orderkey, l_linenumber, l_discount FROM lineitem WHERE NOT (l_discount <= 0.05)")
+def dq_check_expr(spark, sf_dir):
+    return dq.check_expr(t(spark, sf_dir, "lineitem"), F.col("l_discount") <= 0.05).select("l_orderkey", "l_linenumber", "l_discount")
+
+
+@query("""SELECT 'keys' AS metric, a, b, abs(a - b) / a > 0.01 AS failed
+    FROM (SELECT CAST(count(DISTINCT l_orderkey) AS DOUBLE) AS a FROM lineitem), (SELECT CAST(count(DISTINCT o_orderkey) AS DOUBLE) AS b FROM orders)""")
+def dq_reconcile(spark, sf_dir):
+    keys = {"keys": F.count_distinct("k")}
+    return dq.reconcile(t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k")), t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k")), keys)
+
+
+def tree(spark, sf_dir):
+    """Customers as a tree: each reports to the one of half its key."""
+    return t(spark, sf_dir, "customer").where("c_custkey > 1").select(F.col("c_custkey").alias("src"), F.floor(F.col("c_custkey") / 2).cast("long").alias("dst"))
+
+
+@query("""WITH RECURSIVE e AS (SELECT c_custkey AS src, c_custkey // 2 AS dst FROM customer WHERE c_custkey > 1),
+    r AS (SELECT c_custkey AS seed, c_custkey AS id FROM customer UNION SELECT seed, dst FROM r JOIN e ON id = src) SELECT seed, id FROM r""")
+def graph_reachable(spark, sf_dir):
+    return graph.reachable(tree(spark, sf_dir), t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("seed")))
+
+
+@query("""WITH e AS (SELECT c_custkey AS src, c_custkey // 2 AS dst FROM customer WHERE c_custkey > 1)
+    SELECT c_custkey AS seed, dst AS id FROM customer JOIN e ON c_custkey = src
+    UNION SELECT c_custkey, b.dst FROM customer JOIN e a ON c_custkey = a.src JOIN e b ON a.dst = b.src""")
+def graph_expand_bounded(spark, sf_dir):
+    return graph.expand_bounded(tree(spark, sf_dir), t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("seed")), 1, 2)
+
+
+@query("""SELECT l_orderkey AS reaction_id, coalesce(string_agg(DISTINCT CASE WHEN l_returnflag = 'A' THEN CAST(l_partkey AS VARCHAR) END, ',' ORDER BY CASE WHEN l_returnflag = 'A' THEN CAST(l_partkey AS VARCHAR) END), '') AS reactants,
+    coalesce(string_agg(DISTINCT CASE WHEN l_returnflag = 'R' THEN CAST(l_partkey AS VARCHAR) END, ',' ORDER BY CASE WHEN l_returnflag = 'R' THEN CAST(l_partkey AS VARCHAR) END), '') AS products,
+    coalesce(string_agg(DISTINCT CASE WHEN l_returnflag = 'N' THEN CAST(l_partkey AS VARCHAR) END, ',' ORDER BY CASE WHEN l_returnflag = 'N' THEN CAST(l_partkey AS VARCHAR) END), '') AS catalysts
+    FROM lineitem GROUP BY 1""")
+def graph_reaction_card(spark, sf_dir):
+    role = F.when(F.col("l_returnflag") == "A", "reactant").when(F.col("l_returnflag") == "R", "product").when(F.col("l_returnflag") == "N", "catalyst")
+    parts = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("reaction_id"), F.col("l_partkey").cast("string").alias("entity_id"), role.alias("role"))
+    return graph.reaction_card(parts).select("reaction_id", *(F.array_join(c, ",").alias(c) for c in ("reactants", "products", "catalysts")))
+
+
+@query("SELECT l_suppkey AS pathway_id, count(DISTINCT l_partkey) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10")
+def graph_pathway_sizes(spark, sf_dir):
+    return graph.pathway_sizes(t(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("pathway_id"), F.col("l_partkey").alias("entity_id")), 10)
+
+
+@query("SELECT DISTINCT x.l_partkey AS a, y.l_partkey AS b FROM lineitem x JOIN lineitem y ON x.l_orderkey = y.l_orderkey WHERE x.l_suppkey <> y.l_suppkey AND x.l_partkey < y.l_partkey")
+def graph_co_assembly_pairs(spark, sf_dir):
+    return graph.co_assembly_pairs(t(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("gene"), F.col("l_orderkey").alias("assembly"), F.col("l_suppkey").alias("via")))
+
+
+@query("""SELECT count(*) FILTER (l.id IS NOT NULL AND r.id IS NOT NULL) AS "both", count(*) FILTER (r.id IS NULL) AS only_left, count(*) FILTER (l.id IS NULL) AS only_right
+    FROM (SELECT DISTINCT c_custkey AS id FROM customer) l FULL JOIN (SELECT DISTINCT o_custkey AS id FROM orders) r USING (id)""")
+def graph_store_overlap(spark, sf_dir):
+    return graph.store_overlap(t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id")))
+
+
+@query("""SELECT o_custkey AS src, o_orderpriority AS dst, array_to_string(list_sort(list(DISTINCT o_orderstatus)), ',') AS pathway_ids
+    FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer) GROUP BY 1, 2""")
+def graph_upsert_edges(spark, sf_dir):
+    o = t(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("src"), F.col("o_orderpriority").alias("dst"), F.lit("ORDERS").alias("label"), F.col("o_orderstatus").alias("pathway_id"))
+    first = o.where("pathway_id = 'F'").groupBy("src", "dst", "label").agg(F.collect_set("pathway_id").alias("pathway_ids"))
+    nodes = t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id")).union(o.select("dst"))
+    # First-load edges without a customer would stay: they are checked on load, as later ones are.
+    first = first.join(nodes.select(F.col("id").alias("src")).distinct(), "src", "left_semi").select("src", "dst", "label", "pathway_ids")
+    return graph.upsert_edges(first, o, nodes).select(F.col("src").cast("long").alias("src"), "dst", F.array_join("pathway_ids", ",").alias("pathway_ids"))
+
+
+@query(r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text, '\s*\{[^}]*\}', '', 'g'), 'FUNCTION:\s*', '', 'g'), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS cleaned FROM documents""")
+def text_clean_function(spark, sf_dir):
+    return t(spark, sf_dir, "documents").select("doc_id", text.clean_function(F.col("text")).alias("cleaned"))
+
+
+@query("""WITH s AS (SELECT doc_id, string_split(text, '. ') AS s FROM documents WHERE text IS NOT NULL), n AS (SELECT *, greatest(len(s) - 2, 0) AS tail FROM s)
+    SELECT doc_id, CAST(b AS INTEGER) AS sent_start, CAST(least(b + 2, len(s)) AS INTEGER) AS sent_end, array_to_string(s[b + 1 : b + 2], ' ') AS chunk FROM n, unnest(range(0, tail + 1)) AS u(b)""")
+def text_windows(spark, sf_dir):
+    d = t(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.split("text", r"\. ").alias("s"))
+    return d.select("doc_id", F.explode(text.windows(F.col("s"), 2, 1)).alias("w")).select("doc_id", "w.sent_start", "w.sent_end", F.col("w.text").alias("chunk"))
+
+
+_RANKED = "ranked AS (SELECT o_custkey AS query_id, o_orderkey AS id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders)"
+
+
+def rankings(spark, sf_dir):
+    """Each customer's orders by price as a ranking, urgent ones as the relevant ones."""
+    o = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("query_id"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("score"), "o_orderdate", "o_orderpriority")
+    return ir.top(o, 10), o.where("o_orderpriority = '1-URGENT'").select("query_id", "id"), o
+
+
+@query(f"""WITH {_RANKED}, rel AS (SELECT DISTINCT o_custkey AS query_id, o_orderkey AS id FROM orders WHERE o_orderpriority = '1-URGENT'),
+    n AS (SELECT query_id, count(*) AS n_rel FROM rel GROUP BY 1),
+    h AS (SELECT r.query_id, rank, row_number() OVER (PARTITION BY r.query_id ORDER BY rank) AS hit FROM ranked r JOIN rel USING (query_id, id) WHERE rank <= 10),
+    g AS (SELECT query_id, count(*) AS n_hit, min(rank) AS first, sum(1 / log2(rank + 1)) AS dcg, sum(hit / rank) AS ap FROM h GROUP BY 1)
+    SELECT query_id, n_rel, CASE WHEN n_hit > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS accuracy, round(coalesce(n_hit / 10, 0), 6) AS precision, round(coalesce(n_hit / n_rel, 0), 6) AS recall, round(coalesce(1 / first, 0), 6) AS mrr,
+    round(coalesce(dcg / (SELECT sum(1 / log2(i + 1)) FROM range(1, CAST(least(n_rel, 10) AS INTEGER) + 1) AS x(i)), 0), 6) AS ndcg, round(coalesce(ap / least(n_rel, 10), 0), 6) AS map
+    FROM n LEFT JOIN g USING (query_id)""")
+def ir_per_query(spark, sf_dir):
+    ranked, relevant, _ = rankings(spark, sf_dir)
+    m = ir.per_query(ranked, relevant, 10)
+    return m.select("query_id", "n_rel", "accuracy", *(F.round(c, 6).alias(c) for c in ("precision", "recall", "mrr", "ndcg", "map")))
+
+
+@query("""WITH a AS (SELECT o_custkey AS query_id, o_orderkey AS id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders QUALIFY rank <= 10),
+    b AS (SELECT o_custkey AS query_id, o_orderkey AS id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rank FROM orders QUALIFY rank <= 10),
+    s AS (SELECT query_id, id, sum(1 / (60 + rank)) AS score FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY 1, 2)
+    SELECT query_id, id, round(score, 9) AS score FROM s""")
+def search_rrf(spark, sf_dir):
+    ranked, _, o = rankings(spark, sf_dir)
+    recent = ir.top(o.withColumn("score", F.col("o_orderdate")), 10)
+    return ir.rrf([ranked, recent], 20).select("query_id", "id", F.round("score", 9).alias("score"))
+
+
+@query("""WITH w AS (SELECT doc_id AS id, [x FOR x IN regexp_split_to_array(lower(text), '[^a-z0-9]+') IF x <> ''] AS ws FROM documents),
+    e AS (SELECT id, len(ws) AS n, unnest(ws) AS term FROM w)
+    SELECT id, term, round(count(*) * 2.2 / (count(*) + 1.2 * (0.25 + 0.75 * n / 256.0)), 6) AS weight FROM e GROUP BY id, term, n""")
+def search_bm25_index(spark, sf_dir):
+    index = ir.bm25_index(t(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"))
+    return index.withColumn("weight", F.round("weight", 6))
