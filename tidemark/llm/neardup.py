@@ -7,7 +7,8 @@ candidates; every link is confirmed on full shingle sets. At similarity 0.75 a p
 
 No group is ever expanded to all pairs, whatever its size. In each round some members of a band's bucket are pivots;
 the members of other components are compared with them, and pivots retire, for nothing is left to be told of them. A
-bucket ends when its members are in one component. The number of pivots grows fourfold a round, so a bucket of
+bucket ends when its members are in one component. A round's links tie the components of the rounds before, so its own
+components are sought among these alone. The number of pivots grows fourfold a round, so a bucket of
 documents that are truly unlike is settled exactly after about log4(size) rounds.
 """
 
@@ -82,7 +83,7 @@ def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def alike(percent: int):
     def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """u, v, a, b -> the (u, v) whose sets a and b are similar enough."""
+        """ru, rv, a, b -> the (u, v) = (ru, rv) whose sets a and b are similar enough."""
         for f in frames:
             good = []
             for a, b in zip(f["a"], f["b"], strict=True):
@@ -91,7 +92,7 @@ def alike(percent: int):
                 both.sort(kind="stable")  # two sorted runs
                 common = int((both[1:] == both[:-1]).sum())
                 good.append(100 * common >= percent * (len(both) - common))
-            yield f.loc[np.array(good, bool), ["u", "v"]]
+            yield f.loc[np.array(good, bool), ["ru", "rv"]].set_axis(["u", "v"], axis=1)
 
     return keep
 
@@ -110,13 +111,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75, broadcast_ids: int = 1_0
     members = classes.select("node", "first", "n", F.explode("bands").alias("bucket"))
     crowded = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = written(salted_join(members, crowded, "bucket", F.col("node")).where("size is not null").select("bucket", "node", "first", "n"), "members")
-    links = _confirmed_links(docs, members, percent, broadcast_ids)
-    return _grouped(sigs, links)
+    return _grouped(sigs, _class_roots(docs, members, percent, broadcast_ids))
 
 
-def _grouped(sigs: DataFrame, links: DataFrame) -> DataFrame:
+def _grouped(sigs: DataFrame, roots: DataFrame) -> DataFrame:
     firsts = sigs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
-    roots = written(components(links), "roots")
     # Only classes with links are in `roots`; the others are their own root.
     firsts = written(firsts.join(roots.withColumnRenamed("v", "node"), "node", "left").withColumn("root", F.coalesce("root", "node")), "classes")
     least = firsts.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -126,8 +125,8 @@ def _grouped(sigs: DataFrame, links: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(False)).alias("kept"))
 
 
-def _confirmed_links(docs: DataFrame, members: DataFrame, percent: int, broadcast_ids: int) -> DataFrame:
-    """Links (u, v) between classes whose components are those of all links among candidates."""
+def _class_roots(docs: DataFrame, members: DataFrame, percent: int, broadcast_ids: int) -> DataFrame:
+    """(v, root) for each class but the roots: the components of all links among candidates."""
     spark = docs.sparkSession
     wanted = written(members.select("node", "first").distinct(), "candidates")
     ids = wanted.select(F.col("first").alias("doc_id"))
@@ -137,7 +136,7 @@ def _confirmed_links(docs: DataFrame, members: DataFrame, percent: int, broadcas
     sets = texts.mapInArrow(full_sets, "node binary, members binary").join(wanted.select("node"), "node", "left_semi")
     sets = written(sets.groupBy("node").agg(F.first("members").alias("members")), "sets")
 
-    links = spark.createDataFrame([], "u binary, v binary")
+    roots = spark.createDataFrame([], "v binary, root binary")
     live, pivots = members.select("bucket", "node", "n", F.col("node").alias("root")), 1
     while True:
         if pivots == 1:
@@ -155,21 +154,25 @@ def _confirmed_links(docs: DataFrame, members: DataFrame, percent: int, broadcas
             .join(them, ["bucket", "_salt"])
             .where("root <> pr and node <> p")
             .where(F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent)
-            .select(F.least("node", "p").alias("u"), F.greatest("node", "p").alias("v"))
+            .select(F.struct("node", "root").alias("x"), F.struct(F.col("p").alias("node"), F.col("pr").alias("root")).alias("y"))
+            .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+            .select(F.col("x")["node"].alias("u"), F.col("x")["root"].alias("ru"), F.col("y")["node"].alias("v"), F.col("y")["root"].alias("rv"))
             .distinct()
         )
         # u is the lesser key: often the pivot, so its set is fetched last, over salted copies of few rows.
         pairs = written(pairs, "pairs")
         with_v = pairs.join(sets.withColumnsRenamed({"node": "v", "members": "b"}), "v")
         with_both = with_v.join(sets.withColumnsRenamed({"node": "u", "members": "a"}), "u")
-        links = written(links.union(with_both.select("u", "v", "a", "b").mapInPandas(alike(percent), "u binary, v binary")), "links")
-        roots = written(components(links), "roots").select(F.col("v").alias("node"), F.col("root").alias("new"))
+        found = with_both.select("ru", "rv", "a", "b").mapInPandas(alike(percent), "u binary, v binary")
+        moved = written(components(found), "moved").select(F.col("v").alias("root"), F.col("root").alias("new"))
+        kept = salted_join(roots, moved, "root", F.col("v")).select("v", F.coalesce("new", "root").alias("root"))
+        roots = written(kept.union(moved.select("root", "new")), "roots")
         # Pivots retire, and so do buckets whose other members are in one component.
-        rest = live.join(heads.select("bucket", "node"), ["bucket", "node"], "left_anti").drop("root")
-        rest = salted_join(rest, roots, "node", F.col("bucket")).withColumn("root", F.coalesce("new", "node")).drop("new")
+        rest = live.join(heads.select("bucket", "node"), ["bucket", "node"], "left_anti")
+        rest = salted_join(rest, moved, "root", F.xxhash64("bucket", "node")).withColumn("root", F.coalesce("new", "root")).drop("new").select(live.columns)
         rest = written(rest, "rest")
         mixed_buckets = rest.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("_open"))
         live = written(salted_join(rest, mixed_buckets.where("_open"), "bucket", F.col("node")).where("_open").drop("_open"), "live")
         if live.isEmpty():
-            return links
+            return roots
         pivots *= 4
