@@ -10,7 +10,7 @@ from tidemark.llm.components import components
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.knn import inner_product_topk
 from tidemark.llm.langid import identify_languages, predict, train
-from tidemark.llm.mixing import mix, one_period, whole_weights
+from tidemark.llm.mixing import mix, one_period, schedule, whole_weights
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.pages import page_texts
 from tidemark.llm.pii import document_pii
@@ -152,6 +152,29 @@ def test_schedule_stays_within_a_block():
             assert abs(sum(x < t for x in slots[s]) - t * a / 100) < 1
 
 
+def test_mix_goes_on_without_sources_that_run_out(spark):
+    counts = {"hot": 3000, None: 1, **{f"s{i}": 310 + i for i in range(9)}}
+    docs = spark.createDataFrame([(i, f"{s} {i}", s) for s, n in counts.items() for i in range(n)], "doc_id long, text string, source string")
+    rows = mix(docs).collect()
+    assert len(rows) == sum(counts.values()) and all(r["_kept"] for r in rows)
+    slots = {(r["_source"], r["_block"]): (r["_release"], r["_slot"], r["_deadline"]) for r in rows}
+    assert sorted(x[1] for x in slots.values()) == list(range(len(slots))) and all(a <= t < b for a, t, b in slots.values())
+    early = [s for (s, _), x in slots.items() if x[1] < 100]
+    assert abs(early.count("hot") - 100 * 3000**0.75 / sum(n**0.75 for n in counts.values())) < 1.1
+    named = mix(docs, {"s0": 1, "s1": 3}).where("_kept").groupBy("_source").count()
+    assert {tuple(r) for r in named.collect()} == {("s0", 310), ("s1", 311)}
+
+
+def test_schedule_repeats_between_leavings():
+    shares, blocks = {"a": 5, "b": 3, "c": 2}, {"a": 900, "b": 7, "c": 400}
+    plan = schedule(shares, blocks)
+    slots = {s: [x[2][(j - x[0]) % len(x[2])] + (j - x[0]) // len(x[2]) * x[1] for j in range(n) for x in [[x for x in plan[s] if x[0] <= j][-1]]] for s, n in blocks.items()}
+    assert sorted(sum(slots.values(), [])) == list(range(1307)) and sum(len(x[2]) for v in plan.values() for x in v) < 100
+    for t in range(1308):
+        v = next(v for v in (k / 60 for k in range(60 * 201)) if sum(min(shares[s] * v, blocks[s]) for s in shares) >= t - 1e-9)
+        assert all(abs(sum(x < t for x in slots[s]) - min(shares[s] * v, blocks[s])) < 1.1 for s in shares)
+
+
 def test_languages(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     got = identify_languages(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null")

@@ -2,13 +2,18 @@
 
 A source of weight a/D (a whole number of every D blocks) gives its j-th block the window from its release,
 floor(j*D/a), to its deadline, ceil((j+1)*D/a). Slots go to the released block with the earliest deadline, which keeps
-every source less than one block from its share at every prefix. The schedule repeats every D slots, so only one period
-is worked out (bounded by `resolution`); each document finds its slot from its rank within its source.
+every source less than one block from its share at every prefix. A source that has given all its blocks leaves, and the
+others go on at their relative weights: with v rounds in which source s gives min(a*v, its blocks), the slot of v is the
+sum of these, so a window is that from v = j/a to v = (j+1)/a. Between two leavings the schedule repeats itself, so only
+its beginning and one period are worked out (each bounded by `resolution`, once for each leaving); each document finds
+its slot from its rank within its source.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
 from heapq import heappop, heappush
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,23 +35,75 @@ def whole_weights(weights: dict[str, float], resolution: int) -> dict[str, int]:
     return out
 
 
-def one_period(shares: dict[str, int]) -> dict[str, list[int]]:
-    """The slots of each source's blocks in one period: earliest deadline first among released blocks, ties by source name."""
-    period = sum(shares.values())
-    release: list[list[tuple[int, str]]] = [[] for _ in range(period)]
-    for s, a in shares.items():
-        for j in range(a):
-            release[j * period // a].append((-(-(j + 1) * period // a), s))
-    slots: dict[str, list[int]] = {s: [] for s in shares}
-    ready: list[tuple[int, str]] = []
-    for t in range(period):
-        for x in release[t]:
-            heappush(ready, x)
+def phases(shares: dict[str, int], blocks: dict[str, int]) -> list[tuple[Fraction, int, int]]:
+    """(v, e, a) from each leaving to the next: the round v at which it begins, and e + a*v, the slot of round v within it.
+
+    The slot of any v is the least of all e + a*v, as the slope a falls from phase to phase.
+    """
+    ends = sorted((Fraction(blocks[s], shares[s]), s) for s in shares)
+    out, e, a = [(Fraction(0), 0, sum(shares.values()))], 0, sum(shares.values())
+    for v, s in ends[:-1]:
+        e, a = e + blocks[s], a - shares[s]
+        if v == out[-1][0]:
+            out.pop()
+        out.append((v, e, a))
+    return [x for x in out if x[0] < ends[-1][0]]
+
+
+def schedule(shares: dict[str, int], blocks: dict[str, int]) -> dict[str, list[tuple[int, int, list[int]]]]:
+    """For each source, (first, shift, slots) by first: block first + i has slot slots[i % n] + i // n * shift, n = len(slots).
+
+    Earliest deadline first among released blocks, ties by source name. blocks: whole numbers from 1.
+    """
+    parts = phases(shares, blocks)
+    starts = [-(-(e * v.denominator + a * v.numerator) // v.denominator) for v, e, a in parts]
+    out = {s: [(0, 0, [])] for s in shares}
+    released, phase_of = dict.fromkeys(shares, 0), dict.fromkeys(shares, 0)
+    coming, ready = [(0, s) for s in sorted(shares)], []
+    t, total, p, mark, before = 0, sum(blocks.values()), -1, 0, None
+    while t < total:
+        while p + 1 < len(parts) and t >= starts[p + 1]:
+            p, mark, before = p + 1, t, None
+            live = [s for s in shares if Fraction(blocks[s], shares[s]) > parts[p][0]]
+            g = gcd(*(shares[s] for s in live))
+            until = parts[p + 1][0] if p + 1 < len(parts) else max(Fraction(blocks[s], shares[s]) for s in live)
+            period, step = parts[p][2] // g, {s: shares[s] // g for s in live}
+        if t == mark:  # a period after the last mark: does it repeat?
+            now = {s: released[s] for s in live}, sorted((d - t, s) for d, s in ready)
+            if before and now[1] == before[1] and all(now[0][s] == before[0][s] + step[s] for s in live):
+                m = min(int((until - Fraction(released[s], shares[s])) * g) for s in live)
+                if m > 0:
+                    for s in live:
+                        first, _, slots = out[s].pop()
+                        n = len(slots) - step[s]
+                        out[s] += [(first, 0, slots[:n]), (first + n, period, slots[n:]), (first + n + (m + 1) * step[s], 0, [])]
+                        released[s] += m * step[s]
+                    t += m * period
+                    ready = [(d + m * period, s) for d, s in ready]
+                    coming = [(r + m * period, s) for r, s in coming if released[s] < blocks[s]]
+                    before, mark = None, -1
+                    continue
+            before, mark = now, t + period
+        while coming and coming[0][0] <= t:
+            s = heappop(coming)[1]
+            x = released[s] = released[s] + 1
+            while (q := phase_of[s] + 1) < len(parts) and x * parts[q][0].denominator >= parts[q][0].numerator * shares[s]:
+                phase_of[s] = q
+            _, e, a = parts[phase_of[s]]
+            heappush(ready, (e - (-a * x // shares[s]), s))
+            if x < blocks[s]:
+                heappush(coming, (e + a * x // shares[s], s))
         deadline, s = heappop(ready)
         if t >= deadline:
             raise AssertionError("a deadline was missed")
-        slots[s].append(t)
-    return slots
+        out[s][-1][2].append(t)
+        t += 1
+    return {s: [x for x in segments if x[2]] for s, segments in out.items()}
+
+
+def one_period(shares: dict[str, int]) -> dict[str, list[int]]:
+    """The slots of each source's blocks in one period, at whose end all sources leave."""
+    return {s: segments[0][2] for s, segments in schedule(shares, shares).items()}
 
 
 def ranked(df: DataFrame, by: str, order: list[Column], rows_per_chunk: int) -> DataFrame:
@@ -75,9 +132,10 @@ def mix(
     """docs with _source, _block, _release, _deadline, _slot and _kept.
 
     weights: target weights by source; a source that is not named gets none of the mix. Default: each source's number of
-    rows to the power of `temper`, which lowers the share of the largest. The mix ends at the last slot before which no
-    source has run out of whole blocks (a source with less than a block counts its rows as one); _kept is true up to there
-    and the target weights hold at every prefix, to less than a block. The number of sources must fit the driver
+    rows to the power of `temper`, which lowers the share of the largest. _kept is true for every row of a source that
+    has a weight: none is left out because another source is small. A source that runs out leaves the mix, and the others
+    go on at their relative weights (see the module), which hold at every prefix, to less than a block; a source's last
+    block may be short. The number of sources must fit the driver
     (at most `resolution`). A null source is the source 'null'; rows equal in doc_id and text are interchangeable;
     an empty table gives an empty one. Rows keep their columns; only columns with these names are replaced.
     """
@@ -91,22 +149,28 @@ def mix(
         empty = [F.lit(None).cast(x.split()[1]).alias(x.split()[0]) for x in new.split(", ")]
         return docs.select("*", *empty[:4], F.lit(False).alias("_kept"))
     shares = whole_weights(weights, resolution)
-    slots = one_period(shares)
-    at = lambda s, j: j // shares[s] * resolution + slots[s][j % shares[s]]
-    end = min(at(s, max(1, counts[s] // block_rows)) for s in shares)  # the first slot whose block would be missing or short
-    plan = docs.sparkSession.createDataFrame([(s, shares[s], slots[s]) for s in sorted(shares)], "_source string, _share long, _slots array<int>")
+    blocks = {s: -(-counts[s] // block_rows) for s in shares}
+    plan, session = schedule(shares, blocks), docs.sparkSession
+    lines = [(e, a) for _, e, a in phases(shares, blocks)]
+    sources = [(s, shares[s], [x[0] for x in plan[s]], lines) for s in sorted(shares)]
+    sources = session.createDataFrame(sources, "_source string, _share long, _firsts array<long>, _lines array<struct<e:long,a:long>>")
+    segments = [(s, i, *x) for s in sorted(shares) for i, x in enumerate(plan[s])]
+    segments = session.createDataFrame(segments, "_source string, _segment int, _first long, _shift long, _slots array<long>")
     rank = ranked(docs, "_source", [F.col("doc_id"), F.xxhash64("text")], rows_per_chunk)
-    j, a = F.col("_block"), F.col("_share")
+    slot_of = lambda x: f"array_min(transform(_lines, l -> l.e + {x}))"
     return (
         rank.withColumn("_block", F.floor(F.col("_rank") / block_rows).cast("long"))
-        .join(F.broadcast(plan), "_source", "left")  # `resolution` numbers in all
+        .join(F.broadcast(sources), "_source", "left")
         .withColumns(
             {
-                "_release": F.floor(j * resolution / a).cast("long"),
-                "_deadline": F.ceil((j + 1) * resolution / a).cast("long"),
-                "_slot": F.expr(f"_block div _share * {resolution} + get(_slots, cast(_block % _share as int))"),
+                "_release": F.expr(slot_of("l.a * _block div _share")),
+                "_deadline": F.expr(slot_of("(l.a * (_block + 1) + _share - 1) div _share")),
+                "_segment": F.expr("size(filter(_firsts, x -> x <= _block)) - 1"),
             }
         )
-        .withColumn("_kept", F.coalesce(F.col("_slot") < end, F.lit(False)))
-        .drop("_share", "_slots", "_rank")
+        .drop("_share", "_firsts", "_lines")
+        .join(F.broadcast(segments), ["_source", "_segment"], "left")  # some periods' numbers for each leaving, in all
+        .withColumn("_slot", F.expr("get(_slots, cast((_block - _first) % size(_slots) as int)) + (_block - _first) div size(_slots) * _shift"))
+        .withColumn("_kept", F.col("_slot").isNotNull())
+        .drop("_segment", "_first", "_shift", "_slots", "_rank")
     )
