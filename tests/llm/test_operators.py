@@ -201,5 +201,14 @@ def test_pages(spark):
     assert got == [(1, text, len(text)), (2, text.replace("Four", "Five"), len(text)), (3, "", 0), (4, "", 0), (5, "plain", 5), (5, "plain", 5)]
 
 
+@pytest.mark.parametrize("opening", ['div class="content has-sidebar"', 'div class="site header-fixed"', 'div class="post related-work"', "form"])
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_pages_in_wrappers_named_like_boilerplate(spark, opening, inner):
+    page = f'<html><body><{opening}><nav>Home</nav><{inner}><h1>Title</h1><p>The text of page N is the longest here</p></{inner}><div class="sidebar">Links</div></{opening.split()[0]}></body></html>'
+    rows = [(i, f"http://{'a' if i else 'single'}.org/{i}", page.replace(" N ", f" {i} ")) for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in page_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Title\nThe text of page {i} is the longest here" for i in range(4)}
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))

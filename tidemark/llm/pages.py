@@ -12,6 +12,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -88,13 +89,54 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
         yield "close", path, t
 
 
+@lru_cache(100_000)
 def is_noise(step: str) -> bool:
     tag, _, marks = step.partition(".")
     return tag in BOILERPLATE or (tag not in ("html", "body", "article", "main") and bool(marks) and bool(NOISE.search(marks.replace(".", " "))))
 
 
-def noisy(path: str) -> bool:
-    return any(is_noise(s) for s in path.split("/")[1:])
+def noisy(path: str, spared: frozenset[str] = frozenset()) -> bool:
+    """True if the path leads through a boilerplate element that is not spared."""
+    end = 0
+    for step in path.split("/")[1:]:
+        end += 1 + len(step)
+        if is_noise(step) and path[:end] not in spared:
+            return True
+    return False
+
+
+def above(path: str) -> frozenset[str]:
+    """The element at path and all that contain it."""
+    return frozenset(path[: m.start()] for m in re.finditer("/|$", path) if m.start())
+
+
+def wrappers(found: list[tuple[str, str, str]]) -> frozenset[str]:
+    """Elements of a page that no word in their class, id or role (nor a form that wraps all) makes boilerplate.
+
+    Those are what contains the article: the article or main element with the most text, if all others are boilerplate
+    as well or it has most of the page's text; in a page without one, what has most of the page's text, if boilerplate
+    has most of it. Text in other elements that are boilerplate by their tag counts for nothing.
+    """
+    texts: dict[str, int] = {}
+    for kind, path, x in found:
+        if kind == "text" and (size := len(x.strip())):
+            texts[path] = texts.get(path, 0) + size
+    chars: dict[str, int] = {}
+    total = clean = 0
+    for path, size in texts.items():
+        if any((t := step.partition(".")[0]) in BOILERPLATE and t != "form" for step in path.split("/")):
+            continue
+        total += size
+        clean += 0 if noisy(path) else size
+        for p in above(path):
+            chars[p] = chars.get(p, 0) + size
+    if clean == total:
+        return frozenset()
+    articles = sorted((-n, p) for p, n in chars.items() if p.rpartition("/")[2].partition(".")[0] in ("article", "main"))
+    if articles:
+        size, best = articles[0]
+        return above(best) if noisy(best) and (-size * 2 > total or all(noisy(p) for _, p in articles)) else frozenset()
+    return frozenset(p for p, n in chars.items() if n * 2 > total) if clean * 2 < total else frozenset()
 
 
 def host(url: Column) -> Column:
@@ -111,8 +153,13 @@ def page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             n: dict[str, int] = {}
             chars: dict[str, int] = {}
-            for kind, path, x in events(page or ""):
-                if noisy(path):
+            found = list(events(page or ""))
+            spared = wrappers(found)
+            cut: dict[str, bool] = {}
+            for kind, path, x in found:
+                if path not in cut:
+                    cut[path] = noisy(path, spared)
+                if cut[path]:
                     continue
                 if kind == "open":
                     n[path] = n.get(path, 0) + 1
@@ -154,13 +201,14 @@ def templates(pages: DataFrame) -> DataFrame:
 def slot_text(page: str, slot: str) -> str:
     """Text of the page within the slot (without one: of its article elements, else of its body), by blocks."""
     found = list(events(page))
+    spared = wrappers(found) | above(slot)
     if not slot or not any(k == "open" and p == slot for k, p, _ in found):
-        inner = sorted({p for k, p, t in found if k == "open" and t in ("article", "main") and not noisy(p)}, key=len)
+        inner = sorted({p for k, p, t in found if k == "open" and t in ("article", "main") and not noisy(p, spared)}, key=len)
     else:
         inner = [slot]
         leaf = slot.rsplit("/", 1)[-1].partition(".")[0]
         if leaf not in ("article", "main"):
-            inner = sorted({p for k, p, t in found if k == "open" and t in ("article", "main") and p.startswith(slot + "/") and not noisy(p)}, key=len) or inner
+            inner = sorted({p for k, p, t in found if k == "open" and t in ("article", "main") and p.startswith(slot + "/") and not noisy(p, spared)}, key=len) or inner
     blocks: list[str] = []
     now: list[str] = []
 
@@ -175,7 +223,7 @@ def slot_text(page: str, slot: str) -> str:
             close()
         else:
             if path not in inside:
-                inside[path] = not noisy(path) and (not inner or any(path == s or path.startswith(s + "/") for s in inner))
+                inside[path] = not noisy(path, spared) and (not inner or any(path == s or path.startswith(s + "/") for s in inner))
             if inside[path]:
                 now.append(x)
     close()
