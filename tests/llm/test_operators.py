@@ -210,5 +210,15 @@ def test_pages_in_wrappers_named_like_boilerplate(spark, opening, inner):
     assert got == {i: f"Title\nThe text of page {i} is the longest here" for i in range(4)}
 
 
+def test_pages_of_a_template_with_odd_pages(spark):
+    page = "<html><body><div><div><p>All shops of the house</p></div><div><p>News NR is here, and nothing else is told</p><p>Written on day NR for you</p></div><p>Call us</p></div></body></html>"
+    rows = [(i, f"http://a.org/{i}", page.replace("NR", str(i))) for i in range(8)]
+    rows += [(8, "http://a.org/8", ""), (9, "http://a.org/9", "<p>broken <di"), (10, "http://a.org/7", rows[7][2])]
+    rows += [(20 + i, f"http://copies.org/{i}", f"<html><body><p>The same long text on each of these pages</p><p>{i}</p></body></html>") for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in page_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    news = {i: f"News {i} is here, and nothing else is told\nWritten on day {i} for you" for i in range(8)}
+    assert got == news | {8: "", 9: "broken", 10: news[7]} | {20 + i: f"The same long text on each of these pages\n{i}" for i in range(4)}
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))

@@ -1,10 +1,11 @@
 """Main text of web pages by equivalence-class template deduction.
 
 Pages of one host are made from a template. A token is an element's start at its path (tags, with the class or id of
-each). Tokens whose occurrence vectors over the host's pages are equal form a class. The class of tokens that every page has
-once nests by its paths and is the template's frame; its elements are the slots. The slot that holds the article is chosen once for a host; within it the frame's
-boilerplate elements (menus, adverts, ...) are cut, and what remains is extracted, block by block. A token that some
-page lacks or repeats is not of the frame, so pages that share no frame are read from the body down.
+each), or a block of text at its path. Tokens whose occurrence vectors over the host's pages are equal form a class. The
+elements that most pages hold once are the template's frame; they nest by their paths and are the slots. The slot that
+holds the article is chosen once for a host. Within it, boilerplate elements (menus, adverts, ...) are cut, and so is the
+fixed text: blocks that most pages hold and that are of a class with an element of the frame, or that nearly all of many
+pages hold. What remains is extracted, block by block. A page that lacks the slot is read from the body down.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import html
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -143,49 +145,86 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1), F.lit("")))
 
 
-TOKENS = "host string, token string, n long, chars long"
+def text_token(path: str, text: str) -> str:
+    return "#" + blake2b(f"{path}\0{text}".encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+
+
+def squeezed(pieces: list[str]) -> str:
+    return " ".join(html.unescape("".join(pieces)).split())
+
+
+TOKENS = "host string, page long, token string, n long, chars long"
 
 
 def page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """host, html -> for each page its tokens outside boilerplate: those that occur once, and the characters of text within."""
+    """host, page (its hash), html -> for each page its tokens outside boilerplate: how often each occurs, and the
+    characters of text within. The token '' stands for the page; a page without elements and text has none."""
     for batch in batches:
-        out = {"host": [], "token": [], "n": [], "chars": []}
-        for name, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        rows: list[tuple[str, int, str, int, int]] = []
+        for name, number, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             n: dict[str, int] = {}
             chars: dict[str, int] = {}
             found = list(events(page or ""))
             spared = wrappers(found)
             cut: dict[str, bool] = {}
+            now: list[str] = []
+            at = ""
+
+            def close() -> None:
+                if text := squeezed(now):
+                    token = text_token(at, text)
+                    n[token] = n.get(token, 0) + 1
+                    chars[token] = chars.get(token, 0) + len(text)
+                    for path in ("", *above(at)):
+                        chars[path] = chars.get(path, 0) + len(text)
+                now.clear()
+
             for kind, path, x in found:
                 if path not in cut:
                     cut[path] = noisy(path, spared)
-                if cut[path]:
-                    continue
-                if kind == "open":
-                    n[path] = n.get(path, 0) + 1
-                elif kind == "text" and (size := len(x.strip())):
-                    while path:
-                        chars[path] = chars.get(path, 0) + size
-                        path = path.rpartition("/")[0]
-            for path, k in n.items():
-                if k == 1:
-                    for c, v in zip(out.values(), (name, path, k, chars.get(path, 0)), strict=True):
-                        c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(v, pa.string() if c in ("host", "token") else pa.int64()) for c, v in out.items()], list(out))
+                if kind != "text":
+                    close()
+                    if kind == "open" and not cut[path]:
+                        n[path] = n.get(path, 0) + 1
+                elif not cut[path]:
+                    now.append(x)
+                    at = path
+            close()
+            if n:
+                n[""] = 1
+            rows += [(name, number, token, k, chars.get(token, 0)) for token, k in n.items()]
+            if len(rows) >= 20_000:
+                yield token_batch(rows)
+                rows = []
+        if rows:
+            yield token_batch(rows)
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """pages(host, html) -> host, slot: the path of the frame's element that holds the article ('' for the whole page).
+def token_batch(rows: list[tuple[str, int, str, int, int]]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["host", "page", "token", "n", "chars"])
 
-    Per host and token: the pages that have it once, and a sum of page hashes, which stands for the occurrence vector.
-    Tokens whose sum is that of all pages are the frame; a token is out of order if its frame parent is missing. The
-    slot: the shallowest article or main element, else the deepest named as content, else the deepest element that
-    holds nine tenths of the host's text.
+
+def templates(pages: DataFrame) -> DataFrame:
+    """pages(host, html) -> host, slot: the path of the frame's element that holds the article (null for the whole page),
+    and fixed: the tokens of the template's text. Pages of a host that are copies of each other count as one.
+
+    Per host and token: the pages that have it, those that have it once, and a XOR of hashes of page and count, which
+    stands for the occurrence vector. The slot: the shallowest article or main element, else the deepest named as
+    content, else the deepest element that holds nine tenths of the host's text. Text is fixed by its class from 5 pages
+    on, by nine tenths of the pages from 10 on, and only where it is less than half of the host's text: pages that are
+    near copies of each other are no template.
     """
-    total = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    tokens = pages.select("host", "html").mapInArrow(page_tokens, TOKENS)
-    seen = tokens.groupBy("host", "token").agg(F.count("*").alias("vector"), F.sum("chars").alias("chars"))
-    frame = seen.join(total, "host").where("vector = pages")  # each page has it exactly once
+    tokens = pages.select("host", F.xxhash64("html").alias("page"), "html").mapInArrow(page_tokens, TOKENS).dropDuplicates(["host", "token", "page"])
+    seen = tokens.groupBy("host", "token").agg(F.count("*").alias("pages"), F.count_if(F.col("n") == 1).alias("once"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.sum("chars").alias("chars"))
+    seen = written(seen.where("pages > 1 or token not like '#%'"), "tokens")
+    total = seen.where("token = ''").select("host", F.col("pages").alias("total"), F.col("chars").alias("all_chars"))
+    likely = seen.where("token != ''").join(total, "host").where("pages * 2 > total")  # most pages have it
+    frame = likely.where("once * 2 > total and token like '/%'")
+    classes = frame.select("host", "vector").distinct().withColumn("framed", F.lit(True))
+    fixed = likely.where("token like '#%'").join(classes, ["host", "vector"], "left").where("total >= 5 and framed or total >= 10 and pages * 10 >= total * 9")
+    # A page has few such blocks, and each is on most pages, so a host has few.
+    fixed = fixed.groupBy("host").agg(F.collect_list("token").alias("fixed"), F.sum("chars").alias("cut"), F.max("all_chars").alias("of")).where("cut * 2 < of").select("host", "fixed")
     steps = F.size(F.split("token", "/")) - 1
     last = F.element_at(F.split("token", "/"), -1)
     tag = F.substring_index(last, ".", 1)
@@ -195,11 +234,11 @@ def templates(pages: DataFrame) -> DataFrame:
     frame = frame.join(most, "host").where(F.col("chars") * 10 >= F.col("most") * 9)
     kind = F.when(F.col("is_article"), 2).when(F.col("named"), 1).otherwise(0)
     order = F.struct(kind, F.when(F.col("is_article"), -F.col("depth")).otherwise(F.col("depth")), "token")
-    return frame.groupBy("host").agg(F.max_by("token", order).alias("slot"))
+    return frame.groupBy("host").agg(F.max_by("token", order).alias("slot")).join(fixed, "host", "full")
 
 
-def slot_text(page: str, slot: str) -> str:
-    """Text of the page within the slot (without one: of its article elements, else of its body), by blocks."""
+def slot_text(page: str, slot: str, fixed: frozenset[str] = frozenset()) -> str:
+    """Text of the page within the slot (without one: of its article elements, else of its body), by blocks; fixed: left out."""
     found = list(events(page))
     spared = wrappers(found) | above(slot)
     if not slot or not any(k == "open" and p == slot for k, p, _ in found):
@@ -211,9 +250,10 @@ def slot_text(page: str, slot: str) -> str:
             inner = sorted({p for k, p, t in found if k == "open" and t in ("article", "main") and p.startswith(slot + "/") and not noisy(p, spared)}, key=len) or inner
     blocks: list[str] = []
     now: list[str] = []
+    at = ""
 
     def close() -> None:
-        if text := " ".join(html.unescape("".join(now)).split()):
+        if (text := squeezed(now)) and not (fixed and text_token(at, text) in fixed):
             blocks.append(text)
         now.clear()
 
@@ -226,6 +266,7 @@ def slot_text(page: str, slot: str) -> str:
                 inside[path] = not noisy(path, spared) and (not inner or any(path == s or path.startswith(s + "/") for s in inner))
             if inside[path]:
                 now.append(x)
+                at = path
     close()
     return "\n".join(blocks)
 
@@ -242,8 +283,8 @@ def page_texts(pages: DataFrame) -> DataFrame:
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [slot_text(h or "", s or "") for h, s in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            texts = [slot_text(h or "", s or "", frozenset(f or ())) for h, s, f in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return joined.select("page_id", "url", "html", "slot").mapInArrow(extract, f"page_id {kind}, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "slot", "fixed").mapInArrow(extract, f"page_id {kind}, url string, text string, n_chars long")
