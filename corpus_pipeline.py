@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table, written
+from tidemark.llm.common import salted_join, table, written
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.langid import held_out, predict, train
 from tidemark.llm.mixing import mix
@@ -15,23 +15,46 @@ from tidemark.llm.shards import document_shards
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with row_key, a key of each row: its doc_id, but a new one where that is null or another row has it already.
+
+    New keys lie above all doc_ids. Of rows that share a doc_id, the one with the least hash of its text has it as key.
+    """
+    if "row_key" in docs.columns:
+        return docs
+    docs = written(docs.withColumn("_place", F.monotonically_increasing_id()), "keyed")
+    above = docs.agg(F.coalesce(F.max("doc_id"), F.lit(0)) + 1).first()[0]
+    shared = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "_place"))["_place"].alias("_first"), F.count("*").alias("_n"))
+    shared = shared.where("_n > 1").select("doc_id", "_first")
+    new = F.col("doc_id").isNull() | (F.col("_first") != F.col("_place"))  # no _first: the only row of its doc_id
+    key = F.when(F.coalesce(new, F.lit(False)), F.col("_place") + above).otherwise(F.col("doc_id"))
+    return salted_join(docs, shared, "doc_id", F.col("_place")).withColumn("row_key", key).drop("_place", "_first")
+
+
+def by_key(docs: DataFrame) -> DataFrame:
+    """docs as the operators take them, with row_key for doc_id."""
+    return docs.withColumn("doc_id", F.col("row_key")).drop("row_key")
+
+
 def keep(docs: DataFrame, good: DataFrame, name: str) -> DataFrame:
-    """The rows of docs whose doc_id is in good; the ids are written first, so that they are worked out once."""
-    return docs.join(written(good.select("doc_id"), name), "doc_id", "left_semi").select(COLUMNS)
+    """The rows of docs whose row_key is a doc_id in good; the keys are written first, so that they are worked out once."""
+    good = written(good.select(F.col("doc_id").alias("row_key")), name)
+    return docs.join(good, "row_key", "left_semi").select(*COLUMNS, "row_key")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = train(docs.where(~held_out()).select("doc_id", "lang", "text"))
-    return keep(docs, predict(docs, model).where(~F.col("rejected")), "languages")
+    docs = written(keyed(docs), "keys")
+    model = train(by_key(docs).where(~held_out()).select("doc_id", "lang", "text"))
+    return keep(docs, predict(by_key(docs), model).where(~F.col("rejected")), "languages")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # A document without words is linked with nothing, and stays.
-    return keep(docs, near_duplicates(docs).where("kept"), "kept")
+    return keep(docs, near_duplicates(by_key(docs)).where("kept"), "kept")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep(docs, decontaminate(docs, table(spark, sf_dir, "benchmark")).where(~F.col("contaminated")), "clean")
+    return keep(docs, decontaminate(by_key(docs), table(spark, sf_dir, "benchmark")).where(~F.col("contaminated")), "clean")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm.components import components
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.knn import inner_product_topk
@@ -229,5 +230,22 @@ def test_pages_of_a_template_with_odd_pages(spark):
     assert got == news | {8: "", 9: "broken", 10: news[7]} | {20 + i: f"The same long text on each of these pages\n{i}" for i in range(4)}
 
 
+def test_pipeline_on_null_and_repeated_ids(spark, tmp_path):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    spark.read.parquet(f"{DATA}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    plain = [tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "size", "text_crc32").collect()]
+    last = sorted(plain)[-3:]
+    ids = [r[0] for r in last]
+    lost = F.when(F.col("doc_id") == ids[0], None).otherwise(F.col("doc_id"))
+    other = docs.where(F.col("doc_id") == ids[2]).withColumn("doc_id", F.lit(ids[1]).cast(docs.schema["doc_id"].dataType))
+    changed = docs.where(F.col("doc_id") != ids[2]).withColumn("doc_id", lost).unionByName(other)
+    (changed.unionByName(other).coalesce(3)).write.parquet(f"{tmp_path}/changed/documents.parquet")
+    spark.read.parquet(f"{DATA}/benchmark.parquet").write.parquet(f"{tmp_path}/changed/benchmark.parquet")
+    got = [tuple(r) for r in corpus_pipeline.run(spark, f"{tmp_path}/changed").select("doc_id", "size", "text_crc32").collect()]
+    want = [r for r in plain if r not in last] + [(None, *last[0][1:]), last[1], (ids[1], *last[2][1:])]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
