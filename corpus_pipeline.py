@@ -43,7 +43,7 @@ def keep(docs: DataFrame, good: DataFrame, name: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = written(keyed(docs), "keys")
+    docs = keyed(docs)
     model = train(by_key(docs).where(~held_out()).select("doc_id", "lang", "text"))
     return keep(docs, predict(by_key(docs), model).where(~F.col("rejected")), "languages")
 
