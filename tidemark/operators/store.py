@@ -5,18 +5,33 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """df, written to the shared folder of spark.checkpoint.dir (in local mode a new one, if it is unset) and read again."""
-    spark = df.sparkSession
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, else (local mode, as in tests) a new local one."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+        found = tempfile.mkdtemp(prefix="spark-shared-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def written(df: DataFrame, what: str) -> DataFrame:
+    """df, cut from its lineage: written to the shared folder and read again, so a lost executor costs no recomputation."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def erase(*tables: DataFrame) -> None:
+    """Deletes what `written` wrote for these tables; nothing that is still to be computed may read them."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        path = jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path.getFileSystem(conf).delete(path, True)
