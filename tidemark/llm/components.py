@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import salted_join, written
+from .common import erase, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,8 +13,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps until nothing changes. Large star: each vertex's greater neighbours are tied to its least one.
     Small star: each vertex's lesser neighbours, and itself, are tied to the least. Either keeps the components and at
-    most doubles the edges; stars remain after about log2(vertices) rounds. Joins on a vertex are salted, so the centre
-    of a large star is no hot key.
+    most doubles the edges; stars remain after about log2(vertices) rounds. The least neighbour is a partial aggregate,
+    and the joins on a vertex are plain shuffled ones, which adaptive execution splits where the centre of a large star
+    makes a partition long. The tables of earlier rounds are deleted.
     """
 
     def least(pairs: DataFrame) -> DataFrame:
@@ -23,11 +24,11 @@ def components(edges: DataFrame) -> DataFrame:
     def large(e: DataFrame) -> DataFrame:
         both = e.union(e.select("v", "u"))
         near = least(both).withColumn("_m", F.least("u", "_m"))
-        return salted_join(both, near, "u", F.col("v")).where("v > u").select(F.col("v").alias("u"), F.col("_m").alias("v")).where("u <> v").distinct()
+        return both.join(near, "u").where("v > u").select(F.col("v").alias("u"), F.col("_m").alias("v")).where("u <> v").distinct()
 
     def small(e: DataFrame) -> DataFrame:
         down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        tied = salted_join(down, least(down), "u", F.col("v"))
+        tied = down.join(least(down), "u")
         return tied.select(F.explode(F.array("u", "v")).alias("u"), F.col("_m").alias("v")).where("u <> v").distinct()
 
     def state(e: DataFrame) -> tuple:
@@ -37,7 +38,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = state(now)
     while before[0]:
-        now = written(small(large(now)), "edges")
+        old, now = now, written(small(large(now)), "edges")
+        erase(old)
         if (after := state(now)) == before:
             break
         before = after

@@ -1,36 +1,43 @@
 """Near-duplicate groups by min-max hashing.
 
 Both the least and the greatest value of each hash function over a document's shingles enter its signature, so 64
-functions give 128 unbiased values: 32 bands of 4. Equal shingle sets are one class. Classes that share a band are
-candidates; every link is confirmed on full shingle sets. At similarity 0.75 a pair shares no band with probability
-(1 - 0.75**4)**32, about 5e-6.
-
-No group is ever expanded to all pairs, whatever its size. In each round some members of a band's bucket are pivots;
-the members of other components are compared with them, and pivots retire, for nothing is left to be told of them. A
-bucket ends when its members are in one component. A round's links tie the components of the rounds before, so its own
-components are sought among these alone. The number of pivots grows fourfold a round, so a bucket of
-documents that are truly unlike is settled exactly after about log4(size) rounds.
+functions give 128 unbiased values: 32 bands of 4, each of four different functions (two least, two greatest values).
+Equal shingle sets are one class. Classes that share a band are candidates; every link is confirmed on full shingle
+sets. At similarity 0.75 a pair shares no band with probability (1 - 0.75**4)**32, about 5e-6 (small sets somewhat more,
+for there the values of two functions are not independent).
+
+A bucket of a band is settled in rounds. In each round some members are pivots, and the members of other components are
+compared with them; then pivots retire, for nothing is left to be told of them, and a bucket ends when its members are in
+one component. The first pivot is the member that shares the most crowded buckets, which in a group of copies is the
+text that they were made from. Later there are 16, 256, ... pivots, so that members that are truly unlike are settled,
+too: then their comparisons are as many as their pairs, but a pair is only taken further if its sketches allow a link.
+The sketch has 1024 bits, each the parity of the shingles hashed to it. A shingle that one set alone has flips a bit, so
+sketches never differ in more bits than sets do in shingles: the test loses nothing, and is part of the join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import salted_join, written
+from .common import erase, written
 from .components import components
 from .words import U, blocks, mixed, shingles, split_words
 
 SIZE, FUNCTIONS, ROWS = 5, 64, 4
+BANDS = FUNCTIONS * 2 // ROWS
 _rng = np.random.default_rng(20240501)
 _ODD = _rng.integers(0, 1 << 63, FUNCTIONS, dtype=np.uint64) * U(2) + U(1)
 _ADD = _rng.integers(0, 1 << 63, FUNCTIONS, dtype=np.uint64) * U(2)
 _MIX = np.array([pow(0xA0761D6478BD642F, k + 1, 1 << 64) for k in range(ROWS)], U)
+#: For each row of a band and each band, the place of its value among (least, greatest) of all functions.
+_PLACES = np.array([[2 * ((b + shift) % FUNCTIONS) + side for b in range(BANDS)] for side, shift in ((0, 0), (0, BANDS), (1, 13), (1, BANDS + 13))])
+SKETCH = [f"b{k}" for k in range(16)]
 
 
 def set_keys(sets: list[np.ndarray]) -> list[bytes]:
@@ -39,7 +46,7 @@ def set_keys(sets: list[np.ndarray]) -> list[bytes]:
 
 
 def band_keys(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of FUNCTIONS * 2 / ROWS band keys for each (non-empty) set."""
+    """One row of BANDS band keys for each (non-empty) set."""
     flat = np.concatenate(sets)
     at = np.cumsum([0, *map(len, sets[:-1])])
     values = np.empty((FUNCTIONS * 2, len(sets)), U)
@@ -47,57 +54,57 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
         h = flat * _ODD[k]
         h += _ADD[k]
         values[2 * k], values[2 * k + 1] = np.minimum.reduceat(h, at), np.maximum.reduceat(h, at)
-    bands = mixed((mixed(values).reshape(-1, ROWS, len(sets)) * _MIX[None, :, None]).sum(1, dtype=U))
-    return mixed(bands + np.arange(len(bands), dtype=U)[:, None]).T  # the band's number is part of its key
+    bands = mixed((mixed(values)[_PLACES] * _MIX[:, None, None]).sum(0, dtype=U))
+    return mixed(bands + np.arange(BANDS, dtype=U)[:, None]).T  # the band's number is part of its key
+
+
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of 16 longs for each set: the parities of its shingles in 1024 cells."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    cells = owner * 1024 + (mixed(np.concatenate(sets) + U(0x632BE59BD9B4E019)) >> U(54)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=1024 * len(sets)) & 1).astype(np.uint8)).view(np.int64).reshape(len(sets), 16)
 
 
 def text_sets(column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
-    texts = [t or b"" for t in column.cast(pa.binary()).to_pylist()]
-    for first, part in blocks(texts):
-        yield first, shingles(*split_words(part), SIZE)
+    for at in range(0, len(column), 512):
+        texts = [t or b"" for t in column.slice(at, 512).cast(pa.binary()).to_pylist()]
+        for first, part in blocks(texts):
+            yield at + first, shingles(*split_words(part), SIZE)
+
+
+SIGNATURE = "doc_id long, node binary, n_shingles long, bands array<long>, " + ", ".join(f"{b} long" for b in SKETCH)
 
 
 def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text -> doc_id, node, n_shingles, bands. node: the set's key; null without words."""
+    """doc_id, text -> doc_id, node, n_shingles, bands, sketch. node: the set's key; null without words."""
+    names = ["doc_id", "node", "n_shingles", "bands", *SKETCH]
     for batch in batches:
         for first, sets in text_sets(batch.column(1)):
             full = [s for s in sets if len(s)]
-            keys, bands = iter(set_keys(full)), iter(band_keys(full).view(np.int64) if full else ())
-            nodes, rows = [], []
-            for s in sets:
-                nodes.append(next(keys) if len(s) else None)
-                rows.append(next(bands) if len(s) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(first, len(sets)), pa.array(nodes, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array(rows, pa.list_(pa.int64()))],
-                ["doc_id", "node", "n_shingles", "bands"],
-            )
+            at = np.full(len(sets), -1)
+            at[[i for i, s in enumerate(sets) if len(s)]] = np.arange(len(full))
+            rows = pa.array(at, mask=at < 0)
+            bands = pa.array(list(band_keys(full).view(np.int64)) if full else [], pa.list_(pa.int64()))
+            bits = sketches(full).T if full else np.zeros((16, 0), np.int64)
+            made = [pa.array(set_keys(full), pa.binary()), pa.array([len(s) for s in sets], pa.int64()), bands, *(pa.array(b) for b in bits)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), *(c if i == 1 else c.take(rows) for i, c in enumerate(made))], names)
 
 
 def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text -> node, members (the sorted shingle hashes as bytes)."""
+    """text -> node, members (the shingle hashes)."""
     for batch in batches:
-        for _, sets in text_sets(batch.column(1)):
-            full = [s for s in sets if len(s)]
-            yield pa.RecordBatch.from_arrays([pa.array(set_keys(full), pa.binary()), pa.array([s.tobytes() for s in full], pa.binary())], ["node", "members"])
-
+        for _, sets in text_sets(batch.column(0)):
+            full = [s.view(np.int64) for s in sets if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array(set_keys([s.view(U) for s in full]), pa.binary()), pa.array(full, pa.list_(pa.int64()))], ["node", "members"])
 
-def alike(percent: int):
-    def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """ru, rv, a, b -> the (u, v) = (ru, rv) whose sets a and b are similar enough."""
-        for f in frames:
-            good = []
-            for a, b in zip(f["a"], f["b"], strict=True):
-                a, b = np.frombuffer(a, U), np.frombuffer(b, U)
-                both = np.concatenate((a, b))
-                both.sort(kind="stable")  # two sorted runs
-                common = int((both[1:] == both[:-1]).sum())
-                good.append(100 * common >= percent * (len(both) - common))
-            yield f.loc[np.array(good, bool), ["ru", "rv"]].set_axis(["u", "v"], axis=1)
 
-    return keep
+def may_link(percent: int) -> Column:
+    """For a member (n, b0, ...) and a pivot (pn, pb0, ...): their sizes and sketches allow a similarity of percent."""
+    apart = reduce(Column.__add__, (F.bit_count(F.col(b).bitwiseXOR(F.col(f"p{b}"))) for b in SKETCH))
+    return (F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent) & (apart * (100 + percent) <= (F.col("n") + F.col("pn")) * (100 - percent))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, broadcast_ids: int = 1_000_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 75, broadcast_ids: int = 100_000) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept (doc_id is component_id).
 
     Documents are linked when 100 * |intersection| >= percent * |union| of their shingle sets (64-bit hashes of 5 words;
@@ -105,74 +112,78 @@ def near_duplicates(docs: DataFrame, percent: int = 75, broadcast_ids: int = 1_0
     empty or blank) is linked with nothing. A row with a null doc_id takes its component from the other rows of its group
     and is never kept; alone, its component is null. Rows that repeat a doc_id are rows of their own. An empty table
     gives an empty one. Only doc_id and text are read, whatever other columns docs has.
+
+    broadcast_ids: candidates' ids, at most so many, are broadcast to pick their texts; more are joined by a shuffle.
     """
-    sigs = written(docs.select("doc_id", "text").mapInArrow(signatures, "doc_id long, node binary, n_shingles long, bands array<long>"), "signatures")
-    classes = sigs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    members = classes.select("node", "first", "n", F.explode("bands").alias("bucket"))
-    crowded = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = written(salted_join(members, crowded, "bucket", F.col("node")).where("size is not null").select("bucket", "node", "first", "n"), "members")
-    return _grouped(sigs, _class_roots(docs, members, percent, broadcast_ids))
+    sigs = written(docs.select("doc_id", "text").mapInArrow(signatures, SIGNATURE), "signatures")
+    firsts = [F.first(c).alias(c) for c in ("bands", *SKETCH)]
+    classes = written(sigs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), *firsts), "classes")
+    slots = classes.select("node", F.explode("bands").alias("bucket"))
+    crowded = slots.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = written(slots.join(crowded, "bucket"), "members")
+    return _grouped(sigs, _class_roots(docs, classes, members, percent, broadcast_ids))
 
 
 def _grouped(sigs: DataFrame, roots: DataFrame) -> DataFrame:
     firsts = sigs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     # Only classes with links are in `roots`; the others are their own root.
-    firsts = written(firsts.join(roots.withColumnRenamed("v", "node"), "node", "left").withColumn("root", F.coalesce("root", "node")), "classes")
+    firsts = written(firsts.join(roots.withColumnRenamed("v", "node"), "node", "left").withColumn("root", F.coalesce("root", "node")), "firsts")
     least = firsts.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = salted_join(firsts.select("node", "root"), least, "root", F.col("node")).select("node", "component_id")
-    out = salted_join(sigs.select("doc_id", "node", "n_shingles"), named, "node", F.col("doc_id"))
+    named = firsts.select("node", "root").join(least, "root").select("node", "component_id")
+    out = sigs.select("doc_id", "node", "n_shingles").join(named, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(False)).alias("kept"))
 
 
-def _class_roots(docs: DataFrame, members: DataFrame, percent: int, broadcast_ids: int) -> DataFrame:
+def _class_roots(docs: DataFrame, classes: DataFrame, members: DataFrame, percent: int, broadcast_ids: int) -> DataFrame:
     """(v, root) for each class but the roots: the components of all links among candidates."""
     spark = docs.sparkSession
-    wanted = written(members.select("node", "first").distinct(), "candidates")
+    weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    wanted = written(weights.join(classes, "node").select("node", "first", "n", "weight", *SKETCH), "candidates")
     ids = wanted.select(F.col("first").alias("doc_id"))
     if wanted.count() <= broadcast_ids:
         ids = F.broadcast(ids)
-    texts = docs.select("doc_id", "text").join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    sets = texts.mapInArrow(full_sets, "node binary, members binary").join(wanted.select("node"), "node", "left_semi")
-    sets = written(sets.groupBy("node").agg(F.first("members").alias("members")), "sets")
+    texts = docs.select("doc_id", "text").join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("text")
+    sets = texts.mapInArrow(full_sets, "node binary, members array<long>").join(wanted.select("node"), "node", "left_semi")
+    sets = written(sets.dropDuplicates(["node"]), "sets")
 
-    roots = spark.createDataFrame([], "v binary, root binary")
-    live, pivots = members.select("bucket", "node", "n", F.col("node").alias("root")), 1
+    roots = written(spark.createDataFrame([], "v binary, root binary"), "roots")
+    live, pivots = written(members.select("bucket", "node").join(wanted.drop("first"), "node").withColumn("root", F.col("node")), "live"), 1
+    erase(classes, members, wanted)
     while True:
         if pivots == 1:
-            heads = live.groupBy("bucket").agg(F.min(F.struct("node", "n", "root")).alias("p")).select("bucket", "p.*")
+            heads = live.groupBy("bucket").agg(F.max(F.struct("weight", "node", "n", "root", *SKETCH)).alias("p")).select("bucket", "p.*")
         else:
             size = live.groupBy("bucket").agg(F.count("*").alias("_size"))
             share = F.pmod(F.xxhash64("node", F.lit(pivots)), F.lit(1 << 20)) / (1 << 20)
-            heads = salted_join(live, size, "bucket", F.col("node")).where(share * F.col("_size") < pivots).select("bucket", "node", "n", "root")
-        heads = written(heads, "heads")
-        # Pivots of a bucket are at most a few times `pivots`; the buckets' members are dealt over tasks by salt.
-        salt = F.pmod(F.xxhash64("node"), F.lit(16)).cast("int")
-        them = heads.select("bucket", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("root").alias("pr"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("_salt"))
+            heads = live.join(size, "bucket").where(share * F.col("_size") < pivots).drop("_size")
+        heads = written(heads.select("bucket", "node", "n", "root", *SKETCH), "heads")
+        them = heads.select("bucket", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("root").alias("pr"), *(F.col(b).alias(f"p{b}") for b in SKETCH))
+        x, y = F.struct("node", "root"), F.struct(F.col("p").alias("node"), F.col("pr").alias("root"))
         pairs = (
-            live.withColumn("_salt", salt)
-            .join(them, ["bucket", "_salt"])
-            .where("root <> pr and node <> p")
-            .where(F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent)
-            .select(F.struct("node", "root").alias("x"), F.struct(F.col("p").alias("node"), F.col("pr").alias("root")).alias("y"))
-            .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+            live.join(them, "bucket")
+            .where((F.col("root") != F.col("pr")) & may_link(percent))
+            .select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
             .select(F.col("x")["node"].alias("u"), F.col("x")["root"].alias("ru"), F.col("y")["node"].alias("v"), F.col("y")["root"].alias("rv"))
             .distinct()
         )
-        # u is the lesser key: often the pivot, so its set is fetched last, over salted copies of few rows.
         pairs = written(pairs, "pairs")
         with_v = pairs.join(sets.withColumnsRenamed({"node": "v", "members": "b"}), "v")
         with_both = with_v.join(sets.withColumnsRenamed({"node": "u", "members": "a"}), "u")
-        found = with_both.select("ru", "rv", "a", "b").mapInPandas(alike(percent), "u binary, v binary")
-        moved = written(components(found), "moved").select(F.col("v").alias("root"), F.col("root").alias("new"))
-        kept = salted_join(roots, moved, "root", F.col("v")).select("v", F.coalesce("new", "root").alias("root"))
-        roots = written(kept.union(moved.select("root", "new")), "roots")
+        common = F.size(F.array_intersect("a", "b"))
+        linked = common * (100 + percent) >= (F.size("a") + F.size("b")) * percent
+        moved = components(with_both.where(linked).select(F.col("ru").alias("u"), F.col("rv").alias("v")).distinct())
+        moved = written(moved.select(F.col("v").alias("root"), F.col("root").alias("new")), "moved")
+        kept = roots.join(moved, "root", "left").select("v", F.coalesce("new", "root").alias("root"))
+        old_roots, roots = roots, written(kept.union(moved.select("root", "new")), "roots")
         # Pivots retire, and so do buckets whose other members are in one component.
         rest = live.join(heads.select("bucket", "node"), ["bucket", "node"], "left_anti")
-        rest = salted_join(rest, moved, "root", F.xxhash64("bucket", "node")).withColumn("root", F.coalesce("new", "root")).drop("new").select(live.columns)
-        rest = written(rest, "rest")
-        mixed_buckets = rest.groupBy("bucket").agg((F.min("root") != F.max("root")).alias("_open"))
-        live = written(salted_join(rest, mixed_buckets.where("_open"), "bucket", F.col("node")).where("_open").drop("_open"), "live")
+        rest = written(rest.join(moved, "root", "left").withColumn("root", F.coalesce("new", "root")).select(live.columns), "rest")
+        h = F.xxhash64("root")
+        open_buckets = rest.groupBy("bucket").agg(F.min(h).alias("_a"), F.max(h).alias("_b")).where("_a <> _b").select("bucket")
+        old_live, live = live, written(rest.join(open_buckets, "bucket", "left_semi"), "live")
+        erase(heads, pairs, moved, old_roots, rest, old_live)
         if live.isEmpty():
+            erase(sets, live)
             return roots
-        pivots *= 4
+        pivots *= 16
