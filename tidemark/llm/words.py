@@ -1,7 +1,8 @@
 """Words of many texts at once, as 64-bit hashes in numpy arrays.
 
 A word is a run of bytes other than space and \\x09-\\x0D, with A-Z in lower case. Its hash is a polynomial in its
-bytes modulo 2**64, taken from one running sum over all texts, then mixed.
+bytes modulo 2**64, taken from one running sum over all texts, then mixed. With `bare`, all of ASCII but letters and
+digits parts words, so that punctuation makes no difference.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BARE = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 
@@ -26,7 +28,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i for i below n; kept up to 4 MB of text."""
+    """BASE**i and BASE**-i for i below n; kept up to 1 MB of text."""
     if len(_powers[0]) >= n:
         return _powers[0][:n], _powers[1][:n]
     out = []
@@ -34,16 +36,16 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         p = np.full(n, b, U)
         p[0] = 1
         out.append(np.cumprod(p, dtype=U))
-    if n <= 4 << 20:
+    if n <= 1 << 20:
         _powers[:] = out
     return out[0], out[1]
 
 
-def split_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def split_words(texts: list[bytes], bare: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all words in order, offsets): text i has words offsets[i]:offsets[i+1]."""
     data = np.frombuffer(b"\n".join([*texts, b""]).lower(), np.uint8)
     ends_at = np.cumsum([len(t) + 1 for t in texts])
-    gap = _SPACE[data]
+    gap = (_BARE if bare else _SPACE)[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], gap, [True])).view(np.int8)))
     start, end = edge[0::2], edge[1::2]
     offsets = np.concatenate(([0], np.searchsorted(start, ends_at)))
@@ -76,7 +78,7 @@ def shingles(words: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarr
     return out
 
 
-def blocks(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def blocks(texts: list[bytes], most: int = 1 << 18) -> Iterator[tuple[int, list[bytes]]]:
     """(index of the first, texts) in runs of about `most` bytes; a longer text is a run of its own."""
     first, size = 0, 0
     for i, t in enumerate(texts):
