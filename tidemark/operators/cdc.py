@@ -1,4 +1,4 @@
-"""Change data capture: staging, merges that emit a diff, and replay of the diff."""
+"""Change data capture: staging, merges that emit a diff, what reads the diff, and its replay."""
 
 from __future__ import annotations
 
@@ -7,15 +7,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import written
+
 
 def stage(df: DataFrame, keys: list[str], order_by: list[Column | str]) -> DataFrame:
-    """The first row per key in the order given. With several keys a null equals an empty string."""
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys] if len(keys) > 1 else list(keys)
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*parts).orderBy(*order_by))).where("_n = 1").drop("_n")
+    """The first row per key in ascending order of order_by. With several keys a null equals an empty string."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) if len(keys) > 1 else F.col(k) for k in keys]
+    first = F.min_by(F.struct(*df.columns), F.struct(*order_by)).alias("_r")
+    return df.groupBy(*(p.alias(f"_k{i}") for i, p in enumerate(parts))).agg(first).select("_r.*")
 
 
-def identity_hash(cols: list[str]) -> Column:
-    """SHA-256 over the columns as text, joined by '|', null as '∅'."""
+def identity_hash(cols: list[str], collision_safe: bool = False) -> Column:
+    """SHA-256 over the columns as text, joined by '|', null as '∅'; collision_safe: over their JSON, where no value can imitate the separator."""
+    if collision_safe:
+        return F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)
     return F.sha2(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("∅")) for c in cols)), 256)
 
 
@@ -42,23 +47,37 @@ def merge_keyed(current: DataFrame, staged: DataFrame, key: str, diff_cols: list
     return new, pairs.where("action is not null").select(key, "action")
 
 
-def merge_identity(current: DataFrame, staged: DataFrame, identity: list[str], scope: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(new current, diff of all columns and action). Rows match on their identity, nulls included; current rows whose scope is staged but whose identity is not are deleted; matched rows stay as they are."""
-    a, b = current.withColumn("_id", identity_hash(identity)), staged.select(current.columns).withColumn("_id", identity_hash(identity))
-    inserts = b.join(a.select("_id"), "_id", "left_anti")
-    deletes = a.join(b.select(*scope).distinct(), scope, "left_semi").join(b.select("_id"), "_id", "left_anti")
-    new = a.join(deletes.select("_id"), "_id", "left_anti").unionByName(inserts).drop("_id")
-    diff = inserts.withColumn("action", F.lit("INSERT")).unionByName(deletes.withColumn("action", F.lit("DELETE"))).drop("_id")
+def _merged(current: DataFrame, staged: DataFrame, on: list[str], scope: list[str], payload: list[str]) -> tuple[DataFrame, DataFrame]:
+    """One full outer join on `on` tells inserts, deletes (of scopes that are staged) and, by payload columns, updates."""
+    cols = current.columns
+    scopes = staged.select(*(F.col(c).alias(c) for c in scope)).distinct().withColumn("_staged", F.lit(True))
+    a = current.join(scopes, scope, "left").select(*on_columns(on), F.struct(*cols).alias("_cur"), F.coalesce("_staged", F.lit(False)).alias("_staged"))
+    b = staged.select(*on_columns(on), F.struct(*cols).alias("_stg")).dropDuplicates([f"_on{i}" for i in range(len(on))])
+    pairs = a.join(b, [f"_on{i}" for i in range(len(on))], "full_outer")
+    differs = reduce(Column.__or__, (~F.col(f"_cur.{c}").eqNullSafe(F.col(f"_stg.{c}")) for c in payload), F.lit(False))
+    gone = F.col("_stg").isNull() & F.col("_staged")
+    action = F.when(F.col("_cur").isNull(), "INSERT").when(gone, "DELETE").when(F.col("_stg").isNotNull() & differs, "UPDATE")
+    pairs = pairs.withColumn("action", action)
+    new = pairs.where("action is null or action <> 'DELETE'").select(F.when(F.col("action").isNull(), F.col("_cur")).otherwise(F.col("_stg")).alias("_r")).select("_r.*")
+    diff = pairs.where("action is not null").select(F.when(F.col("action") == "DELETE", F.col("_cur")).otherwise(F.col("_stg")).alias("_r"), "action").select("_r.*", "action")
     return new, diff
 
 
+def on_columns(on: list) -> list[Column]:
+    return [(F.col(c) if isinstance(c, str) else c).alias(f"_on{i}") for i, c in enumerate(on)]
+
+
+def merge_identity(current: DataFrame, staged: DataFrame, identity: list[str], scope: list[str], update_payload: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(new current, diff of all columns and action). Rows match on the hash of their identity, nulls included; current
+    rows whose scope is staged but whose identity is not are deleted (a null scope never is); matched rows stay as they
+    are, or, with update_payload, take what is staged for columns outside the identity."""
+    payload = [c for c in current.columns if c not in identity] if update_payload else []
+    return _merged(current, staged.select(current.columns), [identity_hash(identity)], scope, payload)
+
+
 def merge_composite(current: DataFrame, staged: DataFrame, keys: list[str], scope: list[str]) -> tuple[DataFrame, DataFrame]:
-    """merge_identity on key columns themselves."""
-    staged = staged.select(current.columns)
-    inserts = staged.join(current.select(keys), keys, "left_anti")
-    deletes = current.join(staged.select(scope).distinct(), scope, "left_semi").join(staged.select(keys), keys, "left_anti")
-    new = current.join(deletes.select(keys), keys, "left_anti").unionByName(inserts)
-    return new, inserts.withColumn("action", F.lit("INSERT")).unionByName(deletes.withColumn("action", F.lit("DELETE")))
+    """merge_identity on key columns themselves, which are not null."""
+    return _merged(current, staged.select(current.columns), list(keys), scope, [])
 
 
 def upsert(current: DataFrame, staged: DataFrame, key: str) -> DataFrame:
@@ -67,31 +86,80 @@ def upsert(current: DataFrame, staged: DataFrame, key: str) -> DataFrame:
 
 
 def replace_snapshot(staged: DataFrame) -> DataFrame:
-    """The staged rows as the new table; an empty snapshot is refused."""
-    if staged.isEmpty():
+    """The staged rows as the new table, written to a folder of its own; an empty snapshot is refused, and so is one that landed with another number of rows."""
+    landed = written(staged, "snapshot")
+    if not (n := landed.count()):
         raise ValueError("an empty snapshot is refused")
-    return staged
+    if n != staged.count():
+        raise ValueError("the snapshot landed with another number of rows than staged")
+    return landed
 
 
 def changed_keys(diffs: list[DataFrame], key: str) -> DataFrame:
     return reduce(DataFrame.union, (d.select(key) for d in diffs)).distinct()
 
 
-def diff_current(diff: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
-    """Diff rows completed from the current table; deleted rows drop out."""
-    return diff.join(current, keys)
+def source_changed(current: DataFrame, new: DataFrame, key: str = "source") -> DataFrame:
+    """new with `changed`: by etag where both have one, else by last_modified, else taken for changed; a first fetch is."""
+    old = current.select(key, F.col("etag").alias("_etag"), F.col("last_modified").alias("_modified"), F.lit(True).alias("_known"))
+    same = F.when(F.col("etag").isNotNull() & F.col("_etag").isNotNull(), F.col("etag") == F.col("_etag")).when(
+        F.col("last_modified").isNotNull() & F.col("_modified").isNotNull(), F.col("last_modified") == F.col("_modified")
+    )
+    out = new.join(old, key, "left").withColumn("changed", F.col("_known").isNull() | ~F.coalesce(same, F.lit(False)))
+    return out.select(*new.columns, "changed")
+
+
+def diff_current(diff: DataFrame, current: DataFrame, keys: list[str], types: DataFrame | None = None, entity: str | None = None) -> DataFrame:
+    """Diff rows completed from the current table on the full key; deleted rows drop out. types(entity_id, entity_type): the type of column `entity`, too."""
+    out = diff.join(current, keys)
+    if types is not None:
+        out = out.join(types.select(F.col("entity_id").alias(entity), "entity_type"), entity)
+    return out
+
+
+def diff_edges_typed(diff: DataFrame, entities: DataFrame, src: str, dst: str) -> DataFrame:
+    """An edge diff with src_type and dst_type, the types of both ends in entities(entity_id, entity_type); edges without one drop out."""
+    a = entities.select(F.col("entity_id").alias(src), F.col("entity_type").alias("src_type"))
+    b = entities.select(F.col("entity_id").alias(dst), F.col("entity_type").alias("dst_type"))
+    return diff.join(a, src).join(b, dst).select(*diff.columns, "src_type", "dst_type")
+
+
+def diff_annotations(annotations: DataFrame, entities: DataFrame, diff: DataFrame, key: str = "entity_id") -> DataFrame:
+    """Annotations, with entity_type, of the entities that the entity diff names; the key as text."""
+    typed = annotations.join(entities.select(key, "entity_type"), key).join(diff.select(key).distinct(), key, "left_semi")
+    return typed.withColumn(key, F.col(key).cast("string"))
+
+
+def diff_gene_accessions(diff: DataFrame, entities: DataFrame, crosswalk: DataFrame | None = None) -> DataFrame:
+    """Distinct accessions of the genes that the diff(entity_id) names; crosswalk(entity_id, accession): where genes have ids of another kind."""
+    genes = diff.select("entity_id").join(entities.where("entity_type = 'gene'").select("entity_id"), "entity_id", "left_semi")
+    if crosswalk is not None:
+        return genes.join(crosswalk, "entity_id").select("accession").distinct()
+    return genes.select(F.col("entity_id").alias("accession")).distinct()
+
+
+def diff_batches(log: DataFrame, run_id: str) -> DataFrame:
+    """One run's rows of a diff log, deletions included; a log partitioned by run_id is read for that run alone."""
+    return log.where(F.col("run_id") == run_id).drop("run_id")
+
+
+def reproject_scope(diffs: list[DataFrame], full: DataFrame | None = None, key: str = "pathway_id") -> DataFrame:
+    """Distinct scopes that any diff names, null left out; or all of `full`."""
+    tables = [full] if full is not None else diffs
+    return reduce(DataFrame.union, (d.select(key) for d in tables)).where(F.col(key).isNotNull()).distinct()
 
 
-def apply_diff(base: DataFrame, diff: DataFrame, identity: list[str], order: str | None = None) -> DataFrame:
-    """base after the last action per identity of a diff that carries all columns."""
-    last = diff
-    if order:
-        last = diff.withColumn("_n", F.row_number().over(Window.partitionBy(*identity).orderBy(F.desc(order)))).where("_n = 1")
-    kept = base.join(last.select(identity), identity, "left_anti")
-    return kept.unionByName(last.where("action <> 'DELETE'").select(base.columns))
+def apply_diff(base: DataFrame, diff: DataFrame, identity: list[str], order: Column | str) -> DataFrame:
+    """base after the last action per identity, by `order`, of a diff that carries all columns; nulls in the identity are values like others."""
+    h = identity_hash(identity).alias("_h")
+    rows = diff.select(h, F.struct(*base.columns, "action").alias("_r"), (F.col(order) if isinstance(order, str) else order).alias("_o"))
+    last = rows.groupBy("_h").agg(F.max_by("_r", "_o").alias("_r"))
+    kept = base.select("*", h).join(last.select("_h"), "_h", "left_anti").drop("_h")
+    return kept.unionByName(last.select("_r.*").where("action <> 'DELETE'").select(base.columns))
 
 
 def grouped_ids(pairs: DataFrame, by: str, member: str) -> DataFrame:
+    """Each group's whole, sorted list of distinct members as text; groups are small by nature (the accessions of a gene)."""
     return pairs.where(F.col(by).isNotNull()).groupBy(by).agg(F.array_sort(F.collect_set(F.col(member).cast("string"))).alias("ids"))
 
 

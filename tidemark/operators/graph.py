@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import written
+from .store import erase, written
+
+EDGE = ["src", "dst", "label"]
+
+
+def no_props() -> Column:
+    return F.create_map().cast("map<string,string>")
+
+
+def overwritten(old: Column | str, new: Column | str) -> Column:
+    """The map `old` with the non-null values of `new` over it; null maps are empty."""
+    old, new = F.coalesce(old, no_props()), F.map_filter(F.coalesce(new, no_props()), lambda k, v: v.isNotNull())
+    return F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(new, k)), new)
 
 
 def upsert_nodes(nodes: DataFrame, new: DataFrame) -> DataFrame:
     """Merges on (label, id): non-null new properties overwrite, others stay. `new` has each (label, id) once."""
-    clean = new.select("label", "id", F.map_filter("props", lambda k, v: v.isNotNull()).alias("_new"))
-    empty = F.create_map().cast("map<string,string>")
-    both = nodes.join(clean, ["label", "id"], "full_outer").withColumns({"_new": F.coalesce("_new", empty), "props": F.coalesce("props", empty)})
-    kept = F.map_filter("props", lambda k, v: ~F.map_contains_key("_new", k))
-    return both.select("label", "id", F.map_concat(kept, F.col("_new")).alias("props"))
+    both = nodes.select("label", "id", "props").join(new.select("label", "id", F.col("props").alias("_new")), ["label", "id"], "full_outer")
+    return both.select("label", "id", overwritten("props", "_new").alias("props"))
 
 
 def delete_nodes(nodes: DataFrame, edges: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -24,19 +35,70 @@ def delete_nodes(nodes: DataFrame, edges: DataFrame, ids: DataFrame) -> tuple[Da
     return nodes.join(gone, "id", "left_anti"), rest.select(edges.columns)
 
 
-def upsert_edges(edges: DataFrame, new: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One edge per (src, label, dst); rows of `new`(src, dst, label, pathway_id) without both endpoints are dropped; the support set grows."""
+def upsert_edges(edges: DataFrame, new: DataFrame, nodes: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """One edge per (src, label, dst); rows of `new`(src, dst, label, pathway_id, props) without both endpoints are dropped.
+
+    The support set grows; the last row's properties, by the columns `order` (else by the properties as text), overwrite
+    the old ones. A table without props has empty ones.
+    """
+    with_props = lambda df: df if "props" in df.columns else df.withColumn("props", no_props())
+    new, edges = with_props(new), with_props(edges)
     ids = nodes.select("id").distinct()
     fit = new.join(ids.withColumnRenamed("id", "src"), "src", "left_semi").join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
-    support = edges.select("src", "dst", "label", F.explode_outer("pathway_ids").alias("p")).unionByName(fit.select("src", "dst", "label", F.col("pathway_id").alias("p")))
-    return support.groupBy("src", "dst", "label").agg(F.array_sort(F.collect_set("p")).alias("pathway_ids"))
+    place = F.struct(*(order or []), F.to_json("props"))
+    fresh = fit.groupBy(*EDGE).agg(F.max_by("props", place).alias("_new"), F.collect_set("pathway_id").alias("_more"))
+    both = edges.select(*EDGE, "props", "pathway_ids").join(fresh, EDGE, "full_outer")
+    none = F.array().cast("array<string>")
+    support = F.array_sort(F.array_union(F.coalesce("pathway_ids", none), F.coalesce("_more", none)))
+    return both.select(*EDGE, overwritten("props", "_new").alias("props"), support.alias("pathway_ids"))
 
 
 def delete_edges(edges: DataFrame, gone: DataFrame) -> DataFrame:
     """Takes pathways of gone(src, dst, label, pathway_id) out of the support sets; an edge without support goes."""
-    drop = gone.groupBy("src", "dst", "label").agg(F.collect_set("pathway_id").alias("_gone"))
-    left = edges.join(drop, ["src", "dst", "label"], "left").withColumn("pathway_ids", F.when(F.col("_gone").isNull(), F.col("pathway_ids")).otherwise(F.array_except("pathway_ids", "_gone")))
-    return left.where("_gone is null or size(pathway_ids) > 0").drop("_gone")
+    drop = gone.groupBy(*EDGE).agg(F.collect_set("pathway_id").alias("_gone"))
+    left = edges.join(drop, EDGE, "left").withColumn("pathway_ids", F.when(F.col("_gone").isNull(), F.col("pathway_ids")).otherwise(F.array_except("pathway_ids", "_gone")))
+    return left.where("_gone is null or size(pathway_ids) > 0").select(edges.columns)
+
+
+def replay_diff(nodes: DataFrame, edges: DataFrame, node_diff: DataFrame, edge_diff: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) after a run's diffs: node_diff(label, id, props, action), edge_diff(src, dst, label, pathway_id, props, action).
+
+    Deleted nodes go with their edges; inserted and updated ones are upserted before the edges that need them; an edge is
+    taken out of the pathways of its deletions, then put into those of its insertions.
+    """
+    kept, rest = delete_nodes(nodes, edges, node_diff.where("action = 'DELETE'"))
+    kept = upsert_nodes(kept, node_diff.where("action <> 'DELETE'").select("label", "id", "props"))
+    rest = delete_edges(rest, edge_diff.where("action = 'DELETE'"))
+    return kept, upsert_edges(rest, edge_diff.where("action <> 'DELETE'").drop("action"), kept)
+
+
+def annotate_nodes(nodes: DataFrame, annotations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes, counts): annotations(label, id, props[, action]) overwrite properties of nodes that are there; deletions are ignored.
+
+    counts: one row of offered and matched annotations.
+    """
+    if "action" in annotations.columns:
+        annotations = annotations.where("action is null or action <> 'DELETE'").drop("action")
+    patch = annotations.groupBy("label", "id").agg(F.max_by("props", F.to_json("props")).alias("_new"), F.count("*").alias("_n"))
+    found = patch.join(nodes.select("label", "id", F.lit(True).alias("_there")), ["label", "id"], "left")
+    counts = found.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("offered"), F.coalesce(F.sum(F.when(F.col("_there"), F.col("_n"))), F.lit(0)).alias("matched"))
+    out = nodes.join(patch, ["label", "id"], "left").select("label", "id", overwritten("props", "_new").alias("props"))
+    return out, counts
+
+
+def ontology_annotations(annotations: DataFrame, genes: DataFrame, terms: DataFrame) -> DataFrame:
+    """annotations(symbol, accession, qualifier, term, evidence) -> gene, qualifier, term, evidence (sorted, without repeats).
+
+    Genes(id, symbol, uniprot_ids) are found by symbol or by accession: two equi joins, so that neither becomes a nested
+    loop. ':' in term ids becomes '_'; terms that are not in terms(term) drop out.
+    """
+    known = annotations.withColumn("term", F.replace("term", F.lit(":"), F.lit("_"))).join(terms.select("term").distinct(), "term", "left_semi")
+    by_symbol = known.join(genes.where("symbol is not null").select(F.col("id").alias("gene"), "symbol"), "symbol")
+    ids = genes.select(F.col("id").alias("gene"), F.explode("uniprot_ids").alias("accession"))
+    by_accession = known.join(ids, "accession")
+    cols = ["gene", "qualifier", "term", "evidence"]
+    found = by_symbol.select(cols).union(by_accession.select(cols)).distinct()
+    return found.groupBy("gene", "qualifier", "term").agg(F.array_sort(F.collect_set("evidence")).alias("evidence"))
 
 
 def size(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -45,24 +107,34 @@ def size(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return one(nodes, "node").union(one(edges, "edge"))
 
 
-def reachable(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """edges(src, dst), seeds(seed) -> (seed, id): all that a seed reaches, itself included. Cycles are safe."""
-    seen = frontier = written(seeds.select("seed", F.col("seed").alias("id")).distinct(), "frontier")
-    edges, depth = edges.select(F.col("src").alias("id"), "dst").distinct(), 0
+def reachable(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """edges(src, dst), seeds(seed) -> (seed, id): all that a seed reaches, itself included. Cycles are safe.
+
+    by: columns that both tables have and within which paths stay. Each round extends only what the last one found.
+    """
+    by = list(by)
+    key = [*by, "seed", "id"]
+    frontier = written(seeds.select(*by, "seed", F.col("seed").alias("id")).distinct(), "frontier")
+    seen = [frontier]
+    edges, depth = edges.select(*by, F.col("src").alias("id"), "dst").distinct(), 0
     while max_depth is None or depth < max_depth:
-        step = frontier.join(edges, "id").select("seed", F.col("dst").alias("id")).distinct()
-        frontier = written(step.join(seen, ["seed", "id"], "left_anti"), "frontier")
+        step = frontier.join(edges, [*by, "id"]).select(*by, "seed", F.col("dst").alias("id")).distinct()
+        frontier = written(step.join(reduce(DataFrame.union, seen), key, "left_anti").select(key), "frontier")
         if frontier.isEmpty():
             break
-        seen, depth = seen.union(frontier), depth + 1
-    return seen
+        seen, depth = [*seen, frontier], depth + 1
+        if len(seen) == 8:  # few files for the next anti joins
+            old, seen = seen, [written(reduce(DataFrame.union, seen), "seen")]
+            frontier = written(frontier, "frontier")
+            erase(*old)
+    return reduce(DataFrame.union, seen)
 
 
-def expand_bounded(edges: DataFrame, seeds: DataFrame, lo: int, hi: int) -> DataFrame:
-    """(seed, id): distinct ends of paths of lo to hi edges from each seed."""
+def expand_bounded(edges: DataFrame, seeds: DataFrame, lo: int, hi: int, labels: list[str] | None = None) -> DataFrame:
+    """(seed, id): distinct ends of paths of lo to hi edges from each seed; labels: of edges with one of these labels alone."""
     now = seeds.select("seed", F.col("seed").alias("id"))
     found = now if lo == 0 else None
-    step = edges.select(F.col("src").alias("id"), "dst")
+    step = (edges.where(F.col("label").isin(labels)) if labels else edges).select(F.col("src").alias("id"), "dst")
     for depth in range(1, hi + 1):
         now = now.join(step, "id").select("seed", F.col("dst").alias("id")).distinct()
         if depth >= lo:
@@ -70,6 +142,14 @@ def expand_bounded(edges: DataFrame, seeds: DataFrame, lo: int, hi: int) -> Data
     return found.distinct()
 
 
+def forms_of(identity: DataFrame, entities: DataFrame, genes: DataFrame, limit: int = 25) -> DataFrame:
+    """gene, entity_id, display_name: the first `limit` physical states of each gene of genes(gene), by entity_id; the report has that limit in the reference, too."""
+    forms = identity.select("entity_id", F.col("reference_id").alias("gene")).join(genes.select("gene").distinct(), "gene", "left_semi")
+    named = forms.join(entities.select("entity_id", "display_name"), "entity_id").distinct()
+    first = F.array_sort(F.collect_set(F.struct("entity_id", "display_name")))
+    return named.groupBy("gene").agg(F.slice(first, 1, limit).alias("_f")).select("gene", F.inline("_f"))
+
+
 def reaction_card(parts: DataFrame) -> DataFrame:
     """parts(reaction_id, entity_id, role) -> sorted distinct reactants, products and catalysts of each reaction."""
     pick = lambda role: F.array_sort(F.collect_set(F.when(F.col("role") == role, F.col("entity_id")))).alias(f"{role}s")
@@ -80,13 +160,38 @@ def pathway_sizes(members: DataFrame, k: int) -> DataFrame:
     return members.groupBy("pathway_id").agg(F.count_distinct("entity_id").alias("n")).orderBy(F.desc("n"), "pathway_id").limit(k)
 
 
-def co_assembly_pairs(assoc: DataFrame) -> DataFrame:
-    """assoc(gene, assembly, via) -> pairs a < b that meet in one assembly by different `via`."""
-    a, b = assoc.select(F.col("gene").alias("a"), "assembly", F.col("via").alias("va")), assoc.select(F.col("gene").alias("b"), "assembly", F.col("via").alias("vb"))
-    return a.join(b, "assembly").where("va <> vb and a < b").select("a", "b").distinct()
+def gene_gene(edges: DataFrame, genes_of: DataFrame) -> DataFrame:
+    """a, b: edges(src, dst) with assemblies replaced by their genes, genes_of(assembly, gene); no self-pairs."""
+    one = lambda side, out: genes_of.select(F.col("assembly").alias(side), F.col("gene").alias(out))
+    open_ = edges.select("src", "dst").distinct().join(one("src", "_a"), "src", "left").join(one("dst", "_b"), "dst", "left")
+    return open_.select(F.coalesce("_a", "src").alias("a"), F.coalesce("_b", "dst").alias("b")).where("a <> b").distinct()
+
+
+def co_assembly_pairs(assoc: DataFrame, salts: int = 16) -> DataFrame:
+    """assoc(gene, assembly, via) -> pairs a < b that meet in one assembly by different `via`.
+
+    Two genes meet unless both come by one and the same `via`: the least and the greatest of each gene's tell that, so the
+    join has a row per gene and assembly, and not per way in. One side of each assembly is dealt over `salts` tasks, the other
+    is copied to them; the answer itself has as many rows as there are pairs.
+    """
+    ways = assoc.groupBy("gene", "assembly").agg(F.min("via").alias("lo"), F.max("via").alias("hi"))
+    a = ways.select(F.col("gene").alias("a"), "assembly", F.col("lo").alias("la"), F.col("hi").alias("ha"), F.pmod(F.xxhash64("gene"), F.lit(salts)).alias("_salt"))
+    b = ways.select(F.col("gene").alias("b"), "assembly", F.col("lo").alias("lb"), F.col("hi").alias("hb"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    return a.join(b, ["assembly", "_salt"]).where("a < b and (la <> hb or lb <> ha)").select("a", "b").distinct()
 
 
-def store_overlap(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Ids in both tables, and in one alone."""
+def store_overlap(left: DataFrame, right: DataFrame, every_right: bool = False) -> DataFrame:
+    """Ids in both tables, and in one alone; every_right: an error if a right one (a record) has no left one (its gene)."""
     both = left.select("id", F.lit(1).alias("l")).distinct().join(right.select("id", F.lit(1).alias("r")).distinct(), "id", "full_outer")
-    return both.agg(F.count_if(F.col("l").isNotNull() & F.col("r").isNotNull()).alias("both"), F.count_if(F.col("r").isNull()).alias("only_left"), F.count_if(F.col("l").isNull()).alias("only_right"))
+    n = both.agg(F.count_if(F.col("l").isNotNull() & F.col("r").isNotNull()).alias("both"), F.count_if(F.col("r").isNull()).alias("only_left"), F.count_if(F.col("l").isNull()).alias("only_right"))
+    if every_right:
+        n = n.withColumn("only_right", F.when(F.col("only_right") > 0, F.raise_error("records without a gene").cast("long")).otherwise(F.col("only_right")))
+    return n
+
+
+def grounded_hits(annotations: DataFrame, records: DataFrame, hits: DataFrame) -> DataFrame:
+    """term, annotated (genes that have text), found (those among the query's hits), best_rank; hits(query_id, id, rank), a query being a term."""
+    with_text = annotations.select("term", "gene").distinct().join(records.select(F.col("id").alias("gene")).distinct(), "gene", "left_semi")
+    ranked = hits.select(F.col("query_id").alias("term"), F.col("id").alias("gene"), "rank")
+    both = with_text.join(ranked, ["term", "gene"], "left")
+    return both.groupBy("term").agg(F.count("*").alias("annotated"), F.count("rank").alias("found"), F.min("rank").alias("best_rank"))

@@ -1,70 +1,212 @@
-"""Ranking: fusion, metrics and paired statistics."""
+"""Evaluation of rankings: metrics, comparisons between arms, paired statistics and gates.
+
+Randomness is md5 of a seed and keys, so that other engines can draw the same.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+METRICS = ("accuracy", "precision", "recall", "mrr", "ndcg")
 
-def bm25_index(docs: DataFrame, k: float = 1.2, b: float = 0.75, avg_len: float = 256.0) -> DataFrame:
-    """docs(id, text) -> id, term, weight: the saturated term frequency, with a fixed average length."""
-    words = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda w: w != "")
-    terms = docs.select("id", F.size(words).alias("_len"), F.explode(words).alias("term"))
-    tf = terms.groupBy("id", "term", "_len").agg(F.count("*").alias("_tf"))
-    return tf.select("id", "term", (F.col("_tf") * (k + 1) / (F.col("_tf") + k * (1 - b + b * F.col("_len") / avg_len))).alias("weight"))
 
+def eval_set(queries: DataFrame, relevant: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(queries that have a relevant id, one row with the number dropped)."""
+    has = relevant.select("query_id").distinct()
+    return queries.join(has, "query_id", "left_semi"), queries.join(has, "query_id", "left_anti").agg(F.count("*").alias("dropped"))
 
-def inverse_frequency(index: DataFrame, n_docs: int) -> DataFrame:
-    df = index.groupBy("term").agg(F.count("*").alias("df"))
-    return df.select("term", "df", F.log((n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1).alias("idf"))
 
+def per_query(rankings: DataFrame, relevant: DataFrame, ks: tuple[int, ...] = (1, 3, 5, 10), map_k: int = 100) -> DataFrame:
+    """rankings([arm,] query_id, id, rank), relevant(query_id, id) -> n_rel, accuracy, precision, recall, mrr, ndcg at each k (as accuracy_1, ...) and map at map_k.
 
-def sparse(queries: DataFrame, index: DataFrame, n_docs: int, k: int) -> DataFrame:
-    """queries(query_id, term) -> query_id, id, score, rank of the k best; ties to the smaller id."""
-    wanted = queries.select("query_id", "term").distinct()
-    idf = inverse_frequency(index.join(wanted.select("term").distinct(), "term", "left_semi"), n_docs)
-    score = index.join(idf, "term").join(wanted, "term").groupBy("query_id", "id").agg(F.sum(F.col("weight") * F.col("idf")).alias("score"))
-    return top(score, k)
+    Each query that has a relevant id has a row, for each arm that ranks any query.
+    """
+    arm = ["arm"] if "arm" in rankings.columns else []
+    relevant = relevant.select("query_id", "id").distinct()
+    n = relevant.groupBy("query_id").agg(F.count("*").alias("n_rel"))
+    if arm:
+        n = n.join(F.broadcast(rankings.select("arm").distinct()))  # a handful of arms
+    hits = rankings.where(F.col("rank") <= max(*ks, map_k)).join(relevant, ["query_id", "id"], "left_semi")
+    so_far = F.row_number().over(Window.partitionBy(*arm, "query_id").orderBy("rank"))
+    hits = hits.withColumn("_gain", 1 / F.log2(F.col("rank") + 1)).withColumn("_p", so_far / F.col("rank"))
+    sums = [F.sum(F.when(F.col("rank") <= map_k, F.col("_p"))).alias("_ap"), F.min("rank").alias("_first")]
+    for k in ks:
+        sums += [F.count_if(F.col("rank") <= k).alias(f"_n{k}"), F.sum(F.when(F.col("rank") <= k, F.col("_gain"))).alias(f"_dcg{k}")]
+    got = n.join(hits.groupBy(*arm, "query_id").agg(*sums), [*arm, "query_id"], "left")
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    out = []
+    for k in ks:
+        hit = F.coalesce(F.col(f"_n{k}"), F.lit(0))
+        ideal = F.aggregate(F.sequence(F.lit(1), F.least("n_rel", F.lit(k)).cast("int")), F.lit(0.0), lambda a, i: a + 1 / F.log2(i + 1))
+        out += [
+            (hit > 0).cast("double").alias(f"accuracy_{k}"),
+            (hit / k).alias(f"precision_{k}"),
+            (hit / F.col("n_rel")).alias(f"recall_{k}"),
+            zero(F.when(F.col("_first") <= k, 1 / F.col("_first"))).alias(f"mrr_{k}"),
+            zero(F.col(f"_dcg{k}") / ideal).alias(f"ndcg_{k}"),
+        ]
+    return got.select(*arm, "query_id", "n_rel", *out, zero(F.col("_ap") / F.least("n_rel", F.lit(map_k))).alias(f"map_{map_k}"))
+
+
+def stacked(metrics: DataFrame, names: list[str]) -> DataFrame:
+    """arm, query_id, metric, value of per-query metrics in columns."""
+    return metrics.unpivot(["arm", "query_id"], names, "metric", "value")
+
+
+def aggregate(metrics: DataFrame, names: list[str]) -> DataFrame:
+    """The mean of each metric by arm."""
+    return metrics.groupBy("arm").agg(*(F.avg(m).alias(m) for m in names))
+
+
+def compare(summary: DataFrame, names: list[str], baseline: str, arms: list[str]) -> DataFrame:
+    """metric, a column for each arm, and delta_<arm> against the baseline."""
+    wide = summary.unpivot(["arm"], names, "metric", "value").groupBy("metric").pivot("arm", arms).agg(F.first("value"))
+    return wide.select("metric", *arms, *((F.col(a) - F.col(baseline)).alias(f"delta_{a}") for a in arms if a != baseline))
+
+
+def deltas(metrics: DataFrame, names: list[str], arm: str, baseline: str, by: list[str] | None = None) -> DataFrame:
+    """metric, by, query_id, delta of each query: arm less baseline."""
+    keep = by or []
+    long = metrics.unpivot(["arm", "query_id", *keep], names, "metric", "value").where(F.col("arm").isin(arm, baseline))
+    pick = lambda a: F.max(F.when(F.col("arm") == a, F.col("value")))
+    return long.groupBy("metric", *keep, "query_id").agg(pick(arm).alias("_a"), pick(baseline).alias("_b")).where("_a is not null and _b is not null").select("metric", *keep, "query_id", (F.col("_a") - F.col("_b")).alias("delta"))
+
+
+def draw(seed: int, *keys: Column) -> Column:
+    """A number from 0 to 2**32 - 1 from the md5 of seed and keys."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *(k.cast("string") for k in keys))), 1, 8), 16, 10).cast("long")
+
+
+def paired_bootstrap(delta: DataFrame, n: int = 10_000, seed: int = 0, by: tuple[str, ...] = ("metric",)) -> DataFrame:
+    """delta(by, query_id, delta) -> by, queries, delta (mean), ci_lo, ci_hi, p_two_sided, improved, worsened, unchanged.
+
+    Resamples the queries of each group with replacement n times. Draw j of resample i takes the query whose place is
+    md5(seed:i:j) modulo the number of queries; a resample's sum is a join of draws with places, added up on both sides of
+    the shuffle, so neither the draws nor the queries are gathered. Interval: 2.5 and 97.5 percentiles, linear; p: twice
+    the smaller tail, 1 at most.
+    """
+    by = list(by)
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("query_id")) - 1
+    placed = delta.select(*by, "delta", place.alias("_place"))
+    total = delta.groupBy(*by).agg(
+        F.count("*").alias("queries"), F.avg("delta").alias("delta"), F.count_if(F.col("delta") > 0).alias("improved"), F.count_if(F.col("delta") < 0).alias("worsened"), F.count_if(F.col("delta") == 0).alias("unchanged")
+    )
+    slots = placed.select(*by, F.col("_place").alias("_j")).join(total.select(*by, "queries"), by)
+    drawn = slots.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).select(*by, "_i", "queries", F.pmod(draw(seed, F.col("_i"), F.col("_j")), F.col("queries")).alias("_place"))
+    means = drawn.join(placed, [*by, "_place"]).groupBy(*by, "_i").agg((F.sum("delta") / F.first("queries")).alias("_mean"))
+    means = means.withColumn("_mean", F.round("_mean", 12))
+    spread = means.groupBy(*by).agg(
+        F.percentile("_mean", F.lit(0.025)).alias("ci_lo"), F.percentile("_mean", F.lit(0.975)).alias("ci_hi"), F.least(F.avg((F.col("_mean") <= 0).cast("double")), F.avg((F.col("_mean") >= 0).cast("double"))).alias("_tail")
+    )
+    p = F.least(F.lit(1.0), 2 * F.col("_tail")).alias("p_two_sided")
+    return total.join(spread, by).select(*by, "queries", "delta", "ci_lo", "ci_hi", p, "improved", "worsened", "unchanged")
 
 
-def top(scores: DataFrame, k: int) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-    return scores.withColumn("rank", rank).where(F.col("rank") <= k)
+def significance_table(metrics: DataFrame, names: list[str], arm: str, baseline: str, n: int = 10_000, seed: int = 0) -> DataFrame:
+    """The bootstrap of many metrics at once; significant: the interval leaves out 0."""
+    out = paired_bootstrap(deltas(metrics, names, arm, baseline), n, seed)
+    return out.withColumn("significant", (F.col("ci_lo") > 0) | (F.col("ci_hi") < 0))
 
 
-def rrf(rankings: list[DataFrame], k: int, k0: int = 60) -> DataFrame:
-    """Reciprocal-rank fusion of rankings(query_id, id, rank)."""
-    both = rankings[0].select("query_id", "id", "rank")
-    for r in rankings[1:]:
-        both = both.unionByName(r.select("query_id", "id", "rank"))
-    return top(both.groupBy("query_id", "id").agg(F.sum(1.0 / (F.col("rank") + k0)).alias("score")), k)
+def stratum(n: Column) -> Column:
+    return F.when(n <= 5, "1-5").when(n <= 15, "6-15").when(n <= 40, "16-40").otherwise("41+")
 
 
-def per_query(rankings: DataFrame, relevant: DataFrame, k: int) -> DataFrame:
-    """rankings(query_id, id, rank), relevant(query_id, id) -> accuracy, precision, recall, mrr, ndcg, map at k of each query that has a relevant id."""
-    n = relevant.distinct().groupBy("query_id").agg(F.count("*").alias("n_rel"))
-    hits = rankings.where(F.col("rank") <= k).join(relevant.distinct(), ["query_id", "id"], "left_semi")
-    so_far = F.row_number().over(Window.partitionBy("query_id").orderBy("rank"))
-    hits = hits.withColumn("_gain", 1 / F.log2(F.col("rank") + 1)).withColumn("_p", so_far / F.col("rank"))
-    got = hits.groupBy("query_id").agg(F.count("*").alias("n_hit"), F.min("rank").alias("first"), F.sum("_gain").alias("dcg"), F.sum("_p").alias("ap"))
-    ideal = F.aggregate(F.sequence(F.lit(1), F.least("n_rel", F.lit(k)).cast("int")), F.lit(0.0), lambda a, i: a + 1 / F.log2(i + 1))
-    zero = lambda c: F.coalesce(c, F.lit(0.0))
-    return n.join(got, "query_id", "left").select(
-        "query_id",
-        "n_rel",
-        zero((F.col("n_hit") > 0).cast("double")).alias("accuracy"),
-        zero(F.col("n_hit") / k).alias("precision"),
-        zero(F.col("n_hit") / F.col("n_rel")).alias("recall"),
-        zero(1 / F.col("first")).alias("mrr"),
-        zero(F.col("dcg") / ideal).alias("ndcg"),
-        zero(F.col("ap") / F.least("n_rel", F.lit(k))).alias("map"),
-    )
+def stratify(metrics: DataFrame, name: str, arm: str, baseline: str, n: int = 5000, seed: int = 0) -> DataFrame:
+    """bucket of relevant ids, queries, the mean of both arms, and the bootstrap of their difference."""
+    rows = metrics.withColumn("bucket", stratum(F.col("n_rel")))
+    mean = lambda a, out: F.avg(F.when(F.col("arm") == a, F.col(name))).alias(out)
+    both = rows.groupBy("bucket").agg(mean(arm, "arm_mean"), mean(baseline, "baseline_mean"))
+    boot = paired_bootstrap(deltas(rows, [name], arm, baseline, by=["bucket"]), n, seed, by=("bucket",))
+    return both.join(boot, "bucket")
 
 
-def stratum(n: Column) -> Column:
-    return F.when(n <= 5, "1-5").when(n <= 15, "6-15").when(n <= 40, "16-40").otherwise("41+")
+def treated_subset(rankings: DataFrame, arm: str, baseline: str, k: int) -> DataFrame:
+    """Queries whose first k ids, in order, differ between two arms."""
+    first = rankings.where((F.col("rank") <= k) & F.col("arm").isin(arm, baseline)).groupBy("query_id", "rank").agg(F.count_distinct("id").alias("_ids"), F.count("*").alias("_n"))
+    return first.where("_ids > 1 or _n < 2").select("query_id").distinct()
+
+
+def coverage(queries: DataFrame, relevant: DataFrame, corpus: DataFrame) -> DataFrame:
+    """One row: queries, relevant (distinct ids), missing (those that the corpus lacks)."""
+    ids = relevant.select("id").distinct()
+    gone = ids.join(corpus.select("id").distinct(), "id", "left_anti").agg(F.count("*").alias("missing"))
+    return queries.agg(F.count_distinct("query_id").alias("queries")).join(ids.agg(F.count("*").alias("relevant"))).join(gone)
+
+
+def latency(timings: DataFrame) -> DataFrame:
+    """timings(arm, query_id, seconds) -> arm, queries, median_ms."""
+    return timings.groupBy("arm").agg(F.count("*").alias("queries"), (F.percentile("seconds", F.lit(0.5)) * 1000).alias("median_ms"))
+
+
+def ranked_percentile(values: str, p: float) -> Column:
+    """sorted[min(n - 1, int(p * n))], as an aggregate: the value itself, never between two."""
+    place = lambda s: F.least(F.size(s) - 1, F.floor(F.lit(p) * F.size(s)).cast("int"))
+    s = F.array_sort(F.collect_list(values))
+    return F.get(s, place(s))
+
+
+def discrimination(scores: DataFrame, records: DataFrame, corpus_size: int, shortlist: int) -> DataFrame:
+    """One row that tells if chunks of a record answer a query better than another query does.
+
+    scores(kind: true or control, query_id, id, chunk_idx, score), records(query_id, id, score: of the whole record).
+    Spread: greatest less least chunk score of a record. within_true, within_control: means over records of more than one
+    chunk; across: mean over queries of the spread of records' best chunks; lift: mean of the best chunk less the record;
+    positive_pct: share of records where that is above 0; ratio: within_true by within_control. A shortlist of half the
+    corpus or more is refused: then the control would be a permutation of the true condition.
+    """
+    if 2 * shortlist >= corpus_size:
+        raise ValueError("the shortlist covers half of the corpus or more")
+    each = scores.groupBy("kind", "query_id", "id").agg((F.max("score") - F.min("score")).alias("spread"), F.max("score").alias("best"), F.count("*").alias("_n")).where("_n > 1")
+    true = each.where("kind = 'true'").join(records.select("query_id", "id", F.col("score").alias("record")), ["query_id", "id"])
+    own = true.agg(F.count("*").alias("records"), F.avg("spread").alias("within_true"), F.avg(F.col("best") - F.col("record")).alias("lift"), (100 * F.avg((F.col("best") > F.col("record")).cast("double"))).alias("positive_pct"))
+    control = each.where("kind = 'control'").agg(F.avg("spread").alias("within_control"))
+    across = true.groupBy("query_id").agg((F.max("best") - F.min("best")).alias("_a"), F.count("*").alias("_n")).where("_n > 1").agg(F.avg("_a").alias("across"))
+    t, c = F.col("within_true"), F.col("within_control")
+    ratio = F.when(c > 1e-9, t / c).when(t > 1e-9, F.lit(float("inf"))).otherwise(1.0)
+    return own.join(control).join(across).withColumn("ratio", ratio)
+
+
+def spread_summary(values: DataFrame, by: str, value: str) -> DataFrame:
+    """by, n, mean, median and the ranked 90th percentile of each group's values; groups are summaries, not corpora."""
+    return values.groupBy(by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.percentile(value, F.lit(0.5)).alias("median"), ranked_percentile(value, 0.9).alias("p90"))
 
 
 def context_tokens(chars: Column) -> Column:
     """About a token per four characters, rounded half to even, at least one."""
     return F.greatest(F.lit(1), F.bround(chars / 4).cast("int"))
+
+
+def context_cost(ranked: DataFrame) -> DataFrame:
+    """ranked(query_id, id, n_chunks, full_chars, snippet_chars) -> bucket (chunks of the record: 1, 2-3, 4-7, 8+), hits, full, snippet (tokens), saved_pct.
+
+    A hit without a snippet costs its full text. The bucket 'all' has all hits, and query_mean_full and query_mean_snippet
+    the mean of its queries' sums.
+    """
+    full = context_tokens(F.col("full_chars"))
+    rows = ranked.select("query_id", F.when(F.col("n_chunks") <= 1, "1").when(F.col("n_chunks") <= 3, "2-3").when(F.col("n_chunks") <= 7, "4-7").otherwise("8+").alias("bucket"), full.alias("_full"), F.when(F.col("snippet_chars") > 0, context_tokens(F.col("snippet_chars"))).otherwise(full).alias("_snippet"))
+    sums = lambda df: df.agg(F.count("*").alias("hits"), F.sum("_full").cast("long").alias("full"), F.sum("_snippet").cast("long").alias("snippet"))
+    none = F.lit(None).cast("double")
+    parts = sums(rows.groupBy("bucket")).withColumns({"query_mean_full": none, "query_mean_snippet": none})
+    each = rows.groupBy("query_id").agg(F.sum("_full").alias("_f"), F.sum("_snippet").alias("_s"))
+    whole = sums(rows).select(F.lit("all").alias("bucket"), "hits", "full", "snippet").join(each.agg(F.avg("_f").alias("query_mean_full"), F.avg("_s").alias("query_mean_snippet")))
+    return parts.unionByName(whole).withColumn("saved_pct", 100 * (1 - F.col("snippet") / F.col("full")))
+
+
+def quality_gate(summary: DataFrame, names: list[str], floor: float = 0.15, strict: bool = False) -> DataFrame:
+    """arm, metric, value of everything below the floor (null, too); strict: an error if there is any."""
+    low = summary.unpivot(["arm"], names, "metric", "value").where(F.col("value").isNull() | (F.col("value") < floor))
+    if strict and (bad := low.limit(5).collect()):
+        raise ValueError(f"not to be promoted: {bad}")
+    return low
+
+
+def drift_check(history: DataFrame, floor: float = 0.35, drop: float = 0.02) -> DataFrame:
+    """history(measured, value) with previous and reasons: below_floor, dropped (by more than `drop` against the measurement before).
+
+    A log of measurements has a row a run: one window orders all of it.
+    """
+    rows = history.withColumn("previous", F.lag("value").over(Window.orderBy("measured")))
+    reasons = F.array_compact(F.array(F.when(F.col("value") < floor, "below_floor"), F.when(F.col("previous") - F.col("value") > drop, "dropped")))
+    return rows.withColumn("reasons", F.array_join(reasons, ","))

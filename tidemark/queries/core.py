@@ -1,31 +1,12 @@
-"""Queries over the given tables, one per operator, each with the SQL that must give the same rows."""
+"""Queries of change capture, data quality and graphs."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import cdc, dq, graph, ir, text
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+from ..operators import cdc, dq, graph
+from .base import query, t
 
 # Current orders are those not open; the load brings those not of low priority, and closes pending ones.
 _CUR = "cur AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'O')"
@@ -75,7 +56,7 @@ def cdc_merge_composite(spark, sf_dir):
 @query(f"WITH {_LINES}, {_DIFF} SELECT l_orderkey, l_partkey, l_returnflag FROM ins UNION ALL SELECT * FROM cur c WHERE NOT EXISTS (SELECT 1 FROM del d WHERE c.l_orderkey = d.l_orderkey AND c.l_partkey = d.l_partkey AND c.l_returnflag = d.l_returnflag)")
 def cdc_apply_diff(spark, sf_dir):
     cur, stg, cols = line_load(spark, sf_dir)
-    return cdc.apply_diff(cur, cdc.merge_identity(cur, stg, cols, ["l_orderkey"])[1], cols)
+    return cdc.apply_diff(cur, cdc.merge_identity(cur, stg, cols, ["l_orderkey"])[1], cols, F.lit(1))
 
 
 @query("SELECT l_orderkey, l_partkey, l_linenumber, l_quantity FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS n FROM lineitem) WHERE n = 1")
@@ -94,9 +75,9 @@ def cdc_changed_keys(spark, sf_dir):
     return cdc.changed_keys([a, t(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("k"))], "k")
 
 
-@query("SELECT c_nationkey, array_to_string(list_sort(list(DISTINCT CAST(c_custkey AS VARCHAR))), ',') AS ids FROM customer WHERE c_nationkey IS NOT NULL GROUP BY 1")
+@query("SELECT l_orderkey, array_to_string(list_sort(list(DISTINCT CAST(l_partkey AS VARCHAR))), ',') AS ids FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY 1")
 def cdc_grouped_ids(spark, sf_dir):
-    return cdc.grouped_ids(t(spark, sf_dir, "customer"), "c_nationkey", "c_custkey").withColumn("ids", F.array_join("ids", ","))
+    return cdc.grouped_ids(t(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey").withColumn("ids", F.array_join("ids", ","))
 
 
 @query("SELECT o_orderkey, (SELECT min(c_custkey) FROM customer WHERE c_custkey = o_custkey) AS customer_id FROM orders")
@@ -177,64 +158,14 @@ def graph_store_overlap(spark, sf_dir):
     return graph.store_overlap(t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id")))
 
 
-@query("""SELECT o_custkey AS src, o_orderpriority AS dst, array_to_string(list_sort(list(DISTINCT o_orderstatus)), ',') AS pathway_ids
+@query("""SELECT o_custkey AS src, o_orderpriority AS dst, array_to_string(list_sort(list(DISTINCT o_orderstatus)), ',') AS pathway_ids, max(o_orderdate)::VARCHAR AS last, 'F' AS kept
     FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer) GROUP BY 1, 2""")
 def graph_upsert_edges(spark, sf_dir):
-    o = t(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("src"), F.col("o_orderpriority").alias("dst"), F.lit("ORDERS").alias("label"), F.col("o_orderstatus").alias("pathway_id"))
-    first = o.where("pathway_id = 'F'").groupBy("src", "dst", "label").agg(F.collect_set("pathway_id").alias("pathway_ids"))
+    o = t(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("src"), F.col("o_orderpriority").alias("dst"), F.lit("ORDERS").alias("label"), F.col("o_orderstatus").alias("pathway_id"), F.col("o_orderdate").cast("string").alias("day"))
+    first = o.groupBy("src", "dst", "label").agg(F.collect_set("pathway_id").alias("pathway_ids")).withColumn("props", F.create_map(F.lit("kept"), F.lit("F"), F.lit("last"), F.lit("never")))
     nodes = t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id")).union(o.select("dst"))
     # First-load edges without a customer would stay: they are checked on load, as later ones are.
-    first = first.join(nodes.select(F.col("id").alias("src")).distinct(), "src", "left_semi").select("src", "dst", "label", "pathway_ids")
-    return graph.upsert_edges(first, o, nodes).select(F.col("src").cast("long").alias("src"), "dst", F.array_join("pathway_ids", ",").alias("pathway_ids"))
-
-
-@query(r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text, '\s*\{[^}]*\}', '', 'g'), 'FUNCTION:\s*', '', 'g'), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS cleaned FROM documents""")
-def text_clean_function(spark, sf_dir):
-    return t(spark, sf_dir, "documents").select("doc_id", text.clean_function(F.col("text")).alias("cleaned"))
-
-
-@query("""WITH s AS (SELECT doc_id, string_split(text, '. ') AS s FROM documents WHERE text IS NOT NULL), n AS (SELECT *, greatest(len(s) - 2, 0) AS tail FROM s)
-    SELECT doc_id, CAST(b AS INTEGER) AS sent_start, CAST(least(b + 2, len(s)) AS INTEGER) AS sent_end, array_to_string(s[b + 1 : b + 2], ' ') AS chunk FROM n, unnest(range(0, tail + 1)) AS u(b)""")
-def text_windows(spark, sf_dir):
-    d = t(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.split("text", r"\. ").alias("s"))
-    return d.select("doc_id", F.explode(text.windows(F.col("s"), 2, 1)).alias("w")).select("doc_id", "w.sent_start", "w.sent_end", F.col("w.text").alias("chunk"))
-
-
-_RANKED = "ranked AS (SELECT o_custkey AS query_id, o_orderkey AS id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders)"
-
-
-def rankings(spark, sf_dir):
-    """Each customer's orders by price as a ranking, urgent ones as the relevant ones."""
-    o = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("query_id"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("score"), "o_orderdate", "o_orderpriority")
-    return ir.top(o, 10), o.where("o_orderpriority = '1-URGENT'").select("query_id", "id"), o
-
-
-@query(f"""WITH {_RANKED}, rel AS (SELECT DISTINCT o_custkey AS query_id, o_orderkey AS id FROM orders WHERE o_orderpriority = '1-URGENT'),
-    n AS (SELECT query_id, count(*) AS n_rel FROM rel GROUP BY 1),
-    h AS (SELECT r.query_id, rank, row_number() OVER (PARTITION BY r.query_id ORDER BY rank) AS hit FROM ranked r JOIN rel USING (query_id, id) WHERE rank <= 10),
-    g AS (SELECT query_id, count(*) AS n_hit, min(rank) AS first, sum(1 / log2(rank + 1)) AS dcg, sum(hit / rank) AS ap FROM h GROUP BY 1)
-    SELECT query_id, n_rel, CASE WHEN n_hit > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS accuracy, round(coalesce(n_hit / 10, 0), 6) AS precision, round(coalesce(n_hit / n_rel, 0), 6) AS recall, round(coalesce(1 / first, 0), 6) AS mrr,
-    round(coalesce(dcg / (SELECT sum(1 / log2(i + 1)) FROM range(1, CAST(least(n_rel, 10) AS INTEGER) + 1) AS x(i)), 0), 6) AS ndcg, round(coalesce(ap / least(n_rel, 10), 0), 6) AS map
-    FROM n LEFT JOIN g USING (query_id)""")
-def ir_per_query(spark, sf_dir):
-    ranked, relevant, _ = rankings(spark, sf_dir)
-    m = ir.per_query(ranked, relevant, 10)
-    return m.select("query_id", "n_rel", "accuracy", *(F.round(c, 6).alias(c) for c in ("precision", "recall", "mrr", "ndcg", "map")))
-
-
-@query("""WITH a AS (SELECT o_custkey AS query_id, o_orderkey AS id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders QUALIFY rank <= 10),
-    b AS (SELECT o_custkey AS query_id, o_orderkey AS id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rank FROM orders QUALIFY rank <= 10),
-    s AS (SELECT query_id, id, sum(1 / (60 + rank)) AS score FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY 1, 2)
-    SELECT query_id, id, round(score, 9) AS score FROM s""")
-def search_rrf(spark, sf_dir):
-    ranked, _, o = rankings(spark, sf_dir)
-    recent = ir.top(o.withColumn("score", F.col("o_orderdate")), 10)
-    return ir.rrf([ranked, recent], 20).select("query_id", "id", F.round("score", 9).alias("score"))
-
-
-@query("""WITH w AS (SELECT doc_id AS id, [x FOR x IN regexp_split_to_array(lower(text), '[^a-z0-9]+') IF x <> ''] AS ws FROM documents),
-    e AS (SELECT id, len(ws) AS n, unnest(ws) AS term FROM w)
-    SELECT id, term, round(count(*) * 2.2 / (count(*) + 1.2 * (0.25 + 0.75 * n / 256.0)), 6) AS weight FROM e GROUP BY id, term, n""")
-def search_bm25_index(spark, sf_dir):
-    index = ir.bm25_index(t(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"))
-    return index.withColumn("weight", F.round("weight", 6))
+    first = first.join(nodes.select(F.col("id").alias("src")).distinct(), "src", "left_semi")
+    new = o.withColumn("props", F.create_map(F.lit("last"), F.col("day"), F.lit("none"), F.lit(None).cast("string")))
+    out = graph.upsert_edges(first, new, nodes, order=["day"])
+    return out.select(F.col("src").cast("long").alias("src"), "dst", F.array_join("pathway_ids", ",").alias("pathway_ids"), F.col("props")["last"].alias("last"), F.col("props")["kept"].alias("kept"))
