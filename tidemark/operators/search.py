@@ -101,8 +101,8 @@ def dense(queries: DataFrame, vectors: DataFrame, k: int, query_rows: int = 1024
         rows = np.repeat(np.arange(len(a)), best.shape[1])
         return pa.table([q["query_id"].take(pa.array(rows)), v["id"].take(pa.array(best.ravel())), pa.array(scores[rows, best.ravel()])], names=names)
 
-    q = queries.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("long"))
-    v = vectors.withColumn("_p", F.pmod(F.xxhash64("id"), F.lit(parts))).withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long"))
+    q = queries.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    v = vectors.withColumn("_p", F.pmod(F.xxhash64("id"), F.lit(parts))).withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     met = q.groupBy("_b", "_p").cogroup(v.groupBy("_b", "_p")).applyInArrow(meet, f"query_id {query_type}, id {id_type}, score double")
     return top(met, k)
 
