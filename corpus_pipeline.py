@@ -1,67 +1,78 @@
-"""The corpus pipeline: language ID, near-dedup, decontamination, mixing and sharding of `documents`."""
+"""The corpus pipeline: language ID, near-dedup, decontamination, mixing and sharding of `documents`.
+
+Each stage takes all rows that the one before kept and returns their columns, with row_key up to mixing. Rows with null or
+repeated doc_ids are rows of their own; an empty table passes through as an empty one; other columns are carried along.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import salted_join, table, written
+from tidemark.llm.common import table, written
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.langid import held_out, predict, train
 from tidemark.llm.mixing import mix
 from tidemark.llm.neardup import near_duplicates
 from tidemark.llm.shards import document_shards
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
 
 def keyed(docs: DataFrame) -> DataFrame:
     """docs with row_key, a key of each row: its doc_id, but a new one where that is null or another row has it already.
 
     New keys lie above all doc_ids. Of rows that share a doc_id, the one with the least hash of its text has it as key.
+    Texts are written once and not shuffled: only the places of rows with new keys are looked up.
     """
     if "row_key" in docs.columns:
         return docs
     docs = written(docs.withColumn("_place", F.monotonically_increasing_id()), "keyed")
     above = docs.agg(F.coalesce(F.max("doc_id"), F.lit(0)) + 1).first()[0]
-    shared = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "_place"))["_place"].alias("_first"), F.count("*").alias("_n"))
-    shared = shared.where("_n > 1").select("doc_id", "_first")
-    new = F.col("doc_id").isNull() | (F.col("_first") != F.col("_place"))  # no _first: the only row of its doc_id
-    key = F.when(F.coalesce(new, F.lit(False)), F.col("_place") + above).otherwise(F.col("doc_id"))
-    return salted_join(docs, shared, "doc_id", F.col("_place")).withColumn("row_key", key).drop("_place", "_first")
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), "_place"))["_place"]
+    shared = docs.where("doc_id is not null").groupBy("doc_id").agg(first.alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    again = docs.select("doc_id", "_place").join(shared, "doc_id").where("_place <> _first").select("_place")
+    new = written(again.union(docs.where("doc_id is null").select("_place")).withColumn("_new", F.lit(True)), "new-keys")
+    key = F.when(F.col("_new"), F.col("_place") + above).otherwise(F.col("doc_id"))
+    return docs.join(new, "_place", "left").withColumn("row_key", key).drop("_place", "_new")
 
 
 def by_key(docs: DataFrame) -> DataFrame:
     """docs as the operators take them, with row_key for doc_id."""
-    return docs.withColumn("doc_id", F.col("row_key")).drop("row_key")
+    return docs.select(F.col("row_key").alias("doc_id"), *(c for c in docs.columns if c not in ("doc_id", "row_key")))
 
 
-def keep(docs: DataFrame, good: DataFrame, name: str) -> DataFrame:
-    """The rows of docs whose row_key is a doc_id in good; the keys are written first, so that they are worked out once."""
-    good = written(good.select(F.col("doc_id").alias("row_key")), name)
-    return docs.join(good, "row_key", "left_semi").select(*COLUMNS, "row_key")
+def without(docs: DataFrame, bad: DataFrame, name: str) -> DataFrame:
+    """The rows of docs whose row_key is no doc_id in bad. The keys are written first: they are worked out once, and where
+    they are few their known size lets Spark send them to the rows instead of shuffling texts."""
+    bad = written(bad.select(F.col("doc_id").alias("row_key")), name)
+    return docs.join(bad, "row_key", "left_anti").select(docs.columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected are texts whose language is none of those learned, and those without letters (null and empty ones)."""
     docs = keyed(docs)
     model = train(by_key(docs).where(~held_out()).select("doc_id", "lang", "text"))
-    return keep(docs, predict(by_key(docs), model).where(~F.col("rejected")), "languages")
+    return without(docs, predict(by_key(docs), model).where("rejected"), "rejected")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # A document without words is linked with nothing, and stays.
-    return keep(docs, near_duplicates(by_key(docs)).where("kept"), "kept")
+    """One row of each group of near copies stays; a text without words is linked with nothing, and stays."""
+    docs = keyed(docs)
+    return without(docs, near_duplicates(by_key(docs)).where("not kept"), "copies")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep(docs, decontaminate(by_key(docs), table(spark, sf_dir, "benchmark")).where(~F.col("contaminated")), "clean")
+    """Rows that hold an item of the benchmark go."""
+    docs = keyed(docs)
+    return without(docs, decontaminate(by_key(docs), table(spark, sf_dir, "benchmark")).where("contaminated"), "contaminated")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix(docs).where("_kept").select(COLUMNS)
+    """Rows in the order of the schedule; the default weights name every source (a null one, too), so that none goes."""
+    return mix(docs).where("_kept").select(*(c for c in docs.columns if c != "row_key"))
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row in one of 24 shards; a null text has the size of an empty one."""
     return document_shards(docs, 24)
 
 
