@@ -95,7 +95,7 @@ def _weight(r: Column) -> Column:
 
 def kegg_gene(r: Column) -> Column:
     """struct(gene_name, uid, full_name, gene_synonym): the symbols' first and the others; LOC and the entry without any."""
-    symbols = F.transform(F.split(F.coalesce(r["SYMBOL"], F.concat(F.lit("LOC"), r["ENTRY"])), ","), F.trim)
+    symbols = F.transform(F.split(F.coalesce(r["SYMBOL"], F.concat(F.lit("LOC"), r["ENTRY"])), ","), lambda x: F.trim(x))
     others = F.array_join(F.slice(symbols, 2, F.greatest(F.size(symbols) - 1, F.lit(0))), ", ")
     return F.struct(F.get(symbols, F.lit(0)).alias("gene_name"), _first_word(r["ENTRY"]).try_cast("int").alias("uid"), F.trim(F.replace(r["NAME"], F.lit("(RefSeq)"), F.lit(""))).alias("full_name"), others.alias("gene_synonym"))
 
@@ -213,7 +213,7 @@ def record_fanout(objects: DataFrame, children: DataFrame, parts: DataFrame, res
     known = objects.select(F.col("object_id").alias("entity_id"), kind.alias("entity_type")).unionByName(idents.select(F.col("reference_id").alias("entity_id"), F.col("reference_type").alias("entity_type")))
     known = known.unionByName(attached.where("is_reference").select(F.col("moiety_id").alias("entity_id"), F.lit("compound").alias("entity_type")))
     ref = objects.join(idents.withColumnRenamed("entity_id", "object_id"), ["pathway_id", "object_id"]).withColumn("identifier", F.col("reference_id"))
-    ref = ref.join(ensembl.withColumnRenamed("uniprot_id", "identifier"), "identifier", "left")
+    ref = ref.drop("ensembl_gene").join(ensembl.withColumnRenamed("uniprot_id", "identifier"), "identifier", "left")
     events, states = kind.isin("pathway", "reaction"), ~kind.isin("pathway", "reaction")
     return {
         "entities": known.distinct(),

@@ -229,7 +229,7 @@ def gaf(spark: SparkSession, path: str) -> DataFrame:
 def idmapping(spark: SparkSession, path: str) -> DataFrame:
     """Distinct uniprot_id, entrez_id of mapping files: column 0, and column 2 cut at ';' and ','; blanks are dropped."""
     rows = spark.read.csv(path, sep="\t", quote="", schema="uniprot_id string, name string, ids string")
-    ids = rows.select("uniprot_id", F.trim(F.explode(F.split("ids", "[;,]"))).alias("entrez_id"))
+    ids = rows.select("uniprot_id", F.explode(F.split("ids", "[;,]")).alias("entrez_id")).withColumn("entrez_id", F.trim("entrez_id"))
     return ids.where("entrez_id <> '' and uniprot_id is not null").distinct()
 
 
