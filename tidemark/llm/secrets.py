@@ -1,12 +1,13 @@
 """Secret scans by one combined automaton.
 
-Rules are written as small expressions over byte sets. All of them together are compiled by subset construction and
-minimised (Moore) into one transition array, which reads each text once, byte by byte, and tells which rules occur. Only
-in texts with a hit, that rule's own pair of automata then gives the spans: the forward one finds where a match first
-ends and how far it runs on, the one of the reversed rule finds its leftmost start.
-
-A rule must be a head and then a greedy run (the form of all rules here), so that a match goes on for as long as the
-automaton accepts without a gap.
+Rules are written as small expressions over byte sets: a head of a fixed length (or several) and a tail. The heads of all
+rules are compiled together by subset construction and minimised (Moore) into one transition array; each tail is compiled
+likewise. One pass reads each byte once: it moves the combined automaton and, beside it, the tails of the rules whose
+heads have been seen, so that no state has to count how long several runs are at once. A tail that can go no further ends
+its match where it last accepted.
+
+No head of a rule may end within its tail after the last place where that accepts: so a match in progress hides no later
+one of its rule. This holds for runs, and for all rules here.
 """
 
 from __future__ import annotations
@@ -54,38 +55,30 @@ def times(n: int, x):
 
 _SPACES, _QUOTE = star(any_of(" ")), maybe(any_of("\"'"))
 _VALUE = DIGITS | LOWER | UPPER | any_of("+/_.=-")
-_NAMES = [word(w, either_case=True) for w in ("password", "passwd", "secret", "token", "apikey", "api_key")]
 _ID = DIGITS | LOWER | UPPER
-#: The rules, in the order in which kinds are listed, and the least length of the part that counts.
-RULES = {
-    "assign": seq(alt(*_NAMES), _QUOTE, _SPACES, any_of(":="), _SPACES, _QUOTE, plus(_VALUE)),
-    "access": seq(word("AKIA"), plus(DIGITS | UPPER)),
-    "hex": plus(DIGITS | any_of("abcdef")),
-    "github": seq(word("gh"), any_of("pousr"), word("_"), plus(_ID)),
-    "slack": seq(word("xox"), any_of("abprs"), word("-"), plus(_ID | any_of("-"))),
-    "google": seq(word("AIza"), plus(_ID | any_of("_-"))),
-    "pem": seq(word("-----BEGIN "), star(UPPER | any_of(" ")), word("PRIVATE KEY-----")),
+_HEX = DIGITS | any_of("abcdef")
+#: Each rule's heads (with their lengths) and its tail, in the order in which kinds are listed.
+HEADS = {
+    "assign": [(word(w, either_case=True), len(w)) for w in ("password", "passwd", "secret", "token", "apikey", "api_key")],
+    "access": [(word("AKIA"), 4)],
+    "hex": [(times(16, _HEX), 16)],
+    "github": [(seq(word("gh"), any_of("pousr"), word("_")), 4)],
+    "slack": [(seq(word("xox"), any_of("abprs"), word("-")), 5)],
+    "google": [(word("AIza"), 4)],
+    "pem": [(word("-----BEGIN "), 11)],
+}
+TAILS = {
+    "assign": seq(_QUOTE, _SPACES, any_of(":="), _SPACES, _QUOTE, plus(_VALUE)),
+    "access": plus(DIGITS | UPPER),
+    "hex": star(_HEX),
+    "github": plus(_ID),
+    "slack": plus(_ID | any_of("-")),
+    "google": plus(_ID | any_of("_-")),
+    "pem": seq(star(UPPER | any_of(" ")), word("PRIVATE KEY-----")),
 }
 BASE = ("assign", "access", "hex")
 #: The least length of a match that counts (for assign, that of its value, is checked apart).
 LEAST = {"access": 18, "hex": 16, "github": 40, "slack": 15, "google": 39}
-#: What the combined automaton looks for: the rules with the run after a rare head left out, so that it stays small (runs
-#: that are counted side by side would multiply its states), and hex with its least length, so that short runs are no hits.
-PROBES = RULES | {
-    "access": word("AKIA"),
-    "hex": times(16, DIGITS | any_of("abcdef")),
-    "github": seq(word("gh"), any_of("pousr"), word("_")),
-    "slack": seq(word("xox"), any_of("abprs"), word("-")),
-    "google": word("AIza"),
-}
-
-
-def reverse(x):
-    if isinstance(x, frozenset):
-        return x
-    if x[0] == "seq":
-        return ("seq", *(reverse(y) for y in x[:0:-1]))
-    return (x[0], *(reverse(y) for y in x[1:]))
 
 
 class Automaton:
@@ -95,7 +88,7 @@ class Automaton:
     (times 256); rules[state] tells which rules end there. Without `anywhere`, state 0 is dead.
     """
 
-    def __init__(self, rules: dict[str, object], anywhere: bool):
+    def __init__(self, rules: dict[object, object], anywhere: bool):
         moves: list[list[tuple[frozenset, int]]] = []
         free: list[list[int]] = []
 
@@ -188,53 +181,37 @@ class Automaton:
 
 class Scanner:
     def __init__(self):
-        self.all = Automaton(PROBES, anywhere=True)
-        self.ahead = {k: Automaton({k: x}, anywhere=True) for k, x in RULES.items()}
-        self.back = {k: Automaton({k: reverse(x)}, anywhere=False) for k, x in RULES.items()}
-
-    def rules_in(self, data: bytes) -> set[str]:
-        """Rules that occur in data: the one pass of the combined automaton."""
-        step, accept, s = self.all.next, self.all.accept, self.all.start
-        found = set()
-        for byte in data:
-            s = step[s + byte]
-            if s >= accept:
-                found |= self.all.rules[s >> 8]
-        return found
-
-    def spans(self, kind: str, data: bytes) -> Iterator[tuple[int, int]]:
-        """Leftmost non-overlapping matches of one rule: (start, end) in bytes."""
-        ahead, back = self.ahead[kind], self.back[kind]
-        step, accept, n, at = ahead.next, ahead.accept, len(data), 0
-        while at < n:
-            s = ahead.start
-            for i in range(at, n):
-                s = step[s + data[i]]
-                if s >= accept:
-                    break
-            else:
-                return
-            end = i + 1
-            while end < n and (s := step[s + data[end]]) >= accept:
-                end += 1
-            start, r = i + 1, back.start
-            for j in range(i, at - 1, -1):
-                r = back.next[r + data[j]]
-                if r >= back.accept:
-                    start = j
-                elif r == 0:
-                    break
-            yield start, end
-            at = end
+        heads = {(rule, k, length): x for rule, found in HEADS.items() for k, (x, length) in enumerate(found)}
+        self.heads = Automaton(heads, anywhere=True)
+        self.found = [[(rule, length) for rule, _, length in names] for names in self.heads.rules]
+        self.tails = {rule: Automaton({rule: x}, anywhere=False) for rule, x in TAILS.items()}
+        self.rank = {rule: i for i, rule in enumerate(HEADS)}
 
     def __call__(self, data: bytes) -> list[tuple[int, int, str, int]]:
         """(start, rank of the kind, kind, end) of every secret, in order; bytes."""
-        out = []
-        for kind in self.rules_in(data):
-            for a, b in self.spans(kind, data):
-                if b - a >= LEAST.get(kind, 0) and (kind != "assign" or _value_length(data, a, b) >= 12):
-                    out.append((a, list(RULES).index(kind), kind, b))
-        return sorted(out)
+        step, accept, s = self.heads.next, self.heads.accept, self.heads.start
+        going: dict[str, list] = {}  # rule -> [its tail, the tail's state, start, end so far]
+        done: dict[str, int] = {}  # rule -> end of its last match, which no other may overlap
+        out: list[tuple[str, int, int]] = []
+        for i, byte in enumerate(data):
+            s = step[s + byte]
+            if going:
+                for rule, x in list(going.items()):
+                    x[1] = t = x[0].next[x[1] + byte]
+                    if t >= x[0].accept:
+                        x[3] = i + 1
+                    elif t == 0:
+                        del going[rule]
+                        if x[3]:
+                            done[rule] = x[3]
+                            out.append((rule, x[2], x[3]))
+            if s >= accept:
+                for rule, length in self.found[s >> 8]:
+                    if rule not in going and i + 1 - length >= done.get(rule, 0):
+                        tail = self.tails[rule]
+                        going[rule] = [tail, tail.start, i + 1 - length, i + 1 if tail.start >= tail.accept else 0]
+        out += [(rule, x[2], x[3]) for rule, x in going.items()]
+        return sorted((a, self.rank[k], k, b) for k, a, b in out if b and b - a >= LEAST.get(k, 0) and (k != "assign" or _value_length(data, a, b) >= 12))
 
 
 def _value_length(data: bytes, start: int, end: int) -> int:
