@@ -8,6 +8,8 @@ characters that fails once is not tried again from its middle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,37 +93,70 @@ def confirmed(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value worked out once however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def placed(rows: Column) -> Column:
+    """rows, an array of (gap, m, after), with the start of each m: gaps and matches follow one another from 0.
+
+    A fold that appends copies what it has so far, so it goes by blocks of about the root of their number: the starts of
+    blocks first, then each block from its start.
+    """
+    length = lambda x: F.length(x["gap"]) + F.length(x["m"])
+    none = F.array().cast("array<struct<m:string,start:int,before:string,after:string>>")
+
+    def blocks(rows: Column) -> Column:
+        b = F.ceil(F.sqrt(F.size(rows))).cast("int")
+        return F.transform(F.sequence(F.lit(0), ((F.size(rows) - 1) / b).cast("int")), lambda i: F.slice(rows, i * b + 1, b))
+
+    def first(acc: Column, block: Column) -> Column:
+        return F.struct((acc["at"] + F.aggregate(block, F.lit(0), lambda n, x: n + length(x))).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+    def one(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["gap"])
+        row = F.struct(x["m"].alias("m"), start.alias("start"), x["gap"].alias("before"), x["after"].alias("after"))
+        return F.struct((start + F.length(x["m"])).alias("at"), F.concat(acc["out"], F.array(row)).alias("out"))
+
+    def within(block: Column, start: Column) -> Column:
+        return F.aggregate(block, F.struct(start.alias("at"), none.alias("out")), one, lambda acc: acc["out"])
+
+    def by_blocks(found: Column) -> Column:
+        starts = F.aggregate(found, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), first, lambda acc: acc["out"])
+        return F.flatten(F.zip_with(found, starts, within))
+
+    return let(let(rows, blocks), by_blocks)
+
+
 def matches(kind: str, text: Column, reach: int) -> Column:
     """The kind's confirmed spans: array of (start, rank, kind, end, score); code points, end exclusive."""
     pattern = PATTERNS[kind]
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     rank = list(PATTERNS).index(kind)
-    empty = F.array().cast("array<struct<m:string,start:int>>")
+    none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,score:double>>")
 
-    def place(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        return F.struct((start + F.length(x["m"])).alias("at"), F.concat(acc["out"], F.array(F.struct(x["m"].alias("m"), start.alias("start")))).alias("out"))
+    def scored(x: Column) -> Column:
+        near = F.lower(F.concat(F.right(x["before"], F.lit(reach)), F.lit(" "), F.left(x["after"], F.lit(reach))))
+        points = lambda near: F.lit(SCORE[kind]) + F.when(F.rlike(near, F.lit(FOR[kind])), 0.1).otherwise(0.0) - F.when(F.rlike(near, F.lit(AGAINST)), 0.3).otherwise(0.0)
+        return F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), (x["start"] + F.length(x["m"])).alias("end"), F.round(let(near, points), 2).alias("score"))
 
-    pairs = F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(found)).alias("gap"), found.alias("m"))
-    placed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), place, lambda acc: acc["out"])
-    placed = F.filter(placed, lambda x: confirmed(kind, x["m"]))
+    def spans(found: Column) -> Column:
+        def rows(gaps: Column) -> Column:
+            n = F.size(found)
+            both = F.zip_with(F.slice(gaps, 1, n), found, lambda gap, m: F.struct(gap.alias("gap"), m.alias("m")))
+            return F.zip_with(both, F.slice(gaps, 2, n), lambda x, after: F.struct(x["gap"].alias("gap"), x["m"].alias("m"), after.alias("after")))
 
-    def scored(x: Column) -> Column:
-        size = F.length(x["m"])
-        left = F.greatest(x["start"] - reach, F.lit(0))
-        near = F.lower(F.concat(text.substr(left + 1, x["start"] - left), F.lit(" "), text.substr(x["start"] + size + 1, F.lit(reach))))
-        score = F.lit(SCORE[kind]) + F.when(F.rlike(near, F.lit(FOR[kind])), 0.1).otherwise(0.0) - F.when(F.rlike(near, F.lit(AGAINST)), 0.3).otherwise(0.0)
-        return F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), (x["start"] + size).alias("end"), F.round(score, 2).alias("score"))
+        good = F.filter(placed(let(F.split(text, pattern, -1), rows)), lambda x: confirmed(kind, x["m"]))
+        return F.when(F.size(found) > 0, F.transform(good, scored)).otherwise(none)
 
-    none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,score:double>>")
     seen = {"email": F.contains(text, F.lit("@")), "phone": F.contains(text, F.lit("+")), "ip": F.rlike(text, F.lit(r"[0-9]\.[0-9]"))}.get(kind, F.lit(True))
-    return F.when(seen & (F.size(found) > 0), F.transform(placed, scored)).otherwise(none)
+    return F.when(seen, let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)).otherwise(none)
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", reach: int = 40, least: float = 0.0) -> DataFrame:
     """docs with pii: array of (start, rank, kind, end, score), by start, then kind as PATTERNS lists them.
 
-    reach: characters on either side in which context words count. least: spans that score lower are left out.
+    reach: characters on either side, as far as the next match of the kind, in which context words count. least: spans that score lower are left out.
     A null or empty text has an empty array; whole texts are searched; other columns stay (an earlier pii is replaced).
     """
     text = F.coalesce(text_col, F.lit(""))
