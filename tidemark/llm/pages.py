@@ -38,7 +38,11 @@ _NOISE = (
 )
 NOISE = re.compile(rf"(?:^|[\s_-])(?:{_NOISE})(?:$|[\s_-])", re.I)
 ARTICLE = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|content|main|body)(?:$|[\s_-])", re.I)
-MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
+#: Comments, elements without markup inside, tags, declarations. What the end of the page breaks off goes as far as that, so
+#: every place is read once: quotes that close nothing are plain characters, and nothing is tried again.
+MARKUP = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:\"[^\"]*\"|'[^']*'|[^>])*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I
+)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: Elements that a start tag closes when they are open.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -84,9 +88,7 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
         else:
             stack.append((tag, path))
     if at < len(page):
-        rest = page[at:]
-        cut = re.search(r"<[/!A-Za-z][^<]*\Z", rest)  # a tag that the end of the page broke off
-        yield "text", stack[-1][1] if stack else "", rest[: cut.start()] if cut else rest
+        yield "text", stack[-1][1] if stack else "", page[at:]
     for t, path in reversed(stack):
         yield "close", path, t
 
