@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.store import erase, shared_dir, written
 
-__all__ = ["erase", "salted_join", "shared_dir", "table", "unit", "written"]
+__all__ = ["erase", "pieces", "salted_join", "shared_dir", "table", "unit", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of at most so many rows, so that few texts are Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def unit(*cols: Column | str, seed: int) -> Column:
     """A hash of cols as a long; equal rows get equal values, whatever task computes them."""
     return F.xxhash64(F.lit(seed), *cols)

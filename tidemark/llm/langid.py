@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import pieces
+
 ORDER = 4
 U = np.uint64
 _ODD = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1 for k in range(ORDER)], U)
@@ -173,7 +175,7 @@ def _row_keys(rows: np.ndarray) -> np.ndarray:
     return h * U(0xBF58476D1CE4E5B9)
 
 
-def _in_blocks(texts: list[str | None], most: int = 1 << 19) -> Iterator[list[str]]:
+def _in_blocks(texts: list[str | None], most: int = 1 << 17) -> Iterator[list[str]]:
     block, size = [], 0
     for t in texts:
         t = t or ""
@@ -188,7 +190,7 @@ def _in_blocks(texts: list[str | None], most: int = 1 << 19) -> Iterator[list[st
 
 def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """lang, text -> lang, gram, n: n-grams of the highest order, summed over each batch's texts."""
-    for batch in batches:
+    for batch in pieces(batches):
         by_lang = defaultdict(list)
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             by_lang[lang].append(text)
@@ -231,7 +233,7 @@ def train(labelled: DataFrame, sample_docs: int = 1000, margin: float = 1.0) ->
     shared = spark.sparkContext.broadcast(model)
 
     def entropy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             rows = [e for block in _in_blocks(batch.column(1).to_pylist()) for e in zip(*shared.value.entropies(block), strict=True)]
             own = [float(e[shared.value.langs.index(s)]) if s in shared.value.langs and n > 20 else None for s, (e, n) in zip(batch.column(0).to_pylist(), rows, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.float64())], ["lang", "e"])
@@ -253,7 +255,7 @@ def predict(docs: DataFrame, model: Model | None, short: int = 40) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in pieces(batches):
             pred, score, entropy, rejected = [], [], [], []
             for block in _in_blocks(batch.column(1).to_pylist()):
                 if model is None:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import salted_join, written
+from .common import pieces, salted_join, written
 
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -161,7 +161,7 @@ TOKENS = "host string, page long, token string, n long, chars long"
 def page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """host, page (its hash), html -> for each page its tokens outside boilerplate: how often each occurs, and the
     characters of text within. The token '' stands for the page; a page without elements and text has none."""
-    for batch in batches:
+    for batch in pieces(batches):
         rows: list[tuple[str, int, str, int, int]] = []
         for name, number, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             n: dict[str, int] = {}
@@ -284,7 +284,7 @@ def page_texts(pages: DataFrame) -> DataFrame:
     joined = salted_join(named, slots, "host", F.struct("page_id", "url"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches):
             texts = [slot_text(h or "", s or "", frozenset(f or ())) for h, s, f in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 

@@ -17,6 +17,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import pieces
+
 # Expressions: a frozenset of bytes, or ("seq", ...), ("alt", ...), ("star", x).
 DIGITS, LOWER, UPPER = (frozenset(range(ord(a), ord(b) + 1)) for a, b in ("09", "az", "AZ"))
 
@@ -235,7 +237,7 @@ def secret_spans(docs: DataFrame) -> DataFrame:
         if not _scanner:
             _scanner.append(Scanner())
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
+        for batch in pieces(batches):
             rows = []
             for data in batch.column(1).cast(pa.binary()).to_pylist():
                 row, at, points = [], 0, 0

@@ -14,6 +14,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import pieces
+
 #: The pre-tokenizer's pattern of byte-level BPE, with white space as Unicode defines it.
 WORDS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -113,7 +115,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 1024, id_col: st
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counters.get(vocabulary) or _counters.setdefault(vocabulary, Counter(*shared.value))
-        for batch in batches:
+        for batch in pieces(batches):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             tokens = [counter(t) for t in texts]
             sizes = [len(t.encode()) for t in texts]
