@@ -164,7 +164,7 @@ def chunk_rerank(shortlist: DataFrame, best: DataFrame, k: int, how: str = "max"
     s = best.groupBy("query_id", "id").agg(F.array_sort(F.collect_list("score")).alias("_s"), F.max("score").alias("_max"), F.stddev_pop("score").alias("_sd"), F.count("*").alias("_n"))
     two = F.aggregate(F.slice("_s", F.greatest(F.size("_s") - 1, F.lit(1)), 2), F.lit(0.0), lambda a, x: a + x) / F.least(F.size("_s"), F.lit(2))
     score = {"max": F.col("_max"), "rrf": F.col("_max"), "top2": two, "lognorm": F.when(F.col("_n") < 2, F.col("_max")).otherwise(F.col("_max") - blom(F.col("_n")) * F.col("_sd"))}[how]
-    both = shortlist.select("query_id", "id", F.col("rank").alias("record_rank")).join(s.select("query_id", "id", F.round(score, 9).alias("chunk_score")), ["query_id", "id"], "left")
+    both = shortlist.select("query_id", "id", F.col("rank").alias("record_rank")).join(s.select("query_id", "id", F.round(score, 12).alias("chunk_score")), ["query_id", "id"], "left")
     query = Window.partitionBy("query_id")
     key = F.col("chunk_score")
     if how == "rrf":

@@ -226,7 +226,7 @@ def search_attach_snippets(spark, sf_dir):
 # Blom's quantiles for up to 10 chunks, as the SQL's own fixed list.
 _BLOM = "[" + ", ".join(repr(x) for x in [0.0, *(search.NormalDist().inv_cdf((i - 0.375) / (i + 0.25)) for i in range(2, 11))]) + "]"
 _AGG = f"""agg AS (SELECT query_id, id, max(score) AS mx, count(*) AS n, stddev_pop(score) AS sd, list_sort(list(score), 'DESC') AS l FROM best GROUP BY 1, 2),
-    sc AS (SELECT s.query_id, s.id, s.rank AS record_rank, how, round(CASE how WHEN 'top2' THEN CASE WHEN n > 1 THEN (l[1] + l[2]) / 2 ELSE l[1] END WHEN 'lognorm' THEN CASE WHEN n < 2 THEN mx ELSE mx - {_BLOM}[n] * sd END ELSE mx END, 9) AS chunk_score
+    sc AS (SELECT s.query_id, s.id, s.rank AS record_rank, how, round(CASE how WHEN 'top2' THEN CASE WHEN n > 1 THEN (l[1] + l[2]) / 2 ELSE l[1] END WHEN 'lognorm' THEN CASE WHEN n < 2 THEN mx ELSE mx - {_BLOM}[n] * sd END ELSE mx END, 12) AS chunk_score
         FROM short s LEFT JOIN agg USING (query_id, id), (VALUES ('max'), ('top2'), ('lognorm'), ('rrf')) AS h(how)),
     kd AS (SELECT *, CASE WHEN how <> 'rrf' THEN chunk_score WHEN chunk_score IS NOT NULL THEN round(1 / (60 + record_rank) + 1 / (60 + row_number() OVER (PARTITION BY query_id, how ORDER BY chunk_score DESC NULLS LAST, record_rank)), 12) END AS k FROM sc)
     SELECT how, query_id, id, record_rank, chunk_score, CAST(row_number() OVER (PARTITION BY query_id, how ORDER BY k DESC NULLS LAST, record_rank) AS INTEGER) AS rank FROM kd"""
