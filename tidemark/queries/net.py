@@ -145,7 +145,7 @@ def net_derive_all(spark, sf_dir):
 
 
 @query(_BASE + """, op AS (SELECT DISTINCT coalesce(x.key, a.e) AS a, coalesce(y.key, b.e) AS b FROM rx a JOIN pr b USING (p, r)
-    LEFT JOIN (SELECT DISTINCT seed, key FROM clo JOIN own USING (id) WHERE label = 'Gene') x ON x.seed = a.e LEFT JOIN (SELECT DISTINCT seed, key FROM clo JOIN own USING (id) WHERE label = 'Gene') y ON y.seed = b.e)
+    LEFT JOIN (SELECT DISTINCT seed, key FROM clo JOIN own USING (id) SEMI JOIN parts ON clo.p = parts.p AND clo.seed = parts.e WHERE label = 'Gene') x ON x.seed = a.e LEFT JOIN (SELECT DISTINCT seed, key FROM clo JOIN own USING (id) SEMI JOIN parts ON clo.p = parts.p AND clo.seed = parts.e WHERE label = 'Gene') y ON y.seed = b.e)
     SELECT a, b FROM op WHERE a <> b""")
 def graph_gene_gene(spark, sf_dir):
     r = reactions(spark, sf_dir)
