@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import sys
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import encode_decode
+from .codes import books_digest, compress, with_label_errors
 from .common import table
 from .decontaminate import decontaminate
 from .knn import inner_product_topk
@@ -16,6 +19,7 @@ from .neardup import near_duplicates
 from .pages import page_texts
 from .pii import document_pii
 from .secrets import document_secrets
+from .runs import periodic_runs
 from .shards import document_shards
 from .tokens import token_counts
 
@@ -72,7 +76,45 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_texts(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_sharding, op3_near_duplicates, op4_topk, op5_pii, op6_mixing, op7_language, op8_secrets, op9_decontamination, op10_page_text)}
+def tail_repeated(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words, their tail made periodic where crc32(doc_id) is divisible by 10; a null doc_id changes nothing."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = (g := h // 10) % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = periodic_runs(table(spark, sf_dir, "documents"), rewrite=tail_repeated)
+    longest = F.reduce(  # runs come by start, then period: of equal exponents the first stays
+        F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))), F.get("runs", F.lit(0)), lambda a, r: F.when(r["length"] * a["period"] > a["length"] * r["period"], r).otherwise(a)
+    )
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    best = F.col("_best")
+    return runs.withColumn("_best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(best[c].alias(c) for c in ("start", "length", "period")),
+        F.expr("_best.length * 1000 div _best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_decode(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = compress(table(spark, sf_dir, "embeddings"), n_parts=8, k=16, rounds=6, scale=4096)
+    digits = F.array_join(F.transform("code", lambda e: F.lower(F.lpad(F.hex(e), 2, "0"))), "")
+    return with_label_errors(made.rows.withColumn("code", digits)).select("vec_id", "code", "error", "label_error", F.lit(books_digest(made.codebooks)).alias("codebooks_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_sharding, op3_near_duplicates, op4_topk, op5_pii, op6_mixing, op7_language, op8_secrets, op9_decontamination, op10_page_text, op11_periodic_runs, op12_bpe, op13_vector_codes)}
 
 #: DuckDB SQL over the same tables, where SQL can express the rows.
 ORACLE_SQL = {
