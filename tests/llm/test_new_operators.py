@@ -11,6 +11,7 @@ import pytest
 
 from tidemark.llm.bpe import Codec, encode_decode
 from tidemark.llm.codes import compress, with_label_errors
+from tidemark.llm.mixing import phases, schedule, whole_weights
 from tidemark.llm.queries import QUERIES, tail_repeated, vocabulary_path
 from tidemark.llm.runs import periodic_runs, text_runs
 
@@ -217,3 +218,39 @@ def test_codes_query(spark):
     for r in got:
         error[label[r["vec_id"]]] = error.get(label[r["vec_id"]], 0) + r["error"]
     assert all(r["label_error"] == error[label[r["vec_id"]]] for r in got)
+
+
+def plain_schedule(shares, blocks):
+    """Slot by slot, earliest deadline first among released blocks, ties by source."""
+    lines = phases(shares, blocks)
+    release = lambda j, s: min(e + a * j // shares[s] for _, e, a in lines)
+    deadline = lambda j, s: min(e - (-a * (j + 1) // shares[s]) for _, e, a in lines)
+    out = {s: [] for s in shares}
+    for t in range(sum(blocks.values())):
+        due, s = min((deadline(len(out[s]), s), s) for s in shares if len(out[s]) < blocks[s] and release(len(out[s]), s) <= t)
+        assert t < due
+        out[s].append(t)
+    return out
+
+
+def slots_of(plan, blocks):
+    out = {}
+    for s, parts in plan.items():
+        ends = [first for first, _, _ in parts[1:]] + [blocks[s]]
+        out[s] = [slots[(b - first) % len(slots)] + (b - first) // len(slots) * shift for (first, shift, slots), end in zip(parts, ends, strict=True) for b in range(first, end)]
+    return out
+
+
+def test_schedule_plain():
+    """Sources of unlike sizes, which leave one by one."""
+    rng = random.Random(6)
+    draws = [(200, [17405, 9546, 176, 279, 484, 10397, 66, 73, 12063, 37005, 18120, 16194, 1301, 97, 377])]
+    draws += [(resolution, [rng.choice([rng.randint(1, 50), rng.randint(1, 3000)]) for _ in range(k)]) for k, resolution in ((2, 50), (3, 1000), (10, 50), (40, 200), (40, 1000), (120, 500))]
+    for resolution, rows in draws:
+        shares = whole_weights({f"s{i:04d}": n**0.75 for i, n in enumerate(rows)}, resolution)
+        blocks = {s: -(-n // 8) for s, n in zip(shares, rows, strict=True)}
+        assert slots_of(schedule(shares, blocks), blocks) == plain_schedule(shares, blocks)
+    for _ in range(2):  # the default resolution: each slot once, none past its deadline
+        shares = whole_weights({f"s{i:04d}": rng.randint(1, 100_000) ** 0.75 for i in range(300)}, 10_000)
+        blocks = {s: rng.randint(1, 3000) for s in shares}
+        assert sorted(x for slots in slots_of(schedule(shares, blocks), blocks).values() for x in slots) == list(range(sum(blocks.values())))

@@ -12,7 +12,7 @@ its slot from its rank within its source.
 from __future__ import annotations
 
 from fractions import Fraction
-from heapq import heappop, heappush
+from heapq import heapify, heappop, heappush
 from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
@@ -81,6 +81,7 @@ def schedule(shares: dict[str, int], blocks: dict[str, int]) -> dict[str, list[t
                     t += m * period
                     ready = [(d + m * period, s) for d, s in ready]
                     coming = [(r + m * period, s) for r, s in coming if released[s] < blocks[s]]
+                    heapify(coming)
                     before, mark = None, -1
                     continue
             before, mark = now, t + period
