@@ -5,9 +5,15 @@ Randomness is md5 of a seed and keys, so that other engines can draw the same.
 
 from __future__ import annotations
 
+from hashlib import md5
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import written
+
 METRICS = ("accuracy", "precision", "recall", "mrr", "ndcg")
 
 
@@ -66,36 +72,75 @@ def compare(summary: DataFrame, names: list[str], baseline: str, arms: list[str]
 
 
 def deltas(metrics: DataFrame, names: list[str], arm: str, baseline: str, by: list[str] | None = None) -> DataFrame:
-    """metric, by, query_id, delta of each query: arm less baseline."""
+    """metric, by, query_id, delta of each query: arm less baseline, to 12 places, so that equal values differ by 0 in whatever order their parts were added."""
     keep = by or []
     long = metrics.unpivot(["arm", "query_id", *keep], names, "metric", "value").where(F.col("arm").isin(arm, baseline))
     pick = lambda a: F.max(F.when(F.col("arm") == a, F.col("value")))
-    return long.groupBy("metric", *keep, "query_id").agg(pick(arm).alias("_a"), pick(baseline).alias("_b")).where("_a is not null and _b is not null").select("metric", *keep, "query_id", (F.col("_a") - F.col("_b")).alias("delta"))
+    return long.groupBy("metric", *keep, "query_id").agg(pick(arm).alias("_a"), pick(baseline).alias("_b")).where("_a is not null and _b is not null").select("metric", *keep, "query_id", F.round(F.col("_a") - F.col("_b"), 12).alias("delta"))
+
+
+def draw(seed: int, i: Column, j: Column) -> Column:
+    """Draw j of resample i, from 0 to 2**32 - 1: an md5 of seed, i and j // 4 gives four draws, each from four of its bytes."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), i.cast("string"), F.floor(j / 4).cast("string")))
+    return F.conv(F.substring(digest, (F.pmod(j, F.lit(4)) * 8 + 1).cast("int"), F.lit(8)), 16, 10).cast("long")
 
 
-def draw(seed: int, *keys: Column) -> Column:
-    """A number from 0 to 2**32 - 1 from the md5 of seed and keys."""
-    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *(k.cast("string") for k in keys))), 1, 8), 16, 10).cast("long")
+def multiplicities(seed: int, i: int, n: int) -> np.ndarray:
+    """How often resample i draws each of n places."""
+    head = b"%d:%d:" % (seed, i)
+    digests = b"".join([md5(head + b"%d" % j).digest() for j in range(-(-n // 4))])
+    return np.bincount(np.frombuffer(digests, ">u4")[:n] % n, minlength=n)
 
 
-def paired_bootstrap(delta: DataFrame, n: int = 10_000, seed: int = 0, by: tuple[str, ...] = ("metric",)) -> DataFrame:
+def resampled(delta: DataFrame, n: int, seed: int, by: list[str], most: int, block: int = 128) -> DataFrame:
+    """by, _i, _mean: the mean of each group's delta in each of n resamples.
+
+    Draws depend on a group's size alone. Groups of one size are put together, at most about `most` numbers at a time, and
+    one table of multiplicities (resample x place), made `block` resamples a task, is multiplied with all of them at once.
+    Groups of more than `most` rows are not gathered: their draws are joined with their places.
+    """
+    spark = delta.sparkSession
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("query_id")) - 1
+    placed = written(delta.select(*by, "delta", place.cast("long").alias("_place")), "places")
+    sizes = placed.groupBy(*by).agg(F.count("*").alias("_n"))
+    sized = placed.join(sizes, by)
+    # One row a group, of at most `most` numbers.
+    rows = sized.where(F.col("_n") <= most).groupBy(*by, "_n").agg(F.array_sort(F.collect_list(F.struct("_place", "delta"))).alias("_d"))
+    rows = rows.select(F.struct(*by).alias("_by"), "_n", F.col("_d.delta").alias("_d"))
+    together = rows.groupBy("_n").agg(F.ceil(F.count("*") * F.col("_n") / most).alias("_parts"))
+    rows = rows.join(together, "_n").withColumn("_part", F.pmod(F.xxhash64(F.to_json("_by")), F.col("_parts"))).drop("_parts")
+    rows = rows.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit((n - 1) // block))))
+
+    def means(key: tuple, groups: pa.Table) -> pa.Table:
+        size, first = key[0].as_py(), key[2].as_py() * block
+        values = groups["_d"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+        found = [values @ multiplicities(seed, i, size) / size for i in range(first, min(first + block, n))]
+        flat = np.concatenate(found) if found else np.zeros(0)
+        at = pa.array(np.tile(np.arange(len(values)), len(found)))
+        return pa.table([groups["_by"].combine_chunks().take(at), pa.array(np.repeat(np.arange(first, first + len(found)), len(values))), pa.array(flat)], names=["_by", "_i", "_mean"])
+
+    form = ", ".join(f"`{c}`: {delta.schema[c].dataType.simpleString()}" for c in by)
+    together = rows.groupBy("_n", "_part", "_block").applyInArrow(means, f"_by struct<{form}>, _i long, _mean double").select("_by.*", "_i", "_mean")
+    if not sized.where(F.col("_n") > most).limit(1).count():
+        return together
+    large = sized.where(F.col("_n") > most)
+    drawn = large.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).select(*by, "_i", "_n", F.pmod(draw(seed, F.col("_i"), F.col("_place")), F.col("_n")).alias("_place"))
+    drawn = drawn.join(large.drop("_n"), [*by, "_place"]).groupBy(*by, "_i").agg((F.sum("delta") / F.first("_n")).alias("_mean"))
+    return together.unionByName(drawn.select(*by, F.col("_i").cast("long").alias("_i"), "_mean"))
+
+
+def paired_bootstrap(delta: DataFrame, n: int = 10_000, seed: int = 0, by: tuple[str, ...] = ("metric",), most: int = 1 << 20) -> DataFrame:
     """delta(by, query_id, delta) -> by, queries, delta (mean), ci_lo, ci_hi, p_two_sided, improved, worsened, unchanged.
 
-    Resamples the queries of each group with replacement n times. Draw j of resample i takes the query whose place is
-    md5(seed:i:j) modulo the number of queries; a resample's sum is a join of draws with places, added up on both sides of
-    the shuffle, so neither the draws nor the queries are gathered. Interval: 2.5 and 97.5 percentiles, linear; p: twice
-    the smaller tail, 1 at most.
+    Resamples the queries of each group with replacement n times; draw j of resample i takes the query at place
+    draw(seed, i, j) modulo the number of queries. Groups of more than `most` queries take another way to the same means
+    (see `resampled`). Interval: 2.5 and 97.5 percentiles, linear; p: twice the smaller tail, 1 at most.
     """
     by = list(by)
-    place = F.row_number().over(Window.partitionBy(*by).orderBy("query_id")) - 1
-    placed = delta.select(*by, "delta", place.alias("_place"))
     total = delta.groupBy(*by).agg(
         F.count("*").alias("queries"), F.avg("delta").alias("delta"), F.count_if(F.col("delta") > 0).alias("improved"), F.count_if(F.col("delta") < 0).alias("worsened"), F.count_if(F.col("delta") == 0).alias("unchanged")
     )
-    slots = placed.select(*by, F.col("_place").alias("_j")).join(total.select(*by, "queries"), by)
-    drawn = slots.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).select(*by, "_i", "queries", F.pmod(draw(seed, F.col("_i"), F.col("_j")), F.col("queries")).alias("_place"))
-    means = drawn.join(placed, [*by, "_place"]).groupBy(*by, "_i").agg((F.sum("delta") / F.first("queries")).alias("_mean"))
-    means = means.withColumn("_mean", F.round("_mean", 12))
+    means = resampled(delta, n, seed, by, most).withColumn("_mean", F.round("_mean", 12))
     spread = means.groupBy(*by).agg(
         F.percentile("_mean", F.lit(0.025)).alias("ci_lo"), F.percentile("_mean", F.lit(0.975)).alias("ci_hi"), F.least(F.avg((F.col("_mean") <= 0).cast("double")), F.avg((F.col("_mean") >= 0).cast("double"))).alias("_tail")
     )

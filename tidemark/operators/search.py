@@ -1,12 +1,13 @@
 """Retrieval over a two-level index of records and their chunks, for all queries at once.
 
 Rankings are tables (query_id, id, score, rank), chunk rankings have chunk_idx as well; rank begins at 1 and ties go to the
-smaller id. Dense search compares all vectors in blocks; sparse search is BM25 with a fixed average length.
+smaller id. Dense search meets only parts that can hold an answer; sparse search is BM25 with a fixed average length.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 from statistics import NormalDist
 
@@ -15,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import erase, written
+
 #: English words that carry no meaning of their own.
 STOP_WORDS = "a an and are as at be but by for if in into is it no not of on or such that the their then there these they this to was will with".split()
 PREFETCH, RRF_K = 200, 60
@@ -78,33 +81,108 @@ def _vectors(column: pa.ChunkedArray) -> np.ndarray:
     return v / np.maximum(np.sqrt((v * v).sum(1, keepdims=True)), 1e-300)
 
 
+@dataclass
+class Nearest:
+    """ranking(query_id, id, score, rank) and compared(query_id, parts, rows): the parts, and their rows, that each query met."""
+
+    ranking: DataFrame
+    compared: DataFrame
+
+
 def dense(queries: DataFrame, vectors: DataFrame, k: int, query_rows: int = 1024, vector_rows: int = 32_768) -> DataFrame:
-    """queries(query_id, dense), vectors(id, dense) -> the k vectors of greatest cosine, rounded to 6 places, for each query.
+    """queries(query_id, dense), vectors(id, dense) -> the k vectors of greatest cosine, rounded to 6 places, for each query: see `nearest`."""
+    return nearest(queries, vectors, k, query_rows, vector_rows).ranking
+
+
+def nearest(queries: DataFrame, vectors: DataFrame, k: int, query_rows: int = 1024, vector_rows: int = 32_768, most_pivots: int = 1024, rings: int = 8) -> Nearest:
+    """Exact search by cosine that looks only where a query's k best can be.
+
+    Vectors belong to the pivot that is nearest by angle, and within it to a ring of angles. By the triangle inequality a
+    ring with angles lo to hi holds nothing nearer to a query, at angle a from the pivot, than a - hi or lo - a. A query
+    first meets the rings of the highest bounds that hold k rows; its k-th score there is a floor, and of the other rings
+    only those whose bound reaches the floor are searched. So a query is sent to the rings that it needs, and to no other. A ring of more than vector_rows rows is cut by hash, equal vectors
+    included, and where more than query_rows queries need it, they are dealt over tasks, each with a copy of the ring.
 
-    Exact: queries are dealt into blocks and vectors into parts of about the rows given, and each block meets each part in
-    a task of its own, which hands on k rows a query. Vectors that are null, hold a null or not a number, or are zero
-    take no part; all have one length.
+    Vectors that are null, hold a null or not a number, or are zero take no part; all have one length. Of queries with one
+    query_id one is answered. The driver sees pivots (at most most_pivots) and rings (`rings` times as many), chosen and
+    counted; intermediate tables are deleted, the two results are written.
     """
     good = lambda df: df.where("dense is not null and not exists(dense, x -> x is null or isnan(x)) and exists(dense, x -> x <> 0)")
-    queries, vectors = good(queries.select("query_id", "dense")), good(vectors.select("id", "dense"))
-    blocks, parts = max(1, -(-queries.count() // query_rows)), max(1, -(-vectors.count() // vector_rows))
-    id_type, query_type = vectors.schema["id"].dataType.simpleString(), queries.schema["query_id"].dataType.simpleString()
+    queries, vectors = good(queries.select("query_id", "dense")).dropDuplicates(["query_id"]), good(vectors.select("id", "dense"))
+    spark, n = vectors.sparkSession, vectors.count()
+    id_type, query_type, dense_type, q_dense = (df.schema[c].dataType.simpleString() for df, c in ((vectors, "id"), (queries, "query_id"), (vectors, "dense"), (queries, "dense")))
+    score_form = f"query_id {query_type}, id {id_type}, score double"
+    if not n:
+        return Nearest(spark.createDataFrame([], f"{score_form}, rank int"), spark.createDataFrame([], f"query_id {query_type}, parts long, rows long"))
+    chosen = vectors.orderBy(F.xxhash64("id"), F.xxhash64("dense")).limit(min(most_pivots, max(1, n // (64 * rings)))).select("dense").toArrow()
+    pivots = spark.sparkContext.broadcast(np.unique(_vectors(chosen["dense"]), axis=0))
+
+    def angles(column: pa.ChunkedArray) -> np.ndarray:
+        return np.arccos(np.clip(_vectors(column) @ pivots.value.T, -1, 1))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a = angles(pa.chunked_array([batch.column(1)]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(a.argmin(1)), pa.array(a.min(1, initial=np.pi))], ["id", "dense", "cell", "angle"])
+
+    cells = written(vectors.mapInArrow(place, f"id {id_type}, dense {dense_type}, cell long, angle double"), "cells")
+    cuts = cells.groupBy("cell").agg(F.approx_percentile("angle", F.array(*(F.lit(i / rings) for i in range(1, rings))), 1000).alias("_cuts"))  # a row a pivot
+    ringed = cells.join(F.broadcast(cuts), "cell").withColumn("ring", F.size(F.filter("_cuts", lambda c: c < F.col("angle")))).drop("_cuts")
+    summary = ringed.groupBy("cell", "ring").agg(F.count("*").alias("n"), F.min("angle").alias("lo"), F.max("angle").alias("hi")).collect()
+    at = spark.sparkContext.broadcast({c: np.array([r[c] for r in summary]) for c in ("cell", "ring", "n", "lo", "hi")})
+    slack = 4e-6  # more than the rounding of angles and of scores
+
+    def wanted(batches: Iterator[pa.RecordBatch], second: bool) -> Iterator[pa.RecordBatch]:
+        """query_id, dense[, floor] -> a row for each ring that the query meets first, or then."""
+        cell, ring, rows, lo, hi = (at.value[c] for c in ("cell", "ring", "n", "lo", "hi"))
+        for batch in batches:
+            a = angles(pa.chunked_array([batch.column(1)]))[:, cell]
+            bound = np.cos(np.maximum(np.maximum(a - hi, lo - a) - slack, 0))
+            order = np.argsort(-bound, axis=1, kind="stable")
+            before = np.cumsum(rows[order], axis=1) - rows[order]
+            first = np.zeros(bound.shape, bool)
+            np.put_along_axis(first, order, before < k, axis=1)
+            need = first
+            if second:
+                floor = batch.column(2).to_numpy(zero_copy_only=False).astype(float)  # null, not a number: fewer than k so far
+                need = ~first & ~(bound + slack < floor[:, None])
+            q, r = np.nonzero(need)
+            take = pa.array(q)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(cell[r]), pa.array(ring[r].astype(np.int32))], ["query_id", "dense", "cell", "ring"])
 
     def meet(q: pa.Table, v: pa.Table) -> pa.Table:
-        a, b = _vectors(q["dense"]), _vectors(v["dense"])
         names = ["query_id", "id", "score"]
-        if not len(a) or not len(b):
+        if not len(q) or not len(v):
             return pa.table({"query_id": q["query_id"].slice(0, 0), "id": v["id"].slice(0, 0), "score": pa.array([], pa.float64())})
-        scores = np.round(a @ b.T, 6) + 0.0
+        scores = np.round(_vectors(q["dense"]) @ _vectors(v["dense"]).T, 6) + 0.0
         by_id = np.argsort(v["id"].to_numpy(), kind="stable")
         best = by_id[np.argsort(-scores[:, by_id], axis=1, kind="stable")[:, :k]]
-        rows = np.repeat(np.arange(len(a)), best.shape[1])
+        rows = np.repeat(np.arange(len(q)), best.shape[1])
         return pa.table([q["query_id"].take(pa.array(rows)), v["id"].take(pa.array(best.ravel())), pa.array(scores[rows, best.ravel()])], names=names)
 
-    q = queries.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-    v = vectors.withColumn("_p", F.pmod(F.xxhash64("id"), F.lit(parts))).withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    met = q.groupBy("_b", "_p").cogroup(v.groupBy("_b", "_p")).applyInArrow(meet, f"query_id {query_type}, id {id_type}, score double")
-    return top(met, k)
+    def search(sent: DataFrame) -> DataFrame:
+        """The k best of each query in each part of the rings that it is sent to."""
+        asked = {(r["cell"], r["ring"]): r["n"] for r in sent.groupBy("cell", "ring").agg(F.count("*").alias("n")).collect()}  # a row a ring
+        sizes = spark.createDataFrame(
+            [(r["cell"], r["ring"], -(-r["n"] // vector_rows), -(-asked[r["cell"], r["ring"]] // query_rows)) for r in summary if (r["cell"], r["ring"]) in asked], "cell long, ring int, _parts long, _blocks long"
+        )
+        one = F.lit(1).cast("long")
+        q = sent.join(F.broadcast(sizes), ["cell", "ring"]).withColumn("_b", F.pmod(F.xxhash64("query_id"), F.col("_blocks"))).withColumn("_p", F.explode(F.sequence(one, F.col("_parts"))))
+        v = ringed.join(F.broadcast(sizes), ["cell", "ring"]).withColumn("_p", F.pmod(F.xxhash64("id", "dense"), F.col("_parts")) + 1).withColumn("_b", F.explode(F.sequence(one - 1, F.col("_blocks") - 1)))
+        key, cols = ["cell", "ring", "_p", "_b"], ["cell", "ring", "_p", "_b", "dense"]
+        return q.select("query_id", *cols).groupBy(*key).cogroup(v.select("id", *cols).groupBy(*key)).applyInArrow(meet, score_form)
+
+    form = f"query_id {query_type}, dense {q_dense}, cell long, ring int"
+    sent = written(queries.mapInArrow(lambda it: wanted(it, False), form), "first")
+    found = written(top(search(sent), k), "found")
+    floors = found.where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+    again = written(queries.join(floors, "query_id", "left").mapInArrow(lambda it: wanted(it, True), form), "then")
+    ranking = written(top(found.drop("rank").unionByName(search(again)), k), "ranking")
+    sizes = spark.createDataFrame([(r["cell"], r["ring"], -(-r["n"] // vector_rows), r["n"]) for r in summary], "cell long, ring int, _parts long, _n long")
+    met = sent.unionByName(again).join(F.broadcast(sizes), ["cell", "ring"])  # a row a ring
+    compared = written(met.groupBy("query_id").agg(F.sum("_parts").alias("parts"), F.sum("_n").alias("rows")), "compared")
+    erase(cells, sent, found, again)
+    return Nearest(ranking, compared)
 
 
 def rrf(rankings: list[DataFrame], k: int, k0: int = RRF_K, ids: tuple[str, ...] = ("id",)) -> DataFrame:

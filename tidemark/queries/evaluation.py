@@ -62,40 +62,49 @@ def ir_compare(spark, sf_dir):
     return rounded(ir.compare(ir.aggregate(metrics(spark, sf_dir), NAMES), NAMES, "price", ["price", "day"]), "price", "day", "delta_day")
 
 
-def _boot(seed: int, n: int, by: str) -> str:
-    """SQL of the bootstrap of d(by, query_id, delta)."""
-    return f"""pl AS (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY query_id) - 1 AS place, count(*) OVER (PARTITION BY {by}) AS n FROM d),
-    dr AS (SELECT {by}, i, n, CAST('0x' || substr(md5('{seed}:' || i || ':' || place), 1, 8) AS BIGINT) % n AS place FROM pl, range({n}) AS r(i)),
-    me AS (SELECT {by}, i, round(sum(delta) / any_value(dr.n), 12) AS m FROM dr JOIN pl USING ({by}, place) GROUP BY {by}, i),
-    sp AS (SELECT {by}, quantile_cont(m, 0.025) AS ci_lo, quantile_cont(m, 0.975) AS ci_hi, least(avg((m <= 0)::INT), avg((m >= 0)::INT)) AS tail FROM me GROUP BY {by}),
-    tot AS (SELECT {by}, count(*) AS queries, avg(delta) AS delta, count(*) FILTER (delta > 0) AS improved, count(*) FILTER (delta < 0) AS worsened, count(*) FILTER (delta = 0) AS unchanged FROM d GROUP BY {by}),
-    boot AS (SELECT {by}, queries, round(delta, 6) AS delta, round(ci_lo, 6) AS ci_lo, round(ci_hi, 6) AS ci_hi, round(least(1.0, 2 * tail), 6) AS p_two_sided, improved, worsened, unchanged, ci_lo > 0 OR ci_hi < 0 AS significant FROM tot JOIN sp USING ({by}))"""
+def _boot(seed: int, n: int, by: str, names: list[str]) -> str:
+    """SQL of the bootstrap of d([by,] query_id, and a difference a name): a row for each of `by` and name. All names have the same queries."""
+    each = lambda form: ", ".join(form.format(m=m) for m in names)
+    part, and_by = (f"PARTITION BY {by}", f"{by}, ") if by else ("", "")
+    return f"""pl AS MATERIALIZED (SELECT *, row_number() OVER ({part} ORDER BY query_id) - 1 AS place, count(*) OVER ({part}) AS n FROM d),
+    dr AS (SELECT {and_by}i, n, CAST('0x' || substr(md5('{seed}:' || i || ':' || (place // 4)), CAST(place % 4 * 8 + 1 AS INTEGER), 8) AS BIGINT) % n AS place FROM pl, range({n}) AS r(i)),
+    mu AS (SELECT {and_by}i, place, count(*) AS times FROM dr GROUP BY ALL),
+    me AS MATERIALIZED (SELECT {and_by}i, {each('round(sum(times * {m}) / any_value(n), 12) AS {m}')} FROM mu JOIN pl USING ({and_by}place) GROUP BY {and_by}i),
+    ml AS (SELECT {and_by}metric, m FROM me UNPIVOT (m FOR metric IN ({each('{m}')}))),
+    sp AS (SELECT {and_by}metric, quantile_cont(m, 0.025) AS ci_lo, quantile_cont(m, 0.975) AS ci_hi, least(avg((m <= 0)::INT), avg((m >= 0)::INT)) AS tail FROM ml GROUP BY ALL),
+    tot AS (SELECT {and_by}metric, count(*) AS queries, avg(delta) AS delta, count(*) FILTER (delta > 0) AS improved, count(*) FILTER (delta < 0) AS worsened, count(*) FILTER (delta = 0) AS unchanged FROM (SELECT * FROM d) UNPIVOT (delta FOR metric IN ({each('{m}')})) GROUP BY ALL),
+    boot AS (SELECT {and_by}metric, queries, round(delta, 6) AS delta, round(ci_lo, 6) AS ci_lo, round(ci_hi, 6) AS ci_hi, round(least(1.0, 2 * tail), 6) AS p_two_sided, improved, worsened, unchanged, ci_lo > 0 OR ci_hi < 0 AS significant FROM tot JOIN sp USING ({and_by}metric))"""
+
+
+def _differences(source: str, names: list[str], by: str = "") -> str:
+    pick = ", ".join(f"round(max({m}) FILTER (arm = 'day') - max({m}) FILTER (arm = 'price'), 12) AS {m}" for m in names)
+    return f"d AS MATERIALIZED (SELECT {by}query_id, {pick} FROM {source} GROUP BY ALL)"
 
 
-_DELTAS = f"{_METRICS}, {_LONG}, d AS (SELECT metric, query_id, max(value) FILTER (arm = 'day') - max(value) FILTER (arm = 'price') AS delta FROM long GROUP BY 1, 2)"
 BOOT = ("delta", "ci_lo", "ci_hi", "p_two_sided")
+RESAMPLES, STRATUM_RESAMPLES = 10_000, 5_000
 
 
-@query(f"{_DELTAS.replace('FROM long GROUP', chr(70) + 'ROM long WHERE metric = ' + chr(39) + 'ndcg_10' + chr(39) + ' GROUP')}, {_boot(0, 200, 'metric')} SELECT * EXCLUDE (significant) FROM boot")
+@query(f"{_METRICS}, {_differences('met', NAMES)}, {_boot(0, RESAMPLES, '', NAMES)} SELECT * EXCLUDE (significant) FROM boot")
 def ir_paired_bootstrap(spark, sf_dir):
     m = written(metrics(spark, sf_dir), "metrics")
-    return rounded(ir.paired_bootstrap(ir.deltas(m, ["ndcg_10"], "day", "price"), 200), *BOOT)
+    return rounded(ir.paired_bootstrap(ir.deltas(m, NAMES, "day", "price"), RESAMPLES), *BOOT)
 
 
-@query(f"{_DELTAS}, {_boot(7, 50, 'metric')} SELECT * FROM boot")
+@query(f"{_METRICS}, {_differences('met', NAMES)}, {_boot(7, RESAMPLES, '', NAMES)} SELECT * FROM boot")
 def ir_significance_table(spark, sf_dir):
     m = written(metrics(spark, sf_dir), "metrics")
-    return rounded(ir.significance_table(m, NAMES, "day", "price", 50, 7), *BOOT)
+    return rounded(ir.significance_table(m, NAMES, "day", "price", RESAMPLES, 7), *BOOT)
 
 
 _BUCKET = "CASE WHEN n_rel <= 5 THEN '1-5' WHEN n_rel <= 15 THEN '6-15' WHEN n_rel <= 40 THEN '16-40' ELSE '41+' END"
 
 
-@query(f"""{_METRICS}, b AS (SELECT *, {_BUCKET} AS bucket FROM met), d AS (SELECT bucket, query_id, max(ndcg_10) FILTER (arm = 'day') - max(ndcg_10) FILTER (arm = 'price') AS delta FROM b GROUP BY 1, 2), {_boot(3, 100, 'bucket')}
+@query(f"""{_METRICS}, b AS (SELECT *, {_BUCKET} AS bucket FROM met), {_differences('b', ['ndcg_10'], 'bucket, ')}, {_boot(3, STRATUM_RESAMPLES, 'bucket', ['ndcg_10'])}
     SELECT bucket, round(avg(ndcg_10) FILTER (arm = 'day'), 6) AS arm_mean, round(avg(ndcg_10) FILTER (arm = 'price'), 6) AS baseline_mean, any_value(queries) AS queries, any_value(delta) AS delta, any_value(ci_lo) AS ci_lo, any_value(ci_hi) AS ci_hi, any_value(p_two_sided) AS p_two_sided, any_value(improved) AS improved, any_value(worsened) AS worsened, any_value(unchanged) AS unchanged FROM b JOIN boot USING (bucket) GROUP BY 1""")
 def ir_stratify(spark, sf_dir):
     m = written(metrics(spark, sf_dir), "metrics")
-    return rounded(ir.stratify(m, "ndcg_10", "day", "price", 100, 3).drop("metric"), "arm_mean", "baseline_mean", *BOOT)
+    return rounded(ir.stratify(m, "ndcg_10", "day", "price", STRATUM_RESAMPLES, 3).drop("metric"), "arm_mean", "baseline_mean", *BOOT)
 
 
 @query(f"WITH {_RANKED} SELECT query_id FROM (SELECT query_id, list(id ORDER BY rank) FILTER (arm = 'price' AND rank <= 3) AS a, list(id ORDER BY rank) FILTER (arm = 'day' AND rank <= 3) AS b FROM ranked GROUP BY 1) WHERE a IS DISTINCT FROM b")
