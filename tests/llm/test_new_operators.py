@@ -6,13 +6,14 @@ import os
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 
 from tidemark.llm.bpe import Codec, encode_decode
 from tidemark.llm.codes import compress, with_label_errors
 from tidemark.llm.mixing import phases, schedule, whole_weights
-from tidemark.llm.queries import QUERIES, tail_repeated, vocabulary_path
+from tidemark.llm.queries import ORACLE_SQL, QUERIES, tail_repeated, vocabulary_path
 from tidemark.llm.runs import periodic_runs, text_runs
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -254,3 +255,12 @@ def test_schedule_plain():
         shares = whole_weights({f"s{i:04d}": rng.randint(1, 100_000) ** 0.75 for i in range(300)}, 10_000)
         blocks = {s: rng.randint(1, 3000) for s in shares}
         assert sorted(x for slots in slots_of(schedule(shares, blocks), blocks).values() for x in slots) == list(range(sum(blocks.values())))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{DATA}/embeddings.parquet'")
+    got = QUERIES[name](spark, DATA)
+    want = con.execute(f"SELECT {', '.join(sorted(got.columns))} FROM ({ORACLE_SQL[name]})").fetchall()
+    assert sorted(map(tuple, got.select(sorted(got.columns)).collect())) == sorted(want)

@@ -116,6 +116,26 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_sharding, op3_near_duplicates, op4_topk, op5_pii, op6_mixing, op7_language, op8_secrets, op9_decontamination, op10_page_text, op11_periodic_runs, op12_bpe, op13_vector_codes)}
 
+def _codes_sql(rounds: int = 6, k: int = 16, parts: int = 8, scale: int = 4096) -> str:
+    """Plain k-means, a step for each round; lists of doubles, in which all numbers are whole and exact."""
+    near = """n{i} AS MATERIALIZED (SELECT vec_id, p, arg_min(e, 256 * d + e) AS e, min(d) AS d FROM (
+            SELECT vec_id, p, e, list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c) AS d FROM pt JOIN b{i} USING (p)) GROUP BY 1, 2)"""
+    move = """m{i} AS MATERIALIZED (SELECT p, e, list(m ORDER BY j) AS m FROM (SELECT p, e, j, floor(sum(x[j]) / count(*)) AS m FROM n{i} JOIN pt USING (vec_id, p), range(1, (SELECT any_value(len(x)) FROM pt) + 1) AS r(j) GROUP BY ALL) GROUP BY 1, 2),
+        b{j} AS MATERIALIZED (SELECT p, e, coalesce(m, c) AS c FROM b{i} LEFT JOIN m{i} USING (p, e))"""
+    steps = [near.format(i=0)]
+    for i in range(rounds):
+        steps += [move.format(i=i, j=i + 1), near.format(i=i + 1)]
+    return f"""
+        WITH v AS MATERIALIZED (
+            SELECT vec_id, label, [floor({scale} * CAST(x AS DOUBLE)) FOR x IN embedding] AS v, row_number() OVER (ORDER BY vec_id) - 1 AS place
+            FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), pt AS MATERIALIZED (SELECT vec_id, place, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS x FROM v, range({parts}) AS r(p)),
+        b0 AS MATERIALIZED (SELECT p, place AS e, x AS c FROM pt WHERE place < {k}), {", ".join(steps)},
+        o AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM n{rounds} GROUP BY 1),
+        h AS (SELECT sha256(string_agg(CAST(c[j] AS BIGINT)::VARCHAR, ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM b{rounds}, range(1, (SELECT any_value(len(x)) FROM pt) + 1) AS r(j))
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM o JOIN v USING (vec_id), h"""
+
+
 #: DuckDB SQL over the same tables, where SQL can express the rows.
 ORACLE_SQL = {
     "op4_topk": """
@@ -131,4 +151,5 @@ ORACLE_SQL = {
             SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op13_vector_codes": _codes_sql(),
 }
