@@ -44,9 +44,9 @@ def test_merges_in_batches_of_whole_scopes_equal_one(spark):
 def test_merge_keyed_and_composite_are_replayed(spark):
     cur = spark.createDataFrame([(1, "a", None), (2, "b", "x"), (3, "c", "y")], "k int, v string, w string")
     stg = spark.createDataFrame([(1, "a", "new"), (2, "B", "x"), (4, None, None)], "k int, v string, w string")
-    new, diff = cdc.merge_keyed(cur, stg, "k", ["v", "w"])
+    new, diff = cdc.merge_keyed(cur, stg, "k", ["v", "w"], null_safe=False)
     assert rows(diff) == [(2, "UPDATE"), (4, "INSERT")]  # null against a value is no change
-    new, diff = cdc.merge_keyed(cur, stg, "k", ["v", "w"], null_safe=True)
+    new, diff = cdc.merge_keyed(cur, stg, "k", ["v", "w"])
     assert rows(diff) == [(1, "UPDATE"), (2, "UPDATE"), (4, "INSERT")]
     assert rows(cdc.apply_diff(cur, cdc.diff_current(diff, new, ["k"]).select("k", "v", "w", "action"), ["k"], F.lit(1))) == rows(new)
     new, diff = cdc.merge_composite(cur, stg, ["k"], ["w"])

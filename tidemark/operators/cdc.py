@@ -30,10 +30,10 @@ def _paired(current: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     return a.join(b, key, "full_outer")
 
 
-def merge_keyed(current: DataFrame, staged: DataFrame, key: str, diff_cols: list[str], null_safe: bool = False) -> tuple[DataFrame, DataFrame]:
+def merge_keyed(current: DataFrame, staged: DataFrame, key: str, diff_cols: list[str], null_safe: bool = True) -> tuple[DataFrame, DataFrame]:
     """(new current, diff of key and action): inserts unmatched rows, overwrites all columns where a diff column differs, never deletes.
 
-    A plain comparison, the default, takes null against a value for no change; null_safe counts it as one.
+    Null against a value is a change; with null_safe off, a plain comparison, it is not.
     """
 
     def differs(c: str) -> Column:

@@ -1,4 +1,8 @@
-"""Property graphs as node and edge tables: nodes(label, id, props), edges(src, dst, label, props, pathway_ids)."""
+"""Property graphs as node and edge tables: nodes(label, id, props), edges(src, dst, label, props, pathway_ids).
+
+A node is known by its label and id. Edges may name the labels of their ends (src_label, dst_label), and then two nodes of
+one id are told apart; without these columns an end is any node of its id.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +11,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import erase, written
+from .store import Growing, erase, written
 
 EDGE = ["src", "dst", "label"]
+END_LABELS = ("src_label", "dst_label")
+
+
+def edge_key(edges: DataFrame) -> list[str]:
+    return [*EDGE, *(c for c in END_LABELS if c in edges.columns)]
+
+
+def ends(edges: DataFrame, nodes: DataFrame, how: str) -> DataFrame:
+    """edges by a left_semi or left_anti join of each end with nodes(label, id)."""
+    for side in ("src", "dst"):
+        named = f"{side}_label" in edges.columns
+        key = nodes.select(F.col("id").alias(side), *([F.col("label").alias(f"{side}_label")] if named else [])).distinct()
+        edges = edges.join(key, key.columns, how).select(edges.columns)
+    return edges
 
 
 def no_props() -> Column:
@@ -28,35 +46,45 @@ def upsert_nodes(nodes: DataFrame, new: DataFrame) -> DataFrame:
     return both.select("label", "id", overwritten("props", "_new").alias("props"))
 
 
-def delete_nodes(nodes: DataFrame, edges: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both tables without the nodes of ids(id) and their edges."""
-    gone = ids.select("id").distinct()
-    rest = edges.join(gone.withColumnRenamed("id", "src"), "src", "left_anti").join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti")
-    return nodes.join(gone, "id", "left_anti"), rest.select(edges.columns)
+def delete_nodes(nodes: DataFrame, edges: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both tables without the nodes of gone(label, id) and their edges.
+
+    A node of the same id and another label stays, and so do its edges where edges name the labels of their ends; where they
+    do not, an edge goes unless each of its ends still names some node that was not deleted.
+    """
+    gone = gone.select("label", "id").distinct()
+    kept = nodes.join(gone, ["label", "id"], "left_anti").select(nodes.columns)
+    for side in ("src", "dst"):
+        if f"{side}_label" in edges.columns:
+            lost = gone.select(F.col("id").alias(side), F.col("label").alias(f"{side}_label"))
+        else:
+            lost = gone.select("id").distinct().join(kept.select("id").distinct(), "id", "left_anti").withColumnRenamed("id", side)
+        edges = edges.join(lost, lost.columns, "left_anti").select(edges.columns)
+    return kept, edges
 
 
 def upsert_edges(edges: DataFrame, new: DataFrame, nodes: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """One edge per (src, label, dst); rows of `new`(src, dst, label, pathway_id, props) without both endpoints are dropped.
+    """One edge per (src, label, dst) and, where named, labels of the ends; rows of `new`(src, dst, label, pathway_id, props) without both endpoints are dropped.
 
     The support set grows; the last row's properties, by the columns `order` (else by the properties as text), overwrite
     the old ones. A table without props has empty ones.
     """
     with_props = lambda df: df if "props" in df.columns else df.withColumn("props", no_props())
     new, edges = with_props(new), with_props(edges)
-    ids = nodes.select("id").distinct()
-    fit = new.join(ids.withColumnRenamed("id", "src"), "src", "left_semi").join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+    fit, key = ends(new, nodes, "left_semi"), edge_key(edges)
     place = F.struct(*(order or []), F.to_json("props"))
-    fresh = fit.groupBy(*EDGE).agg(F.max_by("props", place).alias("_new"), F.collect_set("pathway_id").alias("_more"))
-    both = edges.select(*EDGE, "props", "pathway_ids").join(fresh, EDGE, "full_outer")
+    fresh = fit.groupBy(*key).agg(F.max_by("props", place).alias("_new"), F.collect_set("pathway_id").alias("_more"))
+    both = edges.select(*key, "props", "pathway_ids").join(fresh, key, "full_outer")
     none = F.array().cast("array<string>")
     support = F.array_sort(F.array_union(F.coalesce("pathway_ids", none), F.coalesce("_more", none)))
-    return both.select(*EDGE, overwritten("props", "_new").alias("props"), support.alias("pathway_ids"))
+    return both.select(*key, overwritten("props", "_new").alias("props"), support.alias("pathway_ids"))
 
 
 def delete_edges(edges: DataFrame, gone: DataFrame) -> DataFrame:
     """Takes pathways of gone(src, dst, label, pathway_id) out of the support sets; an edge without support goes."""
-    drop = gone.groupBy(*EDGE).agg(F.collect_set("pathway_id").alias("_gone"))
-    left = edges.join(drop, EDGE, "left").withColumn("pathway_ids", F.when(F.col("_gone").isNull(), F.col("pathway_ids")).otherwise(F.array_except("pathway_ids", "_gone")))
+    key = edge_key(edges)
+    drop = gone.groupBy(*key).agg(F.collect_set("pathway_id").alias("_gone"))
+    left = edges.join(drop, key, "left").withColumn("pathway_ids", F.when(F.col("_gone").isNull(), F.col("pathway_ids")).otherwise(F.array_except("pathway_ids", "_gone")))
     return left.where("_gone is null or size(pathway_ids) > 0").select(edges.columns)
 
 
@@ -107,39 +135,100 @@ def size(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return one(nodes, "node").union(one(edges, "edge"))
 
 
+def jumps(edges: DataFrame, key: list[str]) -> list[DataFrame]:
+    """Tables (key, dst) by k: where 2**k steps lead from nodes whose next 2**k steps leave no choice. key names a node; edges are distinct."""
+    single = edges.groupBy(*key).agg(F.min("dst").alias("dst"), F.count("*").alias("_n")).where("_n = 1").drop("_n")
+    out = [written(single, "jumps")]
+    most = out[0].count()  # no stretch is longer
+    while 1 << len(out) <= most:
+        ahead = out[-1].select(*key[:-1], F.col(key[-1]).alias("dst"), F.col("dst").alias("_to"))
+        further = written(out[-1].join(ahead, [*key[:-1], "dst"]).select(*key, F.col("_to").alias("dst")), "jumps")
+        if further.isEmpty():
+            erase(further)
+            break
+        out.append(further)
+    return out
+
+
+def closure(edges: DataFrame, starts: DataFrame, name: str, by: list[str], mark: list[str], max_depth: int | None = None, plain_rounds: int = 16) -> Growing:
+    """All (by, mark, name) that starts(by, mark, name) reach by edges(by, name, dst), each written once.
+
+    Each round extends what the last one found, less what is known. After plain_rounds such rounds, stretches without a
+    choice are passed at once: tables of 1, 2, 4, ... steps ahead (see `jumps`) give all places on them in as many joins as
+    the length has binary digits, so a long chain or cycle costs no round a node. Branching at every step still does.
+    """
+    key, known, depth = [*by, *mark, name], Growing(starts.sparkSession, "reached"), 0
+    frontier, ahead = known.add(starts.select(key).distinct()), None
+    while not frontier.isEmpty() and (max_depth is None or depth < max_depth):
+        step = frontier.join(edges, [*by, name]).select(*by, *mark, F.col("dst").alias(name)).distinct()
+        if max_depth is None and depth >= plain_rounds:
+            ahead = jumps(edges, [*by, name]) if ahead is None else ahead
+            for table in reversed(ahead):
+                further = step.join(table, [*by, name]).select(*by, *mark, F.col("dst").alias(name))
+                longer = written(step.union(further).distinct(), "along")
+                if hasattr(step, "written_at"):
+                    erase(step)
+                step = longer
+        frontier, depth = known.add(step.join(known.all(), key, "left_anti").select(key)), depth + 1
+        if hasattr(step, "written_at"):
+            erase(step)
+    erase(*(ahead or []))
+    known.rounds = depth
+    return known
+
+
 def reachable(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """edges(src, dst), seeds(seed) -> (seed, id): all that a seed reaches, itself included. Cycles are safe.
 
-    by: columns that both tables have and within which paths stay. Each round extends only what the last one found.
+    by: columns that both tables have and within which paths stay. See `closure` for how.
     """
     by = list(by)
-    key = [*by, "seed", "id"]
-    frontier = written(seeds.select(*by, "seed", F.col("seed").alias("id")).distinct(), "frontier")
-    seen = [frontier]
-    edges, depth = edges.select(*by, F.col("src").alias("id"), "dst").distinct(), 0
-    while max_depth is None or depth < max_depth:
-        step = frontier.join(edges, [*by, "id"]).select(*by, "seed", F.col("dst").alias("id")).distinct()
-        frontier = written(step.join(reduce(DataFrame.union, seen), key, "left_anti").select(key), "frontier")
-        if frontier.isEmpty():
-            break
-        seen, depth = [*seen, frontier], depth + 1
-        if len(seen) == 8:  # few files for the next anti joins
-            old, seen = seen, [written(reduce(DataFrame.union, seen), "seen")]
-            frontier = written(frontier, "frontier")
-            erase(*old)
-    return reduce(DataFrame.union, seen)
+    edges = edges.select(*by, F.col("src").alias("id"), "dst").distinct()
+    return closure(edges, seeds.select(*by, "seed", F.col("seed").alias("id")), "id", by, ["seed"], max_depth).all()
+
+
+def reached(edges: DataFrame, starts: DataFrame) -> Growing:
+    """edges(src, dst), starts(id) -> (id): what any start reaches. One mark a node, whichever start it comes from."""
+    return closure(edges.select(F.col("src").alias("id"), "dst").distinct(), starts, "id", [], [])
 
 
 def expand_bounded(edges: DataFrame, seeds: DataFrame, lo: int, hi: int, labels: list[str] | None = None) -> DataFrame:
-    """(seed, id): distinct ends of paths of lo to hi edges from each seed; labels: of edges with one of these labels alone."""
-    now = seeds.select("seed", F.col("seed").alias("id"))
-    found = now if lo == 0 else None
-    step = (edges.where(F.col("label").isin(labels)) if labels else edges).select(F.col("src").alias("id"), "dst")
+    """(seed, id): distinct ends of paths of lo to hi edges from each seed; labels: of edges with one of these labels alone.
+
+    The ends at each depth are written and extended from there, so no plan holds more than one step, whatever hi is; it
+    stops once no path goes on.
+    """
+    step = (edges.where(F.col("label").isin(labels)) if labels else edges).select(F.col("src").alias("id"), "dst").distinct()
+    now = written(seeds.select("seed", F.col("seed").alias("id")).distinct(), "depth")
+    found = Growing(now.sparkSession, "expanded")
+    found.add(now if lo == 0 else now.limit(0))
     for depth in range(1, hi + 1):
-        now = now.join(step, "id").select("seed", F.col("dst").alias("id")).distinct()
-        if depth >= lo:
-            found = now if found is None else found.union(now)
-    return found.distinct()
+        further, old = now.join(step, "id").select("seed", F.col("dst").alias("id")).distinct(), now
+        now = written(further, "depth") if depth < lo else found.add(further)
+        if hasattr(old, "written_at"):  # not a part of what is found
+            erase(old)
+        if now.isEmpty():
+            break
+    return found.all().distinct()
+
+
+def ends_after(edges: DataFrame, starts: DataFrame, depth: int) -> DataFrame:
+    """starts(id) from which some path of `depth` edges(src, dst) leads on; nodes may come again.
+
+    Nodes that have a path of d edges are those with an edge to one that has a path of d - 1: a set of nodes for each depth,
+    not of pairs. The sets shrink; once one equals the one before, the rest do.
+    """
+    step = edges.select(F.col("src").alias("id"), F.col("dst")).distinct()
+    far, size = None, -1
+    for _ in range(depth):
+        nodes = step if far is None else step.join(far.withColumnRenamed("id", "dst"), "dst", "left_semi")
+        old, far = far, written(nodes.select("id").distinct(), "far")
+        if old is not None:
+            erase(old)
+        last, size = size, far.count()
+        if size == last or not size:
+            break
+    return starts.select("id").distinct() if far is None else starts.select("id").distinct().join(far, "id", "left_semi")
 
 
 def forms_of(identity: DataFrame, entities: DataFrame, genes: DataFrame, limit: int = 25) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import expand_bounded
+from .graph import ends_after
 from .onto import Config
 
 
@@ -53,7 +53,7 @@ def weights(gene_map: DataFrame, pairs: DataFrame) -> DataFrame:
 def depth_check(hierarchy: DataFrame, terms: DataFrame, depth: int = 20) -> DataFrame:
     """One row: terms whose chain of ancestors reaches `depth` steps."""
     up = hierarchy.select(F.col("child").alias("src"), F.col("parent").alias("dst"))
-    return expand_bounded(up, terms.select(F.col("term").alias("seed")), depth, depth).agg(F.count_distinct("seed").alias("terms_at_depth"))
+    return ends_after(up, terms.select(F.col("term").alias("id")), depth).agg(F.count("*").alias("terms_at_depth"))
 
 
 def sweep(counted: DataFrame, lows: list[int], highs: list[int]) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .graph import no_props, reachable
+from .graph import no_props, reached
 
 #: Classes of physical entities and events, and the type of each.
 ENTITY_TYPES = {
@@ -235,14 +235,15 @@ def record_fanout(objects: DataFrame, children: DataFrame, parts: DataFrame, res
 def resolve_frontier(roots: DataFrame, children: DataFrame, moiety: DataFrame, objects: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(resolved(id), unresolved(id)): what roots(id) reach through children(parent_id, child_id), then what the moieties of those reach.
 
-    An id without an object is unresolved, and never taken for absent; nothing is followed from it.
+    An id without an object is unresolved, and never taken for absent; nothing is followed from it. Each node is marked once,
+    by whichever root comes first.
     """
     have = objects.select(F.col("object_id").alias("src")).distinct()
     steps = children.where("child_id is not null").select(F.col("parent_id").alias("src"), F.col("child_id").alias("dst")).join(have, "src", "left_semi")
-    mark = lambda ids: reachable(steps, ids.select(F.col("id").alias("seed")).distinct()).select("id").distinct()
-    first = mark(roots)
+    first = reached(steps, roots.select("id")).all()
     attached = moiety.where("not is_reference").join(first.join(have.withColumnRenamed("src", "id"), "id", "left_semi").withColumnRenamed("id", "entity_id"), "entity_id", "left_semi")
-    seen = first.union(mark(attached.select(F.col("moiety_id").alias("id")))).distinct()
+    new = attached.select(F.col("moiety_id").alias("id")).distinct().join(first, "id", "left_anti")
+    seen = first.union(reached(steps, new).all()).distinct()
     known = have.withColumnRenamed("src", "id")
     return seen.join(known, "id", "left_semi"), seen.join(known, "id", "left_anti")
 

@@ -29,6 +29,24 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return out
 
 
+class Growing:
+    """A written table that grows by parts; each row is written once, and all parts are read as one."""
+
+    def __init__(self, spark: SparkSession, what: str):
+        self.spark, self.path, self.parts, self.schema = spark, f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}", [], None
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Writes df as a part, and gives it as it was written."""
+        path = f"{self.path}/{len(self.parts)}"
+        df.write.parquet(path)
+        self.parts.append(path)
+        self.schema = self.schema or df.schema
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def all(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*self.parts)
+
+
 def erase(*tables: DataFrame) -> None:
     """Deletes what `written` wrote for these tables; nothing that is still to be computed may read them."""
     for df in tables:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cdc, dq, graph
+from ..operators.buckets import ScopeTable
+from ..operators.store import shared_dir, written
 from .base import query, t
 
 # Current orders are those not open; the load brings those not of low priority, and closes pending ones.
@@ -53,6 +57,31 @@ def cdc_merge_composite(spark, sf_dir):
     return cdc.merge_composite(cur, stg, cols, ["l_orderkey"])[1]
 
 
+def bucketed(spark: SparkSession, current: DataFrame, scope: list[str]) -> ScopeTable:
+    """current as version 0 of a table in buckets of its scope."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in current.schema)
+    table = ScopeTable(spark, f"{shared_dir(spark)}/bucketed-{uuid.uuid4().hex}", schema, scope, 64)
+    table.load(current, lambda _, rows: (rows, rows), 0)
+    return table
+
+
+@query(f"WITH {_LINES}, {_DIFF} SELECT * FROM ins UNION ALL SELECT * FROM del")
+def cdc_scope_table_identity(spark, sf_dir):
+    cur, stg, cols = line_load(spark, sf_dir)
+    diff = []
+    bucketed(spark, cur, ["l_orderkey"]).merge_identity(stg, cols, 1, before_commit=lambda d: diff.append(written(d, "diff")))
+    return diff[0]
+
+
+@query(f"""WITH {_CUR}, {_STG} SELECT s.* FROM stg s LEFT JOIN cur c USING (o_orderkey) WHERE c.o_orderkey IS NULL OR c.o_orderstatus <> s.o_orderstatus
+    UNION ALL SELECT c.* FROM cur c LEFT JOIN stg s USING (o_orderkey) WHERE s.o_orderkey IS NULL OR c.o_orderstatus = s.o_orderstatus""")
+def cdc_scope_table_keyed(spark, sf_dir):
+    cur, stg = order_load(spark, sf_dir)
+    table = bucketed(spark, cur, ["o_orderkey"])
+    table.merge_keyed(stg, "o_orderkey", ["o_orderstatus"], 1)
+    return table.read()
+
+
 @query(f"WITH {_LINES}, {_DIFF} SELECT l_orderkey, l_partkey, l_returnflag FROM ins UNION ALL SELECT * FROM cur c WHERE NOT EXISTS (SELECT 1 FROM del d WHERE c.l_orderkey = d.l_orderkey AND c.l_partkey = d.l_partkey AND c.l_returnflag = d.l_returnflag)")
 def cdc_apply_diff(spark, sf_dir):
     cur, stg, cols = line_load(spark, sf_dir)

@@ -560,7 +560,7 @@ def replay(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str, str]:
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in e.schema)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
     streaming.cdc_apply(stream, table, log, check, ["user_id", "event_type", "event_id"], ["user_id"], ["event_id"]).awaitTermination()
-    return streaming.latest(spark, table, schema), log, schema
+    return streaming.latest(spark, table, schema, ["user_id"]), log, schema
 
 
 @query("""SELECT user_id, event_type, event_id FROM events e WHERE CASE WHEN user_id % 3 = 0 AND user_id IN (SELECT user_id FROM events WHERE event_id % 3 = 0) THEN event_id % 3 = 0 WHEN user_id % 2 = 0 THEN true ELSE event_id % 2 = 0 END""")

@@ -154,10 +154,21 @@ def graph_upsert_nodes(spark, sf_dir):
 
 @query(f"WITH {_NODES}, {_EDGES}, g AS (SELECT 'C' || c_custkey AS id FROM customer WHERE c_acctbal < 0) SELECT 'node' AS kind, label, count(*) AS n FROM n WHERE id NOT IN (SELECT id FROM g) GROUP BY 2 UNION ALL SELECT 'edge', 'BUYS', count(DISTINCT (src, dst)) FROM e WHERE src NOT IN (SELECT id FROM g)")
 def graph_delete_nodes(spark, sf_dir):
-    gone = t(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.concat(F.lit("C"), "c_custkey").alias("id"))
+    gone = t(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.lit("Customer").alias("label"), F.concat(F.lit("C"), "c_custkey").alias("id"))
     return graph.size(*graph.delete_nodes(nodes(spark, sf_dir)[0], supported(edges(spark, sf_dir)), gone))
 
 
+# Customers and suppliers bear plain numbers as ids, so most ids are those of one of each; suppliers in debt go.
+@query("""WITH gone AS (SELECT s_suppkey AS id FROM supplier WHERE s_acctbal < 0), e AS (SELECT DISTINCT o_custkey AS src, l_suppkey AS dst FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
+    SELECT 'node' AS kind, 'Customer' AS label, count(*) AS n FROM customer UNION ALL SELECT 'node', 'Supplier', count(*) FROM supplier WHERE s_suppkey NOT IN (SELECT id FROM gone) UNION ALL SELECT 'edge', 'BUYS', count(*) FROM e WHERE dst NOT IN (SELECT id FROM gone)""")
+def graph_delete_nodes_by_label(spark, sf_dir):
+    c, s = t(spark, sf_dir, "customer"), t(spark, sf_dir, "supplier")
+    plain = lambda df, label, key: df.select(F.lit(label).alias("label"), F.col(key).cast("string").alias("id"), graph.no_props().alias("props"))
+    e = supported(edges(spark, sf_dir)).withColumns({"src": F.substring("src", 2, 20), "dst": F.substring("dst", 2, 20), "src_label": F.lit("Customer"), "dst_label": F.lit("Supplier")})
+    gone = plain(s.where("s_acctbal < 0"), "Supplier", "s_suppkey")
+    return graph.size(*graph.delete_nodes(plain(c, "Customer", "c_custkey").union(plain(s, "Supplier", "s_suppkey")), e, gone))
+
+
 @query(f"WITH {_NODES}, {_EDGES} SELECT 'node' AS kind, label, count(*) AS n FROM n GROUP BY 2 UNION ALL SELECT 'edge', 'BUYS', count(DISTINCT (src, dst)) FROM e")
 def graph_size(spark, sf_dir):
     return graph.size(nodes(spark, sf_dir)[0], supported(edges(spark, sf_dir)))
