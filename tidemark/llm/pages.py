@@ -30,32 +30,48 @@ BLOCKS = frozenset(
     " h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 BOILERPLATE = frozenset("head nav header footer aside form button select option label menu dialog fieldset object canvas audio video input".split())
-#: Words in class, id or role that name an element as boilerplate, and as the article.
-_NOISE = (
-    "ad|ads|advert|adverts|advertisement|banner|banners|sponsor|sponsored|promo|promos|promotion|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|sidebar|header|footer|masthead"
-    "|cookie|cookies|consent|notice|notices|popup|modal|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|comment|comments|disqus|replies"
-    "|widget|pager|pagination|copyright|complementary|contentinfo|search"
+#: Words in a class, id or role that name boilerplate wherever they stand in the name,
+STRONG = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promos nav navbar navigation breadcrumb breadcrumbs sidebar masthead cookie cookies consent popup modal"
+    " newsletter subscribe disqus comment comments replies commentlist widget pager pagination complementary contentinfo".split()
+)
+#: that do so alone or with words of layout, for an article may be about them ("social-history", "search-theory"),
+WEAK = frozenset(
+    "banner banners promotion menu header footer notice notices subscription signup login share sharing social related copyright search"
+    " reviews respond discussion feedback reactions".split()
+)
+#: and the words of layout.
+LAYOUT = frozenset(
+    "bar box form button buttons btn link links list icons icon container wrapper wrap section block area panel top bottom left right site page main global primary secondary posts post articles"
+    " stories media inner outer row col column content area item items user users reader readers your leave new all the module component region group input field results toggle dropdown sub mini sticky fixed legal gdpr privacy".split()
 )
-NOISE = re.compile(rf"(?:^|[\s_-])(?:{_NOISE})(?:$|[\s_-])", re.I)
 ARTICLE = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|content|main|body)(?:$|[\s_-])", re.I)
 #: Comments, elements without markup inside, tags, declarations. What the end of the page breaks off goes as far as that, so
 #: every place is read once: quotes that close nothing are plain characters, and nothing is tried again.
 MARKUP = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:\"[^\"]*\"|'[^']*'|[^>])*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I
 )
+HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=[\s/]|$)|style\s*=\s*(?:\"[^\"]*?|'[^']*?|)(?:display\s*:\s*none|visibility\s*:\s*hidden)|aria-hidden\s*=\s*[\"']?true)", re.I)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: Elements that a start tag closes when they are open.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var".split())
 
 
+#: Browsers nest no deeper: what opens below is a sibling of the deepest element. So a page's paths take memory in its length.
+DEEPEST = 512
+
+
 def events(page: str) -> Iterator[tuple[str, str, str]]:
     """("open", path, tag), ("close", path, tag), ("text", path, text) of a page; paths join the open elements by '/'.
 
     Mis-nested pages are read as browsers do in the main: an end tag closes the nearest open element of its name, a
-    block start closes an open p, inline elements do not belong to paths, the end of the page closes all.
+    block start closes an open p, the end of the page closes all. Inline elements do not belong to paths, but for those
+    that are boilerplate by their class or hidden: their text has their path, and they part no block.
     """
     stack: list[tuple[str, str]] = []
+    known: dict[str, str] = {}  # one string for a path, however often it comes
+    opened: dict[str, int] = {}  # how many elements of a tag are open
     at = 0
     for m in MARKUP.finditer(page):
         if m.start() > at:
@@ -64,48 +80,82 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
         tag = (m.group(3) or "").lower()
         if not tag:
             continue
-        if tag in INLINE or tag == "br" or (tag in VOID and tag not in BLOCKS):
+        if tag == "br" or (tag in VOID and tag not in BLOCKS):
             if tag == "br":
                 yield "text", stack[-1][1] if stack else "", " "
             continue
         if m.group(2):
-            if any(t == tag for t, _ in stack):
+            if opened.get(tag):
                 while True:
                     t, path = stack.pop()
-                    yield "close", path, t
+                    opened[t] -= 1
+                    if t not in INLINE:
+                        yield "close", path, t
                     if t == tag:
                         break
             continue
+        marks = "".join("." + re.sub(r"[/\s]+", " ", next(filter(None, g[1:]), "")).strip() for g in ATTRIBUTE.findall(m.group(4)))
+        if HIDDEN.search(m.group(4)):
+            marks += f".{UNSEEN}"
+        # Within an inline element that is left out, others are kept count of, so that each end tag finds its own.
+        if tag in INLINE and not is_noise(tag + marks) and not (stack and stack[-1][0] in INLINE):
+            continue
         ends = CLOSES.get(tag, set()) | ({"p"} if tag in BLOCKS else set())
-        while stack and stack[-1][0] in ends:
+        while stack and (stack[-1][0] in ends or (tag in BLOCKS and stack[-1][0] in INLINE)):
             t, path = stack.pop()
-            yield "close", path, t
-        marks = "".join("." + re.sub(r"[/\s]+", " ", next(filter(None, g[1:]), "")).strip() for g in ATTRIBUTE.findall(m.group(4)))
+            opened[t] -= 1
+            if t not in INLINE:
+                yield "close", path, t
+        if len(stack) >= DEEPEST:
+            t, path = stack.pop()
+            opened[t] -= 1
+            if t not in INLINE:
+                yield "close", path, t
         path = f"{stack[-1][1] if stack else ''}/{tag}{marks}"
-        yield "open", path, tag
+        path = known.setdefault(path, path)
+        if tag not in INLINE:
+            yield "open", path, tag
         if tag in VOID or m.group(4).rstrip().endswith("/") and tag not in BLOCKS:
-            yield "close", path, tag
+            if tag not in INLINE:
+                yield "close", path, tag
         else:
             stack.append((tag, path))
+            opened[tag] = opened.get(tag, 0) + 1
     if at < len(page):
         yield "text", stack[-1][1] if stack else "", page[at:]
     for t, path in reversed(stack):
-        yield "close", path, t
+        if t not in INLINE:
+            yield "close", path, t
+
+
+UNSEEN = "~unseen"  # the mark of an element that a style or attribute hides
+
+
+def names_noise(name: str) -> bool:
+    """Whether one class, id or role names boilerplate."""
+    words = re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower())
+    if any(w in STRONG for w in words):
+        return True
+    return any(w in WEAK for w in words) and all(w in WEAK or w in LAYOUT for w in words)
 
 
 @lru_cache(100_000)
-def is_noise(step: str) -> bool:
+def is_noise(step: str, in_article: bool = False) -> bool:
+    """Whether an element is boilerplate, in an article or elsewhere: a header within an article is the article's own."""
     tag, _, marks = step.partition(".")
-    return tag in BOILERPLATE or (tag not in ("html", "body", "article", "main") and bool(marks) and bool(NOISE.search(marks.replace(".", " "))))
+    if UNSEEN in marks or (tag in BOILERPLATE and not (in_article and tag == "header")):
+        return True
+    return tag not in ("html", "body", "article", "main") and any(map(names_noise, re.split(r"[.\s]+", marks)))
 
 
 def noisy(path: str, spared: frozenset[str] = frozenset()) -> bool:
     """True if the path leads through a boilerplate element that is not spared."""
-    end = 0
+    end, in_article = 0, False
     for step in path.split("/")[1:]:
         end += 1 + len(step)
-        if is_noise(step) and path[:end] not in spared:
+        if is_noise(step, in_article) and path[:end] not in spared:
             return True
+        in_article = in_article or step.partition(".")[0] == "article"
     return False
 
 
