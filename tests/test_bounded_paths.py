@@ -169,3 +169,21 @@ def test_bootstrap_takes_either_way(spark):
     means = sorted(round(sum(values[draw(i, j)] for j in range(23)) / 23, 12) for i in range(60))
     at = lambda p: means[int(p * 59)] + (p * 59 - int(p * 59)) * (means[min(int(p * 59) + 1, 59)] - means[int(p * 59)])
     assert together[0][3:5] == (round(at(0.025), 9), round(at(0.975), 9))
+
+
+def test_sparse_opens_few_blocks(spark):
+    """Terms from rare to very common: the same rows as the plain sum, from a part of the postings."""
+    rng = random.Random(9)
+    docs = [(i, " ".join([f"common{rng.randrange(2)}"] * rng.randint(1, 9) + [f"mid{rng.randrange(40)}" for _ in range(6)] + [f"rare{rng.randrange(3000)}" for _ in range(8)])) for i in range(3000)]
+    df = spark.createDataFrame(docs, "id long, text string")
+    index = search.bm25_index(df, stem=None).cache()
+    asked = [(q, f"{w}") for q, words in enumerate([("common0", "rare7", "mid3"), ("common1", "common0"), ("rare1", "rare2", "rare9999"), ("mid1", "mid2", "common1", "rare5"), ("none",), ("rare11", "common0", "common1")]) for w in words]
+    terms = spark.createDataFrame(asked, "query_id int, term string")
+    blocks = search.block_index(index, rows=64).cache()
+    assert blocks.agg(F.sum("n")).first()[0] == index.count()
+    got = search.sparse_bounded(terms, index, blocks, len(docs), 5)
+    assert rows(got.ranking.select("query_id", "id", "score", "rank")) == rows(search.sparse(terms, index, len(docs), 5).select("query_id", "id", "score", "rank"))
+    read = {r["query_id"]: (r["read"], r["postings"]) for r in got.read.collect()}
+    assert all(read[q][0] < 0.5 * read[q][1] for q in (0, 3, 5)) and 4 not in read
+    index.unpersist()
+    blocks.unpersist()

@@ -64,7 +64,8 @@ def top(scores: DataFrame, k: int, by: tuple[str, ...] = ("query_id",), ids: tup
 def sparse(queries: DataFrame, index: DataFrame, n_docs: int, k: int, ids: tuple[str, ...] = ("id",), within: DataFrame | None = None) -> DataFrame:
     """queries(query_id, term) -> the k best of each query by the sum of weight times idf; each term counts once.
 
-    within(query_id, id): only these are scored, by the idf of the whole index.
+    within(query_id, id): only these are scored, by the idf of the whole index. Every posting of every term is added up;
+    for an index that is large against its answers see `sparse_bounded`, which gives the same rows.
     """
     wanted = queries.select("query_id", "term").distinct()
     idf = inverse_frequency(index.join(wanted.select("term").distinct(), "term", "left_semi"), n_docs)
@@ -75,6 +76,73 @@ def sparse(queries: DataFrame, index: DataFrame, n_docs: int, k: int, ids: tuple
     return top(score, k, ids=ids)
 
 
+def block_index(index: DataFrame, rows: int = 4096, levels: int = 32, ids: tuple[str, ...] = ("id",)) -> DataFrame:
+    """index(ids, term, weight) -> term, level, part, max_weight, min_weight, n, postings (array of ids): a term's postings in
+    blocks of like weight, the heaviest at level 0, of about `rows` at most. Where one level of a term has more, a hash cuts it."""
+    most = index.agg(F.max("weight")).first()[0] or 1.0
+    level = F.least(F.floor((1 - F.col("weight") / most) * levels), F.lit(levels - 1)).cast("int")
+    at = index.select("term", level.alias("level"), "weight", F.struct(*ids).alias("_id"))
+    sizes = at.groupBy("term", "level").agg(F.ceil(F.count("*") / rows).alias("_parts"))
+    cut = at.join(sizes, ["term", "level"]).withColumn("part", F.pmod(F.xxhash64("_id"), F.col("_parts")))
+    return cut.groupBy("term", "level", "part").agg(F.max("weight").alias("max_weight"), F.min("weight").alias("min_weight"), F.count("*").alias("n"), F.collect_list("_id").alias("postings"))
+
+
+@dataclass
+class Sparse:
+    """ranking(query_id, ids, score, rank) and read(query_id, read, postings): postings that were looked at for a query, and those of its terms in all."""
+
+    ranking: DataFrame
+    read: DataFrame
+
+
+def sparse_bounded(queries: DataFrame, index: DataFrame, blocks: DataFrame, n_docs: int, k: int, ids: tuple[str, ...] = ("id",)) -> Sparse:
+    """The rows of `sparse`, from the blocks (see block_index) that can hold an answer alone.
+
+    A term adds at most its greatest weight times its idf to a score. A query's heaviest blocks that hold 2k postings give
+    first answers, scored in full; the k-th score of these is a floor. A document of a block scores at most the block's
+    greatest weight times idf, and the most of all other terms; blocks that stay below the floor are not opened, and terms
+    that do not reach it even together open none. What the opened blocks hold is scored in full from index(ids, term,
+    weight), to which only those documents are joined. Tables are written; the two results stay.
+    """
+    wanted = queries.select("query_id", "term").distinct()
+    stats = blocks.join(wanted.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("df"), F.max("max_weight").alias("_most"))
+    idf = F.log((F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
+    per_query = Window.partitionBy("query_id")
+    terms_of = wanted.join(stats, "term").withColumn("idf", idf).withColumn("_ub", F.col("_most") * F.col("idf"))
+    by_bound = per_query.orderBy("_ub", "term")  # a query's terms
+    terms_of = written(terms_of.withColumns({"_rest": F.sum("_ub").over(per_query) - F.col("_ub"), "_upto": F.sum("_ub").over(by_bound)}), "query-terms")
+    heads = blocks.select("term", "level", "part", "max_weight", "n")
+    asked = written(terms_of.join(heads, "term").withColumn("_top", F.col("max_weight") * F.col("idf")), "asked")  # a row a query and block, without postings
+    by_top = per_query.orderBy(F.desc("_top"), "term", "level", "part").rowsBetween(Window.unboundedPreceding, -1)
+    first = asked.withColumn("_before", F.coalesce(F.sum("n").over(by_top), F.lit(0))).where(F.col("_before") < 2 * k)
+    block = ["term", "level", "part"]
+
+    def opened(chosen: DataFrame) -> DataFrame:
+        found = chosen.select("query_id", *block).join(blocks.select(*block, "postings"), block)
+        return found.select("query_id", F.explode("postings").alias("_id")).select("query_id", "_id.*").distinct()
+
+    def scored(docs: DataFrame) -> DataFrame:
+        """Full scores of docs(query_id, ids), and how many postings they took."""
+        hits = index.join(docs, list(ids)).join(terms_of.select("query_id", "term", "idf"), ["query_id", "term"])
+        return hits.groupBy("query_id", *ids).agg(F.round(F.sum(F.col("weight") * F.col("idf")), 6).alias("score"), F.count("*").alias("_read"))
+
+    seeds = written(scored(opened(first)), "seeds")
+    floors = top(seeds, k, ids=ids).where(F.col("rank") == k).select("query_id", F.col("score").alias("_floor"))
+    slack = 2e-6  # more than the rounding of scores
+    need = (F.col("_floor").isNull()) | ((F.col("_top") + F.col("_rest") >= F.col("_floor") - slack) & (F.col("_upto") >= F.col("_floor") - slack))
+    chosen = written(asked.join(floors, "query_id", "left").where(need).select("query_id", *block, "n"), "chosen")
+    docs = opened(chosen).join(seeds.select("query_id", *ids), ["query_id", *ids], "left_anti")
+    full = written(scored(docs).unionByName(seeds), "scores")
+    ranking = written(top(full.drop("_read"), k, ids=ids), "ranking")
+    looked = full.groupBy("query_id").agg(F.sum("_read").alias("_scored"))
+    in_blocks = chosen.unionByName(first.select("query_id", *block, "n")).distinct().groupBy("query_id").agg(F.sum("n").alias("_opened"))
+    everything = asked.groupBy("query_id").agg(F.sum("n").alias("postings"))
+    read = everything.join(in_blocks, "query_id", "left").join(looked, "query_id", "left")
+    read = written(read.select("query_id", (F.coalesce("_opened", F.lit(0)) + F.coalesce("_scored", F.lit(0))).alias("read"), "postings"), "read")
+    erase(terms_of, asked, seeds, chosen, full)
+    return Sparse(ranking, read)
+
+
 def _vectors(column: pa.ChunkedArray) -> np.ndarray:
     rows = column.combine_chunks()
     v = rows.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(rows), -1) if len(rows) else np.zeros((0, 1))

@@ -372,7 +372,7 @@ def kgml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(lines(docs, "kgml")).select(F.col("value").alias("text"))
 
 
-_KGML = "x AS (SELECT 'hsa' || l_orderkey AS pathway_id, l_linenumber AS i, min(l_partkey) AS k, min(l_suppkey) AS q FROM lineitem GROUP BY 1, 2), en AS (SELECT * FROM x WHERE i % 5 <> 4), ref AS (SELECT pathway_id, i, CAST(k AS VARCHAR) AS e FROM en UNION ALL SELECT pathway_id, i, 'C' || q FROM en)"
+_KGML = "x AS MATERIALIZED (SELECT 'hsa' || l_orderkey AS pathway_id, l_linenumber AS i, min(l_partkey) AS k, min(l_suppkey) AS q FROM lineitem GROUP BY 1, 2), en AS MATERIALIZED (SELECT * FROM x WHERE i % 5 <> 4), ref AS MATERIALIZED (SELECT pathway_id, i, CAST(k AS VARCHAR) AS e FROM en UNION ALL SELECT pathway_id, i, 'C' || q FROM en)"
 
 
 @query(f"WITH {_KGML} SELECT a.e AS source_id, b.e AS target_id, CASE WHEN a.i % 2 = 0 THEN 'activation' ELSE 'undefined' END AS relation_type, a.pathway_id FROM ref a JOIN ref b ON a.pathway_id = b.pathway_id AND b.i = a.i + 1")

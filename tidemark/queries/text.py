@@ -162,6 +162,14 @@ def search_sparse(spark, sf_dir):
     return search.sparse(query_terms(q), search.bm25_index(d), d.count(), 20)
 
 
+@query(f"{_HYBRID} SELECT query_id, id, score, CAST(rank AS INTEGER) AS rank FROM spr WHERE rank <= 10")
+def search_sparse_bounded(spark, sf_dir):
+    d, q = documents(spark, sf_dir), asked(spark, sf_dir)
+    index = written(search.bm25_index(d), "index")
+    blocks = written(search.block_index(index, 256), "blocks")
+    return search.sparse_bounded(query_terms(q), index, blocks, d.count(), 10).ranking
+
+
 @query("""WITH v AS (SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings), s AS (SELECT a.vec_id AS query_id, b.vec_id AS id, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM v a JOIN v b ON true WHERE a.vec_id % 100 = 0)
     SELECT query_id, id, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s) WHERE rank <= 20""")
 def search_dense(spark, sf_dir):
