@@ -136,7 +136,7 @@ def test_toy_ontology(spark):
     up, any_up = onto.propagate_up(pos, closure), onto.propagate_up(any_, closure)
     assert {r["term"]: r["n_pos"] for r in onto.anchors(up, terms, cfg).collect()} == {"repair": 3, "homeostasis": 2, "ber": 2, "ner": 1, "glc": 1, "ca": 1}
     parts = onto.split(onto.anchors(up, terms, cfg), closure, cfg)
-    tri = onto.mine_triplets(parts.where("part = 'train'"), up, neg, any_up, onto.siblings(hierarchy), genes, cfg).collect()
+    tri = onto.mine_triplets(parts.where("part = 'train'"), up, neg, any_up, hierarchy, genes, cfg).collect()
     assert {(r["negative"], r["source"]) for r in tri if r["term"] == "ber"} == {("XPA", "curated_NOT")}
     assert not {r["negative"] for r in tri if r["term"] in ("ner", "glc")} & {"TP53"}
     assert all((r["term"], r["negative"]) not in {(x["term"], x["gene"]) for x in any_up.collect()} for r in tri if r["source"] != "curated_NOT")

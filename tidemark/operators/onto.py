@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import reachable
-from .store import written
+from .store import erase, written
 from .text import parse_qualifier
 
 #: The rules' defaults.
@@ -156,14 +156,17 @@ def numbered(pool: DataFrame, by: str, seed: int) -> DataFrame:
     return pool.withColumn("_i", F.row_number().over(w.orderBy(order_of(seed, by, "gene"), "gene")) - 1).withColumn("_n", F.count("*").over(w))
 
 
-def mine_triplets(train: DataFrame, positives: DataFrame, negatives: DataFrame, any_pos: DataFrame, sibling: DataFrame, genes: DataFrame, cfg: Config = Config()) -> DataFrame:
+def mine_triplets(train: DataFrame, positives: DataFrame, negatives: DataFrame, any_pos: DataFrame, hierarchy: DataFrame, genes: DataFrame, cfg: Config = Config()) -> DataFrame:
     """term, positive, negative, source of up to pos_per_anchor positives of each train anchor.
 
-    The negative is a curated one with probability p_curated_neg, or when there is no sibling's; else a sibling term's gene that
-    nothing links to the anchor; else any gene that nothing links to it; without any the positive is left out. Draws: the
-    md5 of seed, term and positive modulo the pool's size. A random negative is the first unlinked gene at or after
-    the drawn place among all genes: an anchor has at most max_pos trusted positives but may have more links, so the
-    places from the drawn one on are tried in blocks that double.
+    The negative is a curated one with probability p_curated_neg, or when there is no sibling's; else a gene of a sibling
+    term (a child of one of the anchor's is_a parents) that nothing links to the anchor; else any gene that nothing links
+    to it; without any the positive is left out. any_pos holds the positives as well. Draws are the md5 of seed, term and
+    positive. A curated one is drawn modulo their number. Siblings' genes are never listed for an anchor: the genes of
+    each parent's children are, once, in places from 0, and an anchor's places are those of its parents one after the
+    other; it has a free one unless its links take them all, which counts tell. The negative is the first unlinked gene at or
+    after the drawn place, round the end; for a random one places are those of all genes. An anchor has at most max_pos
+    trusted positives but may have more links, so places from the drawn one on are tried in blocks that double.
     """
     train = train.select("term")
     chosen = positives.join(train, "term", "left_semi").withColumn("_r", F.row_number().over(Window.partitionBy("term").orderBy(order_of(cfg.seed, F.lit("pos"), "term", "gene"), "gene")))
@@ -171,40 +174,59 @@ def mine_triplets(train: DataFrame, positives: DataFrame, negatives: DataFrame,
     u = F.conv(F.substring(order_of(cfg.seed, F.lit("u"), "term", "positive"), 1, 8), 16, 10).cast("long")
     chosen = chosen.withColumn("_u", u / F.lit(float(1 << 32))).withColumn("_d", F.conv(F.substring(order_of(cfg.seed, F.lit("neg"), "term", "positive"), 1, 8), 16, 10).cast("long"))
     curated = numbered(negatives.join(train, "term", "left_semi").select("term", "gene").distinct(), "term", cfg.seed)
-    pool = sibling.join(train, "term", "left_semi").join(positives.withColumnRenamed("term", "sibling"), "sibling").select("term", "gene").distinct()
-    pool = numbered(pool.join(any_pos, ["term", "gene"], "left_anti"), "term", cfg.seed)
-    size = lambda p, name: p.where("_i = 0").select("term", F.col("_n").alias(name))
-    rows = chosen.join(size(curated, "_c"), "term", "left").join(size(pool, "_s"), "term", "left")
+    isa = hierarchy.where("rel = 'is_a'").select("child", "parent").distinct()
+    own = written(isa.withColumnRenamed("child", "term").join(train, "term", "left_semi").withColumnRenamed("parent", "pool"), "parents")
+    under = isa.join(own.select(F.col("pool").alias("parent")).distinct(), "parent", "left_semi").join(positives.withColumnRenamed("term", "child"), "child")
+    placed = places(under.select(F.col("parent").alias("pool"), "gene").distinct())
+    # An anchor's stretch of places for each of its parents.
+    along = Window.partitionBy("term").orderBy("pool")
+    sizes = placed.groupBy("pool").agg(F.count("*").alias("_size"))
+    own = written(own.join(sizes, "pool").withColumn("_start", F.sum("_size").over(along) - F.col("_size")), "stretches")
+    linked = any_pos.join(own.select("term", "pool"), "term").join(placed.select("pool", "gene"), ["pool", "gene"]).groupBy("term").agg(F.count("*").alias("_linked"))
+    free = own.groupBy("term").agg(F.sum("_size").alias("_s")).join(linked, "term", "left").where("_s > coalesce(_linked, 0)").select("term", "_s")
+    rows = chosen.join(curated.where("_i = 0").select("term", F.col("_n").alias("_c")), "term", "left").join(free, "term", "left")
     source = F.when(F.col("_c").isNotNull() & ((F.col("_u") < cfg.p_curated_neg) | F.col("_s").isNull()), "curated_NOT").when(F.col("_s").isNotNull(), "sibling").otherwise("random")
     rows = written(rows.withColumn("source", source), "triplets")
-    pick = lambda p, name, n: rows.where(F.col("source") == name).withColumn("_i", F.pmod(F.col("_d"), F.col(n))).join(p.select("term", "_i", F.col("gene").alias("negative")), ["term", "_i"]).select("term", "positive", "negative", "source")
-    out = pick(curated, "curated_NOT", "_c").unionByName(pick(pool, "sibling", "_s"))
-    return out.unionByName(_random_negatives(rows.where("source = 'random'"), any_pos, genes))
-
-
-def _random_negatives(rows: DataFrame, any_pos: DataFrame, genes: DataFrame) -> DataFrame:
-    """rows(term, positive, _d) with the first unlinked gene at or after place _d modulo the number of genes, round the end."""
-    spark = rows.sparkSession
-    placed = written(genes.select("gene").distinct().withColumn("_h", F.md5(F.col("gene").cast("string"))), "genes")
-    total = placed.count()
-    cols = ["term", "positive", "negative", "source"]
-    if not total:
-        return spark.createDataFrame([], rows.select("term", "positive", F.col("positive").alias("negative"), "source").schema)
-    # Places by hash, given by chunks so that no task numbers all genes.
-    chunk = F.substring("_h", 1, 2)
-    starts = placed.groupBy(chunk.alias("_k")).agg(F.count("*").alias("_n"))
-    starts = starts.select("_k", (F.sum("_n").over(Window.orderBy("_k")) - F.col("_n")).alias("_start"))  # 256 rows
-    place = F.row_number().over(Window.partitionBy("_k").orderBy("_h", "gene")) - 1
-    placed = written(placed.withColumn("_k", chunk).withColumn("_p", place).join(starts, "_k").select((F.col("_p") + F.col("_start")).alias("_at"), F.col("gene").alias("negative")), "places")
-    left, found, first, step = written(rows.select("term", "positive", "source", "_d"), "open"), [], 0, 4
-    while first < total and not left.isEmpty():
-        tries = F.sequence(F.lit(first), F.lit(min(first + step, total) - 1))
-        tried = left.select("*", F.explode(tries).alias("_t")).withColumn("_at", F.pmod(F.col("_d") + F.col("_t"), F.lit(total)).cast("long")).join(placed, "_at")
+    drawn = rows.where("source = 'curated_NOT'").withColumn("_i", F.pmod("_d", "_c"))
+    out = drawn.join(curated.select("term", "_i", F.col("gene").alias("negative")), ["term", "_i"]).select("term", "positive", "negative", "source")
+    out = out.unionByName(_first_free(rows.where("source = 'sibling'"), own.select("term", "pool", "_start", "_size"), placed, any_pos))
+    everything = places(genes.select(F.lit("").alias("pool"), "gene").distinct())
+    stretch = everything.agg(F.lit("").alias("pool"), F.lit(0).cast("long").alias("_start"), F.count("*").alias("_size")).where("_size > 0")
+    at_random = rows.where("source = 'random'")
+    whole = at_random.select("term").distinct().join(stretch)  # one row on the right
+    return out.unionByName(_first_free(at_random, whole, everything, any_pos))
+
+
+def places(pool: DataFrame) -> DataFrame:
+    """pool(pool, gene) with _at: places from 0 within each pool, in the order of the gene's md5. Numbered by chunks of the hash, so that no task holds a pool."""
+    hashed = pool.withColumn("_h", F.md5(F.col("gene").cast("string"))).withColumn("_k", F.substring("_h", 1, 2))
+    hashed = written(hashed, "pools")
+    before = Window.partitionBy("pool").orderBy("_k")
+    starts = hashed.groupBy("pool", "_k").agg(F.count("*").alias("_n")).withColumn("_before", F.sum("_n").over(before) - F.col("_n")).drop("_n")  # 256 rows a pool
+    place = F.row_number().over(Window.partitionBy("pool", "_k").orderBy("_h", "gene")) - 1
+    out = written(hashed.withColumn("_p", place).join(starts, ["pool", "_k"]).select("pool", "gene", (F.col("_p") + F.col("_before")).cast("long").alias("_at")), "places")
+    erase(hashed)
+    return out
+
+
+def _first_free(rows: DataFrame, stretches: DataFrame, placed: DataFrame, any_pos: DataFrame) -> DataFrame:
+    """rows(term, positive, source, _d) with the first gene that any_pos does not link to the term, at or after place _d modulo
+    the term's places, round the end. stretches(term, pool, _start, _size): the pools whose places a term has one after the other."""
+    spark, cols = rows.sparkSession, ["term", "positive", "negative", "source"]
+    total = stretches.groupBy("term").agg(F.sum("_size").alias("_total"))
+    left = written(rows.join(total, "term").select("term", "positive", "source", "_d", "_total"), "open")
+    found, first, step = [], 0, 4
+    while not left.isEmpty():
+        tries = left.where(F.col("_total") > first).select("*", F.explode(F.sequence(F.lit(first).cast("long"), F.least(F.lit(first + step).cast("long"), F.col("_total")) - 1)).alias("_t"))
+        tried = tries.withColumn("_place", F.pmod(F.col("_d") + F.col("_t"), F.col("_total"))).join(stretches, "term").where("_place >= _start and _place < _start + _size")
+        tried = tried.withColumn("_at", F.col("_place") - F.col("_start")).join(placed.withColumnRenamed("gene", "negative"), ["pool", "_at"])
         free = tried.join(any_pos.select("term", F.col("gene").alias("negative")), ["term", "negative"], "left_anti")
-        best = written(free.groupBy("term", "positive", "source").agg(F.min_by("negative", "_t").alias("negative")), "free")
-        found.append(best.select(cols))
-        left = written(left.join(best, ["term", "positive"], "left_anti"), "open")
+        best = written(free.groupBy("term", "positive", "source").agg(F.min_by("negative", "_t").alias("negative")).select(cols), "free")
+        found.append(best)
+        old, left = left, written(left.where(F.col("_total") > first + step).join(best, ["term", "positive"], "left_anti"), "open")
+        erase(old)
         first, step = first + step, step * 2
+    erase(left)
     return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], rows.select("term", "positive", F.col("positive").alias("negative"), "source").schema)
 
 

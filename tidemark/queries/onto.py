@@ -162,11 +162,13 @@ _HEX = lambda x: f"CAST('0x' || substr(md5({x}), 1, 8) AS BIGINT)"
 _MINE = f"""{_SPLIT}, ch AS (SELECT term, gene AS positive FROM (SELECT *, row_number() OVER (PARTITION BY term ORDER BY md5('13:pos:' || term || ':' || gene), gene) AS r FROM pos WHERE term IN (SELECT term FROM sp WHERE part = 'train')) WHERE r <= 5),
     dr AS (SELECT *, {_HEX("'13:u:' || term || ':' || positive")} / 4294967296.0 AS u, {_HEX("'13:neg:' || term || ':' || positive")} AS d FROM ch),
     cu AS (SELECT term, gene, row_number() OVER (PARTITION BY term ORDER BY md5('13:' || term || ':' || gene), gene) - 1 AS i, count(*) OVER (PARTITION BY term) AS n FROM neg WHERE term IN (SELECT term FROM ch)),
-    po AS (SELECT term, gene, row_number() OVER (PARTITION BY term ORDER BY md5('13:' || term || ':' || gene), gene) - 1 AS i, count(*) OVER (PARTITION BY term) AS n FROM (SELECT DISTINCT sib.term, gene FROM sib JOIN pos ON pos.term = sibling WHERE sib.term IN (SELECT term FROM ch) EXCEPT SELECT term, gene FROM anypos)),
-    src AS (SELECT dr.*, c.n AS cn, s.n AS sn, CASE WHEN c.n IS NOT NULL AND (u < 0.5 OR s.n IS NULL) THEN 'curated_NOT' WHEN s.n IS NOT NULL THEN 'sibling' ELSE 'random' END AS source FROM dr LEFT JOIN (SELECT * FROM cu WHERE i = 0) c USING (term) LEFT JOIN (SELECT * FROM po WHERE i = 0) s USING (term)),
+    pg AS (SELECT parent, gene, row_number() OVER (PARTITION BY parent ORDER BY md5(CAST(gene AS VARCHAR)), gene) - 1 AS pl, count(*) OVER (PARTITION BY parent) AS n FROM (SELECT DISTINCT parent, gene FROM hi JOIN pos ON term = child WHERE rel = 'is_a')),
+    pn AS (SELECT ch.term, parent, n, sum(n) OVER (PARTITION BY ch.term ORDER BY parent) - n AS st, sum(n) OVER (PARTITION BY ch.term) AS total FROM (SELECT DISTINCT term FROM ch) ch JOIN (SELECT DISTINCT child, parent FROM hi WHERE rel = 'is_a') ON child = ch.term JOIN (SELECT DISTINCT parent, n FROM pg) USING (parent)),
+    po AS (SELECT term, gene, st + pl AS place, total AS n FROM pn JOIN pg USING (parent) ANTI JOIN anypos USING (term, gene)),
+    src AS (SELECT dr.*, c.n AS cn, s.n AS sn, CASE WHEN c.n IS NOT NULL AND (u < 0.5 OR s.n IS NULL) THEN 'curated_NOT' WHEN s.n IS NOT NULL THEN 'sibling' ELSE 'random' END AS source FROM dr LEFT JOIN (SELECT * FROM cu WHERE i = 0) c USING (term) LEFT JOIN (SELECT DISTINCT term, n FROM po) s USING (term)),
     al AS (SELECT gene, row_number() OVER (ORDER BY md5(CAST(gene AS VARCHAR)), gene) - 1 AS at, count(*) OVER () AS n FROM g),
     ra AS (SELECT src.term, positive, arg_min(al.gene, (al.at - src.d % al.n + al.n) % al.n) AS negative FROM src JOIN al ON true ANTI JOIN anypos x ON x.term = src.term AND x.gene = al.gene WHERE source = 'random' GROUP BY 1, 2),
-    tri AS (SELECT src.term, positive, gene AS negative, source FROM src JOIN cu ON cu.term = src.term AND cu.i = d % cn WHERE source = 'curated_NOT' UNION ALL SELECT src.term, positive, gene, source FROM src JOIN po ON po.term = src.term AND po.i = d % sn WHERE source = 'sibling' UNION ALL SELECT term, positive, negative, 'random' FROM ra)"""
+    tri AS (SELECT src.term, positive, gene AS negative, source FROM src JOIN cu ON cu.term = src.term AND cu.i = d % cn WHERE source = 'curated_NOT' UNION ALL SELECT src.term, positive, arg_min(gene, (place - d % sn + sn) % sn), source FROM src JOIN po USING (term) WHERE source = 'sibling' GROUP BY src.term, positive, source UNION ALL SELECT term, positive, negative, 'random' FROM ra)"""
 
 
 def triplets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -176,7 +178,7 @@ def triplets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
     _, neg, any_, _ = d.cleaned()
     any_pos = written(onto.propagate_up(any_, closure), "any")
     left = onto.resolve_conflicts(onto.propagate_down(neg, closure), pos)[0]
-    return onto.mine_triplets(parts.where("part = 'train'"), pos, left, any_pos, onto.siblings(d.hierarchy), d.genes, CFG), parts, pos
+    return onto.mine_triplets(parts.where("part = 'train'"), pos, left, any_pos, d.hierarchy, d.genes, CFG), parts, pos
 
 
 @query(f"{_MINE} SELECT * FROM tri")
