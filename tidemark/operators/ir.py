@@ -5,6 +5,7 @@ Randomness is md5 of a seed and keys, so that other engines can draw the same.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from hashlib import md5
 
 import numpy as np
@@ -180,16 +181,35 @@ def coverage(queries: DataFrame, relevant: DataFrame, corpus: DataFrame) -> Data
     return queries.agg(F.count_distinct("query_id").alias("queries")).join(ids.agg(F.count("*").alias("relevant"))).join(gone)
 
 
-def latency(timings: DataFrame) -> DataFrame:
-    """timings(arm, query_id, seconds) -> arm, queries, median_ms."""
-    return timings.groupBy("arm").agg(F.count("*").alias("queries"), (F.percentile("seconds", F.lit(0.5)) * 1000).alias("median_ms"))
+def order_statistics(values: DataFrame, by: str, value: str, places: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """by, and for each name in `places` the value at that place (from 0) of the group's values in order; places: of the count n.
+
+    Equal values are counted first. What remains is cut into ranges of (by, value); a place falls into one range of its
+    group by the ranges' counts, and only those ranges are put in order, each by a task of its own. So no task holds a group.
+    """
+    counted = values.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("_c"))
+    cut = written(counted.repartitionByRange(by, value).withColumn("_part", F.spark_partition_id()), "ranges")
+    along = Window.partitionBy(by).orderBy("_part")
+    ranges = cut.groupBy(by, "_part").agg(F.sum("_c").alias("_n"))  # a row a range
+    ranges = ranges.withColumns({"_start": F.sum("_n").over(along) - F.col("_n"), "_all": F.sum("_n").over(Window.partitionBy(by))})
+    wanted = F.explode(F.array(*(F.struct(F.lit(name).alias("_name"), f(F.col("_all")).cast("long").alias("_place")) for name, f in places.items())))
+    found = ranges.select(by, "_part", "_start", "_n", wanted.alias("_w")).where("_w._place >= _start and _w._place < _start + _n").select(F.col(by).alias("_by"), F.col("_part").alias("_in"), "_w._name", (F.col("_w._place") - F.col("_start")).alias("_place"))
+    upto = F.sum("_c").over(Window.partitionBy(by, "_part").orderBy(value))
+    near = cut.join(found.select("_by", "_in").distinct(), F.col(by).eqNullSafe(F.col("_by")) & (F.col("_part") == F.col("_in")), "left_semi").withColumn("_upto", upto)
+    hits = near.join(found, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_part") == F.col("_in")) & (F.col("_place") < F.col("_upto")) & (F.col("_place") >= F.col("_upto") - F.col("_c")))
+    return hits.groupBy(by).agg(*(F.max(F.when(F.col("_name") == name, F.col(value))).alias(name) for name in places))
 
 
-def ranked_percentile(values: str, p: float) -> Column:
-    """sorted[min(n - 1, int(p * n))], as an aggregate: the value itself, never between two."""
-    place = lambda s: F.least(F.size(s) - 1, F.floor(F.lit(p) * F.size(s)).cast("int"))
-    s = F.array_sort(F.collect_list(values))
-    return F.get(s, place(s))
+#: Places of the two middle values, and of the ranked 90th percentile: a value itself, never between two.
+MIDDLE = {"_low": lambda n: F.floor((n - 1) / 2), "_high": lambda n: F.ceil((n - 1) / 2)}
+RANKED_90 = {"p90": lambda n: F.least(n - 1, F.floor(F.lit(0.9) * n))}
+
+
+def latency(timings: DataFrame) -> DataFrame:
+    """timings(arm, query_id, seconds) -> arm, queries, median_ms."""
+    n = timings.groupBy("arm").agg(F.count("*").alias("queries"))
+    middle = order_statistics(timings, "arm", "seconds", MIDDLE).withColumnRenamed("arm", "_arm")
+    return n.join(middle, n["arm"].eqNullSafe(F.col("_arm")), "left").select("arm", "queries", ((F.col("_low") + F.col("_high")) / 2 * 1000).alias("median_ms"))
 
 
 def discrimination(scores: DataFrame, records: DataFrame, corpus_size: int, shortlist: int) -> DataFrame:
@@ -214,8 +234,10 @@ def discrimination(scores: DataFrame, records: DataFrame, corpus_size: int, shor
 
 
 def spread_summary(values: DataFrame, by: str, value: str) -> DataFrame:
-    """by, n, mean, median and the ranked 90th percentile of each group's values; groups are summaries, not corpora."""
-    return values.groupBy(by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.percentile(value, F.lit(0.5)).alias("median"), ranked_percentile(value, 0.9).alias("p90"))
+    """by, n, mean, median and the ranked 90th percentile of each group's values."""
+    own = values.groupBy(by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"))
+    ranked = order_statistics(values, by, value, MIDDLE | RANKED_90).withColumnRenamed(by, "_group")
+    return own.join(ranked, F.col(by).eqNullSafe(F.col("_group")), "left").select(by, "n", "mean", ((F.col("_low") + F.col("_high")) / 2).alias("median"), "p90")
 
 
 def context_tokens(chars: Column) -> Column:

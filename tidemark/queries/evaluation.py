@@ -1,5 +1,5 @@
 """Queries of evaluation. Customers are queries, their orders the ids: one arm ranks them by price, the other by day; urgent
-orders are relevant. Only the first 10 of each ranking are looked at."""
+orders are relevant. Rankings go to 100, as their mean average precision does."""
 
 from __future__ import annotations
 
@@ -11,14 +11,14 @@ from ..operators.store import written
 from .base import query, t
 
 KS = (1, 3, 10)
-NAMES = [f"{m}_{k}" for k in KS for m in ir.METRICS] + ["map_10"]
+NAMES = [f"{m}_{k}" for k in KS for m in ir.METRICS] + ["map_100"]
 _RANKED = """o AS (SELECT o_custkey AS query_id, o_orderkey AS id, o_totalprice, o_orderdate, o_orderpriority FROM orders),
-    ranked AS (SELECT 'price' AS arm, query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY o_totalprice DESC, id) AS rank FROM o QUALIFY rank <= 10 UNION ALL SELECT 'day', query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY o_orderdate DESC, id) AS rank FROM o QUALIFY rank <= 10),
+    ranked AS (SELECT 'price' AS arm, query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY o_totalprice DESC, id) AS rank FROM o QUALIFY rank <= 100 UNION ALL SELECT 'day', query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY o_orderdate DESC, id) AS rank FROM o QUALIFY rank <= 100),
     rel AS (SELECT DISTINCT query_id, id FROM o WHERE o_orderpriority = '1-URGENT'), nrel AS (SELECT query_id, count(*) AS n_rel FROM rel GROUP BY 1),
     h AS (SELECT arm, query_id, rank, row_number() OVER (PARTITION BY arm, query_id ORDER BY rank) AS hit FROM ranked JOIN rel USING (query_id, id))"""
 _ONE = """coalesce(count(h.rank) FILTER (h.rank <= {k}) > 0, false)::INT::DOUBLE AS accuracy_{k}, count(h.rank) FILTER (h.rank <= {k}) / {k} AS precision_{k}, count(h.rank) FILTER (h.rank <= {k}) / n_rel AS recall_{k}, coalesce(1 / min(h.rank) FILTER (h.rank <= {k}), 0) AS mrr_{k},
     coalesce(sum(1 / log2(h.rank + 1)) FILTER (h.rank <= {k}) / (SELECT sum(1 / log2(i + 1)) FROM range(1, 11) AS x(i) WHERE i <= least(n_rel, {k})), 0) AS ndcg_{k}"""
-_METRICS = f"""WITH {_RANKED}, met AS (SELECT a.arm, n.query_id, n_rel, {', '.join(_ONE.format(k=k) for k in KS)}, coalesce(sum(hit / h.rank), 0) / least(n_rel, 10) AS map_10
+_METRICS = f"""WITH {_RANKED}, met AS (SELECT a.arm, n.query_id, n_rel, {', '.join(_ONE.format(k=k) for k in KS)}, coalesce(sum(hit / h.rank), 0) / least(n_rel, 100) AS map_100
     FROM nrel n JOIN (VALUES ('price'), ('day')) AS a(arm) ON true LEFT JOIN h ON h.query_id = n.query_id AND h.arm = a.arm GROUP BY a.arm, n.query_id, n_rel)"""
 _ROUNDED = ", ".join(f"round({m}, 6) AS {m}" for m in NAMES)
 
@@ -26,12 +26,12 @@ _ROUNDED = ", ".join(f"round({m}, 6) AS {m}" for m in NAMES)
 def arms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(rankings, relevant)"""
     o = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("query_id"), F.col("o_orderkey").alias("id"), "o_totalprice", "o_orderdate", "o_orderpriority")
-    rank = lambda c, arm: search.top(o.select("query_id", "id", F.col(c).alias("score")), 10).select(F.lit(arm).alias("arm"), "query_id", "id", "rank")
+    rank = lambda c, arm: search.top(o.select("query_id", "id", F.col(c).alias("score")), 100).select(F.lit(arm).alias("arm"), "query_id", "id", "rank")
     return rank("o_totalprice", "price").unionByName(rank("o_orderdate", "day")), o.where("o_orderpriority = '1-URGENT'").select("query_id", "id")
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ir.per_query(*arms(spark, sf_dir), KS, 10)
+    return ir.per_query(*arms(spark, sf_dir), KS, 100)
 
 
 def rounded(df: DataFrame, *names: str, places: int = 6) -> DataFrame:

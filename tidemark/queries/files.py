@@ -169,7 +169,7 @@ def shape_as_list(spark, sf_dir):
 
 def residues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as residues: lines are modifications, of three kinds, and the first and second line's flags the psi-mod terms."""
-    x = t(spark, sf_dir, "lineitem").where("l_linenumber <= 3")
+    x = t(spark, sf_dir, "lineitem")
     k = F.col("l_partkey")
     mod = F.struct(F.when(k % 3 == 0, F.concat(F.lit("R-HSA-"), s(k))).when(k % 3 == 1, F.concat(F.lit("chebi:"), s(k))).otherwise(F.concat(F.lit("other:"), s(k))).alias("id"), F.when(k % 4 != 0, s(k)).alias("identifier"))
     rows = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", mod.alias("m"), F.concat(F.lit("MOD:"), "l_returnflag").alias("p"))))
@@ -177,7 +177,7 @@ def residues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("entity_id", F.transform(F.slice("r", 1, 2), lambda y: y["p"]).alias("psi_mods"), F.transform("r", lambda y: y["m"]).alias("modifications"))
 
 
-_RES = """rs AS (SELECT 'O' || l_orderkey AS entity_id, l_partkey AS k, l_returnflag, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag) AS i FROM lineitem WHERE l_linenumber <= 3),
+_RES = """rs AS (SELECT 'O' || l_orderkey AS entity_id, l_partkey AS k, l_returnflag, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag) AS i FROM lineitem),
     rp AS (SELECT *, first_value(l_returnflag) OVER (PARTITION BY entity_id ORDER BY i) AS f FROM rs),
     mo AS (SELECT entity_id, CASE WHEN k % 3 = 0 THEN 'R-HSA-' || k WHEN k % 4 <> 0 THEN 'chebi:' || k END AS moiety_id, 'MOD:' || CASE WHEN i <= 2 THEN l_returnflag ELSE f END AS psi_mod, k % 3 = 1 AS is_reference FROM rp WHERE k % 3 <> 2 AND (k % 3 = 0 OR k % 4 <> 0))"""
 
