@@ -169,7 +169,8 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, query_rows: int = 10
     ring with angles lo to hi holds nothing nearer to a query, at angle a from the pivot, than a - hi or lo - a. A query
     first meets the rings of the highest bounds that hold k rows; its k-th score there is a floor, and of the other rings
     only those whose bound reaches the floor are searched. So a query is sent to the rings that it needs, and to no other. A ring of more than vector_rows rows is cut by hash, equal vectors
-    included, and where more than query_rows queries need it, they are dealt over tasks, each with a copy of the ring.
+    included, and where more than query_rows queries need it, they are dealt over tasks, each with a copy of the ring. A table of
+    at most vector_rows rows is one part, without rings.
 
     Vectors that are null, hold a null or not a number, or are zero take no part; all have one length. Of queries with one
     query_id one is answered. The driver sees pivots (at most most_pivots) and rings (`rings` times as many), chosen and
@@ -182,6 +183,21 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, query_rows: int = 10
     score_form = f"query_id {query_type}, id {id_type}, score double"
     if not n:
         return Nearest(spark.createDataFrame([], f"{score_form}, rank int"), spark.createDataFrame([], f"query_id {query_type}, parts long, rows long"))
+    def meet(q: pa.Table, v: pa.Table) -> pa.Table:
+        names = ["query_id", "id", "score"]
+        if not len(q) or not len(v):
+            return pa.table({"query_id": q["query_id"].slice(0, 0), "id": v["id"].slice(0, 0), "score": pa.array([], pa.float64())})
+        scores = np.round(_vectors(q["dense"]) @ _vectors(v["dense"]).T, 6) + 0.0
+        by_id = np.argsort(v["id"].to_numpy(), kind="stable")
+        best = by_id[np.argsort(-scores[:, by_id], axis=1, kind="stable")[:, :k]]
+        rows = np.repeat(np.arange(len(q)), best.shape[1])
+        return pa.table([q["query_id"].take(pa.array(rows)), v["id"].take(pa.array(best.ravel())), pa.array(scores[rows, best.ravel()])], names=names)
+
+    if n <= vector_rows:  # one part: every query meets it
+        blocks = max(1, -(-queries.count() // query_rows))
+        q = queries.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
+        v = vectors.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+        return Nearest(top(q.groupBy("_b").cogroup(v.groupBy("_b")).applyInArrow(meet, score_form), k), queries.select("query_id", F.lit(1).cast("long").alias("parts"), F.lit(n).cast("long").alias("rows")))
     chosen = vectors.orderBy(F.xxhash64("id"), F.xxhash64("dense")).limit(min(most_pivots, max(1, n // (64 * rings)))).select("dense").toArrow()
     pivots = spark.sparkContext.broadcast(np.unique(_vectors(chosen["dense"]), axis=0))
 
@@ -218,16 +234,6 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, query_rows: int = 10
             take = pa.array(q)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(cell[r]), pa.array(ring[r].astype(np.int32))], ["query_id", "dense", "cell", "ring"])
 
-    def meet(q: pa.Table, v: pa.Table) -> pa.Table:
-        names = ["query_id", "id", "score"]
-        if not len(q) or not len(v):
-            return pa.table({"query_id": q["query_id"].slice(0, 0), "id": v["id"].slice(0, 0), "score": pa.array([], pa.float64())})
-        scores = np.round(_vectors(q["dense"]) @ _vectors(v["dense"]).T, 6) + 0.0
-        by_id = np.argsort(v["id"].to_numpy(), kind="stable")
-        best = by_id[np.argsort(-scores[:, by_id], axis=1, kind="stable")[:, :k]]
-        rows = np.repeat(np.arange(len(q)), best.shape[1])
-        return pa.table([q["query_id"].take(pa.array(rows)), v["id"].take(pa.array(best.ravel())), pa.array(scores[rows, best.ravel()])], names=names)
-
     def search(sent: DataFrame) -> DataFrame:
         """The k best of each query in each part of the rings that it is sent to."""
         asked = {(r["cell"], r["ring"]): r["n"] for r in sent.groupBy("cell", "ring").agg(F.count("*").alias("n")).collect()}  # a row a ring

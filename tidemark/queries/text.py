@@ -170,13 +170,23 @@ def search_sparse_bounded(spark, sf_dir):
     return search.sparse_bounded(query_terms(q), index, blocks, d.count(), 10).ranking
 
 
-@query("""WITH v AS (SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings), s AS (SELECT a.vec_id AS query_id, b.vec_id AS id, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM v a JOIN v b ON true WHERE a.vec_id % 100 = 0)
-    SELECT query_id, id, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s) WHERE rank <= 20""")
+_COSINES = """WITH v AS (SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings), s AS (SELECT a.vec_id AS query_id, b.vec_id AS id, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM v a JOIN v b ON true WHERE a.vec_id % 100 = 0)
+    SELECT query_id, id, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s) WHERE rank <= 20"""
+
+
+@query(_COSINES)
 def search_dense(spark, sf_dir):
     e = t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("dense"))
     return search.dense(e.where("id % 100 = 0").withColumnRenamed("id", "query_id"), e, 20)
 
 
+@query(_COSINES)
+def search_dense_rings(spark, sf_dir):
+    """In parts of 256 rows, so that the small table has rings, too."""
+    e = t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("dense"))
+    return search.nearest(e.where("id % 100 = 0").withColumnRenamed("id", "query_id"), e, 20, vector_rows=256).ranking
+
+
 @query("""WITH a AS (SELECT o_custkey AS query_id, o_orderkey AS id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders QUALIFY rank <= 10),
     b AS (SELECT o_custkey AS query_id, o_orderkey AS id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rank FROM orders QUALIFY rank <= 10),
     s AS (SELECT query_id, id, sum(1 / (60 + rank)) AS score FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY 1, 2)
