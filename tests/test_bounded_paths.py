@@ -187,3 +187,11 @@ def test_sparse_opens_few_blocks(spark):
     assert all(read[q][0] < 0.5 * read[q][1] for q in (0, 3, 5)) and 4 not in read
     index.unpersist()
     blocks.unpersist()
+
+
+def test_written_tables_can_all_be_deleted(spark):
+    from tidemark.operators import store
+
+    store.erase_all(spark)
+    kept = graph.reachable(spark.createDataFrame([(1, 2), (2, 3)], "src long, dst long"), spark.createDataFrame([(1,)], "seed long"))
+    assert kept.count() == 3 and store.erase_all(spark) == 1 and store.erase_all(spark) == 0

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_kept: list[str] = []  # what this process has written here and not deleted
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, else (local mode, as in tests) a new local one."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -23,6 +26,7 @@ def written(df: DataFrame, what: str) -> DataFrame:
     """df, cut from its lineage: written to the shared folder and read again, so a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    _kept.append(path)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_at = path
@@ -34,6 +38,7 @@ class Growing:
 
     def __init__(self, spark: SparkSession, what: str):
         self.spark, self.path, self.parts, self.schema = spark, f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}", [], None
+        _kept.append(self.path)
 
     def add(self, df: DataFrame) -> DataFrame:
         """Writes df as a part, and gives it as it was written."""
@@ -47,9 +52,25 @@ class Growing:
         return self.spark.read.schema(self.schema).parquet(*self.parts)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+    if path in _kept:
+        _kept.remove(path)
+
+
 def erase(*tables: DataFrame) -> None:
     """Deletes what `written` wrote for these tables; nothing that is still to be computed may read them."""
     for df in tables:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-        path = jvm.org.apache.hadoop.fs.Path(df.written_at)
-        path.getFileSystem(conf).delete(path, True)
+        _delete(df.sparkSession, df.written_at)
+
+
+def erase_all(spark: SparkSession) -> int:
+    """Deletes all tables that this process has written and not deleted yet, and gives their number.
+
+    Results of operators may read them: save what is wanted first.
+    """
+    paths = list(_kept)
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)
