@@ -53,11 +53,20 @@ def below(parts: DataFrame, closure: DataFrame) -> DataFrame:
     return parts.join(closure.withColumnRenamed("seed", "entity_id"), ["pathway_id", "entity_id"])
 
 
-def donated(parts: DataFrame, closure: DataFrame, members: DataFrame, moieties: DataFrame, own: DataFrame) -> DataFrame:
-    """Genes that a reaction attaches to its products: those in the closures of the moieties of anything in a product's closure."""
+def moiety_seeds(parts: DataFrame, members: DataFrame, moieties: DataFrame) -> DataFrame:
+    """pathway_id, entity_id: the moieties of all entities that a pathway names; those of what its closures hold are among them."""
+    named = parts.select("pathway_id", "entity_id").union(members.select("pathway_id", "parent_id")).union(members.select("pathway_id", "child_id")).distinct()
+    return named.join(moieties.select("entity_id", "moiety_id").distinct(), "entity_id").select("pathway_id", F.col("moiety_id").alias("entity_id")).distinct()
+
+
+def donated(parts: DataFrame, closure: DataFrame, members: DataFrame | None, moieties: DataFrame, own: DataFrame) -> DataFrame:
+    """Genes that a reaction attaches to its products: those in the closures of the moieties of anything in a product's closure.
+
+    Without members, closure holds those of the moieties (see moiety_seeds) already.
+    """
     made = below(role(parts, "product"), closure).select(*REACTION, F.col("id").alias("entity_id")).distinct()
     attached = made.join(moieties.select("entity_id", "moiety_id").distinct(), "entity_id").select(*REACTION, F.col("moiety_id").alias("entity_id")).distinct()
-    inside = below(attached, closures(members, attached)).select(*REACTION, "id").distinct()
+    inside = below(attached, closure if members is None else closures(members, attached)).select(*REACTION, "id").distinct()
     return carried(inside, own.where("label = 'Gene'"))
 
 
@@ -101,14 +110,19 @@ def as_assembly(target: DataFrame, candidates: DataFrame, sets: DataFrame, by: l
     return target.join(found.select(by), by, "left_anti").select(*by, *NODE).unionByName(found.select(*by, F.lit("Entity").alias("label"), "key"))
 
 
-def crossed(sources: DataFrame, targets: DataFrame, mechanism: str) -> DataFrame:
-    """Each source node of a reaction with each target node; sources may have sign and via."""
+def crossed(sources: DataFrame, targets: DataFrame, mechanism: str, salts: int = 16) -> DataFrame:
+    """Each source node of a reaction with each target node; sources may have sign and via.
+
+    A reaction's sources are dealt over `salts` tasks, its targets are copied to them.
+    """
     s = sources.withColumnsRenamed({"label": "source_label", "key": "source_id"})
     t = targets.select(*REACTION, F.col("label").alias("target_label"), F.col("key").alias("target_id"))
     for c in ("sign", "via"):
         if c not in s.columns:
             s = s.withColumn(c, F.lit(None).cast("string"))
-    return s.join(t, REACTION).withColumn("mechanism", F.lit(mechanism)).select(*REACTION, *EDGE)
+    s = s.withColumn("_salt", F.pmod(F.xxhash64("source_id", "via"), F.lit(salts)).cast("int"))
+    t = t.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return s.join(t, [*REACTION, "_salt"]).withColumn("mechanism", F.lit(mechanism)).select(*REACTION, *EDGE)
 
 
 def minus(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -122,9 +136,11 @@ class Reactions:
         # Each of these is read by several rules: they are written once.
         self.parts = written(parts.select(*REACTION, "entity_id", "role").distinct(), "parts")
         self.own = carriers(identity, currency)
-        self.closure = closures(members, self.parts)
+        # Of participants and of moieties, in one go.
+        both = closures(members, self.parts.select("pathway_id", "entity_id").union(moiety_seeds(self.parts, members, moieties)))
+        self.closure = both.join(self.parts.select("pathway_id", F.col("entity_id").alias("seed")).distinct(), ["pathway_id", "seed"], "left_semi")
         self.changes = written(changed(self.parts, self.closure), "changes")
-        self.gifts = written(donated(self.parts, self.closure, members, moieties, self.own), "gifts")
+        self.gifts = written(donated(self.parts, both, None, moieties, self.own), "gifts")
         main, fallback = acted_on(self.parts, self.closure, self.changes, self.gifts, self.own)
         self.main, self.fallback = written(main, "main"), written(fallback, "fallback")
         self.enzymes = written(enzymes(self.parts, self.closure, self.changes, self.own), "enzymes")
