@@ -9,9 +9,11 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Codec, encode_decode
 from tidemark.llm.codes import compress, with_label_errors
+from tidemark.llm.knn import inner_product_topk
 from tidemark.llm.mixing import phases, schedule, whole_weights
 from tidemark.llm.queries import ORACLE_SQL, QUERIES, tail_repeated, vocabulary_path
 from tidemark.llm.runs import periodic_runs, text_runs
@@ -264,3 +266,34 @@ def test_sql(spark, name):
     got = QUERIES[name](spark, DATA)
     want = con.execute(f"SELECT {', '.join(sorted(got.columns))} FROM ({ORACLE_SQL[name]})").fetchall()
     assert sorted(map(tuple, got.select(sorted(got.columns)).collect())) == sorted(want)
+
+
+def test_topk_with_a_hot_id(spark):
+    """A third of the rows have one id, which is a query, and some of them one vector."""
+    rng = random.Random(4)
+    rows = [(0, [rng.choice([0.5, -0.25, 1.0]) for _ in range(4)]) for _ in range(150)] + [(i, [rng.random() - 0.5 for _ in range(4)]) for i in range(1, 301)]
+    ints = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    asking = {}
+    for i, v in ints:
+        if i % 50 == 0:
+            asking[i] = min(v, asking.get(i, v))
+    want = set()
+    for q, own in asking.items():
+        best = sorted((-sum(a * b for a, b in zip(own, v, strict=True)), i) for i, v in ints if i != q)[:5]
+        want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(best)}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in inner_product_topk(df, F.col("vec_id") % 50 == 0, 5, chunk_rows=16, query_rows=4).collect()} == want
+
+
+def test_language_of_a_long_text(spark, monkeypatch):
+    """Pieces of a text add up to the whole."""
+    import tidemark.llm.langid as module
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    model = module.train(docs.select("doc_id", "lang", "text"))
+    texts = [r["text"] for r in docs.where("text is not null").limit(40).collect()]
+    texts += ["", " ".join(texts), "ab"]
+    whole = model.entropies(texts)
+    monkeypatch.setattr(module, "PIECE", 1000)
+    parts = model.entropies(texts)
+    assert np.allclose(whole[0], parts[0], atol=1e-5) and (whole[1] == parts[1]).all()

@@ -3,7 +3,7 @@
 Rows, queries among them, belong to the cell of their nearest pivot. For each cell a summary is kept: its pivot, its
 radius, its greatest norm and its number of rows. With q.v = q.p + q.(v - p), a cell's scores lie within q.p -+ |q| r, so
 the summaries give each query a score that its k-th answer surely reaches, and a cell whose best possible score is less
-is not needed. A block of queries of one cell meets only the cells that one of them needs; cells are cut into packed
+is not needed. A query meets only the cells that it needs, in blocks with others of its cell that need them; cells are cut into packed
 chunks of bounded size, so a cell that holds a third of all rows is dealt over many tasks. Each meeting yields the k best
 of a query, and these are merged.
 """
@@ -79,7 +79,7 @@ def inner_product_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale:
     vectors(vec_id, embedding): components become floor(scale * x); the score is the integer inner product, ties go to
     the smaller vec_id. A row takes no part if its vec_id or vector is null or the vector holds a null or non-finite
     component. Vectors of unlike length score over the components that both have. Rows that repeat a vec_id are
-    candidates each, but not of a query of that id; a repeated query is answered once. An empty table gives an empty one.
+    candidates each, but not of a query of that id; a repeated query is answered once, by the least of its vectors. An empty table gives an empty one.
     Other columns are ignored. Pivots are at most most_pivots rows, chosen by a hash; every row is searched.
     """
     spark = vectors.sparkSession
@@ -107,7 +107,8 @@ def inner_product_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale:
             away = np.sqrt(((m - p[cell]) ** 2).sum(1))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell.astype(np.int32)), pa.array(away), pa.array(np.sqrt((m * m).sum(1)))], ["vec_id", "v", "is_query", "cell", "away", "norm"])
 
-    placed = written(rows.mapInArrow(assign, "vec_id long, v array<long>, is_query boolean, cell int, away double, norm double"), "cells")
+    placed = rows.mapInArrow(assign, "vec_id long, v array<long>, is_query boolean, cell int, away double, norm double")
+    placed = written(placed.withColumn("place", F.monotonically_increasing_id()), "cells")  # rows that repeat an id or a vector lie apart, too
     summary = placed.groupBy("cell").agg(F.count("*").alias("n"), F.count_if("is_query").alias("nq"), F.max("away").alias("radius"), F.max("norm").alias("norm")).collect()  # a row a pivot
     cells = {r["cell"]: r for r in summary}
     repeats = total - placed.agg(F.count_distinct("vec_id")).first()[0]  # such rows may be the query's own
@@ -127,17 +128,18 @@ def inner_product_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale:
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("cell", pa.int32()), ("chunk", pa.int32()), ("ids", pa.binary()), ("data", pa.binary()), ("kind", pa.string())]))
 
-    def chunked(df: DataFrame, count: str, size: int) -> DataFrame:
+    def chunked(df: DataFrame, count: str, size: int, key: str) -> DataFrame:
         parts = spark.createDataFrame([(int(c), -(-cells[c][count] // size) or 1) for c in map(int, known)], "cell int, _parts long")
         df = df.join(F.broadcast(parts), "cell")  # a row a pivot
-        df = df.withColumn("chunk", F.pmod(F.xxhash64("vec_id", F.lit(5)), F.col("_parts")).cast("int"))
+        df = df.withColumn("chunk", F.pmod(F.xxhash64(key, F.lit(5)), F.col("_parts")).cast("int"))
         return df.groupBy("cell", "chunk").agg(F.collect_list(F.struct("vec_id", "v")).alias("rows")).mapInArrow(pack, PACK)
 
-    data = written(chunked(placed, "n", chunk_rows), "chunks")
-    queries = chunked(placed.where("is_query").dropDuplicates(["vec_id"]), "nq", query_rows)
+    data = written(chunked(placed, "n", chunk_rows, "place"), "chunks")
+    asking = placed.where("is_query").groupBy("vec_id").agg(F.min(F.struct("v", "cell")).alias("q")).select("vec_id", "q.*")
+    queries = chunked(asking, "nq", query_rows, "vec_id")
 
     def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A block of queries -> a row for each cell that one of them needs."""
+        """A block of queries -> for each cell those of them that need it."""
         p, pivot_ids = shared.value
         cell_ids, n, radius, norm = stats.value
         for b in batches:
@@ -149,7 +151,7 @@ def inner_product_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale:
                 middle = at_pivots[:, cell_ids]
                 high = np.minimum(middle + size[:, None] * radius, size[:, None] * norm)
                 low = middle - size[:, None] * radius
-                wanted = np.zeros(len(cell_ids), bool)
+                wanted = np.zeros((len(q), len(cell_ids)), bool)
                 for i in range(len(q)):
                     # Pivots are rows, so the k-th best of them (but the query's own) is reached; so is a cell's low end, by all its rows.
                     seen = np.sort(at_pivots[i, pivot_ids != own[i]])[::-1]
@@ -160,13 +162,15 @@ def inner_product_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale:
                     if len(enough):
                         floor = max(floor, low[i, order[enough[0]]])
                     slack = 1e-9 * (1 + abs(floor)) + 1e-9 * size[i] * norm.max()
-                    wanted |= high[i] + slack >= floor
-                blob = {"q_cell": r["cell"], "q_chunk": r["chunk"], "q_ids": r["ids"], "q_data": r["data"], "q_kind": r["kind"]}
-                out += [blob | {"cell": int(c)} for c in cell_ids[wanted]]
+                    wanted[i] = high[i] + slack >= floor
+                packed = np.frombuffer(r["data"], r["kind"]).reshape(-1, width)
+                for c in np.flatnonzero(wanted.any(0)):
+                    mine = wanted[:, c]
+                    out.append({"q_ids": own[mine].tobytes(), "q_data": packed[mine].tobytes(), "q_kind": r["kind"], "cell": int(cell_ids[c])})
             if out:
-                yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("q_cell", pa.int32()), ("q_chunk", pa.int32()), ("q_ids", pa.binary()), ("q_data", pa.binary()), ("q_kind", pa.string()), ("cell", pa.int32())]))
+                yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("q_ids", pa.binary()), ("q_data", pa.binary()), ("q_kind", pa.string()), ("cell", pa.int32())]))
 
-    sent = queries.mapInArrow(needs, "q_cell int, q_chunk int, q_ids binary, q_data binary, q_kind string, cell int")
+    sent = queries.mapInArrow(needs, "q_ids binary, q_data binary, q_kind string, cell int")
     parts = spark.createDataFrame([(int(c), int(-(-cells[c]["n"] // chunk_rows) or 1)) for c in map(int, known)], "cell int, _parts int")
     sent = sent.join(F.broadcast(parts), "cell").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
     met = sent.join(data, ["cell", "chunk"]).select("q_ids", "q_data", "q_kind", "ids", "data", "kind")

@@ -97,6 +97,10 @@ def _probabilities(grams: dict[str, int], alphabet: int) -> tuple[list[dict[str,
     return seen, backoff
 
 
+#: Characters that are scored at once.
+PIECE = 1 << 18
+
+
 class Model:
     """Sorted hash arrays by order: keys, log probabilities [n-gram, language]; of contexts, log backoff weights."""
 
@@ -156,14 +160,16 @@ class Model:
         sums = np.zeros((len(texts), len(self.langs)))
         if not len(texts):
             return sums, letters
-        p = self.log_probabilities(c)
-        p = np.concatenate((p, np.zeros((len(c) - len(p), p.shape[1]), np.float32)))
         ends = np.append(first[1:], len(c))
-        # Characters that the next text's lead would end are not this text's.
-        for i, (a, b) in enumerate(zip(first, ends, strict=True)):
-            n = b - a - (ORDER - 1)
-            if n > 0:
-                sums[i] = -p[a : a + n].sum(0, dtype=np.float64) / n
+        # Characters that the next text's lead would end are not this text's. Long texts are scored piece by piece.
+        n = ends - first - (ORDER - 1)
+        for lo in range(0, len(c), PIECE):
+            p = self.log_probabilities(c[lo : lo + PIECE + ORDER - 1])
+            here = np.flatnonzero((n > 0) & (first < lo + len(p)) & (first + n > lo))
+            for i in here.tolist():
+                a, b = max(int(first[i]) - lo, 0), min(int(first[i] + n[i]) - lo, len(p))
+                sums[i] -= p[a:b].sum(0, dtype=np.float64)
+        sums /= np.maximum(n, 1)[:, None]
         return sums, letters
 
 
