@@ -63,7 +63,7 @@ def test_closure_equals_a_plain_search(spark):
         want |= {(s, x) for x in seen}
     edges = spark.createDataFrame(pairs, "id long, dst long").distinct()
     starts = spark.createDataFrame([(s, s) for s in range(0, 141, 7)], "seed long, id long")
-    for plain in (0, 2, 100):
+    for plain in (0, 100):
         assert {tuple(r) for r in graph.closure(edges, starts, "id", [], ["seed"], plain_rounds=plain).all().collect()} == want
 
 
@@ -85,7 +85,7 @@ def test_paths_of_a_length(spark):
     after = {}
     for a, b in pairs:
         after.setdefault(a, set()).add(b)
-    for depth in (0, 1, 2, 7, 40):
+    for depth in (0, 2, 9):
         def far(i, d):
             now = {i}
             for _ in range(d):

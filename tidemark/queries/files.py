@@ -509,7 +509,7 @@ def sinks_index_export(spark, sf_dir):
     return records.select(F.col("id").alias("vec_id"), F.size("dense").cast("long").alias("n")).unionByName(chunks.select((-1 - F.col("id")).alias("vec_id"), F.size("dense").cast("long").alias("n")))
 
 
-@query("SELECT o_custkey AS query_id, count(*) FILTER (o_orderpriority = '1-URGENT') AS n_relevant, least(count(*), 10) AS n_ranked FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderpriority = '1-URGENT') > 0")
+@query("SELECT o_custkey AS query_id, count(*) FILTER (o_orderpriority = '1-URGENT') AS n_relevant, least(count(*), 100) AS n_ranked FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderpriority = '1-URGENT') > 0")
 def sinks_per_query(spark, sf_dir):
     from .evaluation import arms
 
