@@ -1,19 +1,22 @@
 """Secret scans by one combined automaton.
 
 Rules are written as small expressions over byte sets: a head of a fixed length (or several) and a tail. The heads of all
-rules are compiled together by subset construction and minimised (Moore) into one transition array; each tail is compiled
-likewise. One pass reads each byte once: it moves the combined automaton and, beside it, the tails of the rules whose
-heads have been seen, so that no state has to count how long several runs are at once. A tail that can go no further ends
-its match where it last accepted.
-
-No head of a rule may end within its tail after the last place where that accepts: so a match in progress hides no later
-one of its rule. This holds for runs, and for all rules here.
+rules are compiled together by subset construction and minimised (Moore), each tail likewise. What all these do beside
+each other is then made one automaton: its states are the sets of one head state and the states of the tails under way,
+as far as any text reaches them, minimised again into one transition array over classes of bytes. A scan moves one state,
+one look-up a byte, whatever number of rules is under way. Lengths are not counted in states: a state tells which heads
+and which matches have just ended there, and the scan keeps their places.
+
+Two properties make this exact, and both hold for runs and for all rules here. A tail that accepts goes on accepting until
+it can go no further (checked when the automaton is built), so a match ends where its tail does. No head of a rule ends
+within its tail after the last place where that accepts, so a match in progress hides no later one of its rule.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -181,39 +184,93 @@ class Automaton:
                     self.next[256 * number[c] + byte] = 256 * number[part[to]]
 
 
+class Combined:
+    """All rules, heads and tails, in one minimal automaton.
+
+    next: flat list, state * width + class of a byte -> state * width; classes: the class of each byte. States from `loud`
+    on (times width) have events: (rule, length of its head) where a head ends, (rule, 0) where a match ended at the byte
+    before. going[state]: the rules whose match would end with the text.
+    """
+
+    def __init__(self, heads: dict[str, list], tails: dict[str, object]):
+        named = {(rule, k, length): x for rule, found in heads.items() for k, (x, length) in enumerate(found)}
+        head, rules = Automaton(named, anywhere=True), list(tails)
+        tail = [Automaton({rule: tails[rule]}, anywhere=False) for rule in rules]
+        for rule, x in zip(rules, tail, strict=True):
+            if any(0 < t < x.accept for t in x.next[x.accept :]):
+                raise ValueError(f"the tail of {rule} must accept until it ends")
+        found = [sorted({(rules.index(rule), length) for rule, _, length in names}) for names in head.rules]
+        kinds: dict[tuple, int] = {}
+        of_byte = [kinds.setdefault(tuple(tuple(x.next[byte::256]) for x in (head, *tail)), len(kinds)) for byte in range(256)]
+        byte_of = [of_byte.index(k) for k in range(len(kinds))]
+        self.classes, self.width = bytes(of_byte), len(kinds)
+
+        def move(state, byte):
+            h, under, _ = state
+            h, under, events = head.next[h + byte], list(under), []
+            for r, t in enumerate(under):
+                if t:
+                    under[r] = tail[r].next[t + byte]
+                    if not under[r] and t >= tail[r].accept:
+                        events.append((r, 0))
+            for r, length in found[h >> 8]:
+                if not under[r]:
+                    under[r] = tail[r].start
+                    events.append((r, length))
+            return h, tuple(under), tuple(events)
+
+        first = (head.start, (0,) * len(rules), ())
+        index, todo, table = {first: 0}, [first], []
+        for state in todo:  # grows as states are found
+            row = [move(state, byte) for byte in byte_of]
+            for to in row:
+                if to not in index:
+                    index[to] = len(index)
+                    todo.append(to)
+            table.append([index[to] for to in row])
+        self.reached = len(todo)  # before minimising
+        ends = [tuple(r for r, t in enumerate(under) if t and t >= tail[r].accept) for _, under, _ in todo]
+        labels = [(events, end) for (_, _, events), end in zip(todo, ends, strict=True)]
+        names = {x: k for k, x in enumerate(dict.fromkeys(labels))}
+        table, part, classes = np.array(table), np.array([names[x] for x in labels]), 0
+        while classes < part.max() + 1:  # Moore: split classes until members move alike
+            classes = part.max() + 1
+            part = np.unique(np.column_stack([part, part[table]]), axis=0, return_inverse=True)[1].ravel()
+        _, sample = np.unique(part, return_index=True)
+        order = sorted(range(len(sample)), key=lambda c: (bool(labels[sample[c]][0]), c))
+        number = np.empty(len(order), dtype=np.int64)
+        number[order] = np.arange(len(order))
+        self.states, self.start = len(order), int(number[part[0]]) * self.width
+        self.next = (number[part[table[sample[order]]]] * self.width).ravel().tolist()
+        self.loud = self.width * sum(not labels[sample[c]][0] for c in order)
+        self.events = [[(rules[r], length) for r, length in labels[sample[c]][0]] for c in order]
+        self.going = [[rules[r] for r in labels[sample[c]][1]] for c in order]
+
+
 class Scanner:
     def __init__(self):
-        heads = {(rule, k, length): x for rule, found in HEADS.items() for k, (x, length) in enumerate(found)}
-        self.heads = Automaton(heads, anywhere=True)
-        self.found = [[(rule, length) for rule, _, length in names] for names in self.heads.rules]
-        self.tails = {rule: Automaton({rule: x}, anywhere=False) for rule, x in TAILS.items()}
+        self.automaton = Combined(HEADS, TAILS)
         self.rank = {rule: i for i, rule in enumerate(HEADS)}
 
     def __call__(self, data: bytes) -> list[tuple[int, int, str, int]]:
         """(start, rank of the kind, kind, end) of every secret, in order; bytes."""
-        step, accept, s = self.heads.next, self.heads.accept, self.heads.start
-        going: dict[str, list] = {}  # rule -> [its tail, the tail's state, start, end so far]
-        done: dict[str, int] = {}  # rule -> end of its last match, which no other may overlap
+        m = self.automaton
+        step, loud, width, s = m.next, m.loud, m.width, m.start
+        since: dict[str, int | None] = {}  # rule -> where its last head began; None if that overlaps its last match
+        done: dict[str, int] = {}  # rule -> end of its last match
         out: list[tuple[str, int, int]] = []
-        for i, byte in enumerate(data):
-            s = step[s + byte]
-            if going:
-                for rule, x in list(going.items()):
-                    x[1] = t = x[0].next[x[1] + byte]
-                    if t >= x[0].accept:
-                        x[3] = i + 1
-                    elif t == 0:
-                        del going[rule]
-                        if x[3]:
-                            done[rule] = x[3]
-                            out.append((rule, x[2], x[3]))
-            if s >= accept:
-                for rule, length in self.found[s >> 8]:
-                    if rule not in going and i + 1 - length >= done.get(rule, 0):
-                        tail = self.tails[rule]
-                        going[rule] = [tail, tail.start, i + 1 - length, i + 1 if tail.start >= tail.accept else 0]
-        out += [(rule, x[2], x[3]) for rule, x in going.items()]
-        return sorted((a, self.rank[k], k, b) for k, a, b in out if b and b - a >= LEAST.get(k, 0) and (k != "assign" or _value_length(data, a, b) >= 12))
+        for i, kind in enumerate(data.translate(m.classes)):
+            s = step[s + kind]
+            if s >= loud:
+                for rule, length in m.events[s // width]:
+                    if length:
+                        start = i + 1 - length
+                        since[rule] = start if start >= done.get(rule, 0) else None
+                    elif since[rule] is not None:
+                        done[rule] = i
+                        out.append((rule, since[rule], i))
+        out += [(rule, since[rule], len(data)) for rule in m.going[s // width] if since[rule] is not None]
+        return sorted((a, self.rank[k], k, b) for k, a, b in out if b - a >= LEAST.get(k, 0) and (k != "assign" or _value_length(data, a, b) >= 12))
 
 
 def _value_length(data: bytes, start: int, end: int) -> int:
