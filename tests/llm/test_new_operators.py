@@ -297,3 +297,73 @@ def test_language_of_a_long_text(spark, monkeypatch):
     monkeypatch.setattr(module, "PIECE", 1000)
     parts = model.entropies(texts)
     assert np.allclose(whole[0], parts[0], atol=1e-5) and (whole[1] == parts[1]).all()
+
+
+def test_one_automaton_for_whole_rules():
+    import re
+
+    from tidemark.llm.secrets import Scanner
+
+    rng, scan = random.Random(5), Scanner()
+    assert scan.automaton.states < 4096 and scan.automaton.states <= scan.automaton.reached
+    patterns = {
+        "github": (r"gh[pousr]_[A-Za-z0-9]+", 40),
+        "slack": (r"xox[abprs]-[A-Za-z0-9-]+", 15),
+        "google": (r"AIza[A-Za-z0-9_-]+", 39),
+        "pem": (r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0),
+        "access": (r"AKIA[A-Z0-9]+", 18),
+        "hex": (r"[0-9a-f]+", 16),
+    }
+    parts = ["ghp_", "gho_", "xoxb-", "xoxp-", "AIza", "AKIA", "token=", "-----BEGIN ", "RSA ", "PRIVATE KEY-----", "abcdef0123456789", "Z" * 15, "x" * 36, "_", "-", " ", "\n"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        want = sorted((m.start(), k, m.end()) for k, (p, least) in patterns.items() for m in re.finditer(p, text) if len(m.group()) >= least)
+        assert sorted((a, k, b) for a, _, k, b in scan(text.encode()) if k != "assign") == want
+
+
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_equal_rows_are_told_apart(spark, tasks):
+    from tidemark.llm.common import told_apart
+
+    rows = spark.range(3000).select(F.when(F.col("id") < 1000, 0).when(F.col("id") < 1003, 1).otherwise(F.col("id")).alias("k")).repartition(tasks)
+    out = told_apart(rows.withColumn("_key", F.struct("k")), "_key", rows_per_chunk=64).groupBy("k").agg(F.sort_array(F.collect_list("_copy")).alias("c")).collect()
+    assert {r["k"]: r["c"] for r in out} == {0: list(range(1000)), 1: [0, 1, 2]} | {k: [0] for k in range(1003, 3000)}
+
+
+def test_shards_and_mixing_of_a_third_of_equal_rows(spark):
+    from tidemark.llm.mixing import mix
+    from tidemark.llm.shards import shuffled_shards
+
+    rows = spark.range(900).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 10).alias("doc_id"), F.lit("a b").alias("text"), F.lit("s").alias("source"))
+    found = []
+    for tasks in (1, 5):
+        df = rows.repartition(tasks)
+        shards = sorted(tuple(r) for r in shuffled_shards(df, [F.col("doc_id"), F.col("text")], 7).select("shard", "slot", "doc_id").collect())
+        assert [x[:2] for x in shards] == [(s, i) for s in range(7) for i in range(900 // 7 + (s < 900 % 7))]
+        slots = sorted(tuple(r) for r in mix(df).select("_slot", "_block", "doc_id").collect())
+        assert [x[0] for x in slots] == [i // 8 for i in range(900)]
+        found.append((shards, slots))
+    assert found[0] == found[1]  # whatever task holds them
+    # Equal rows lie among the others, not in one stretch.
+    places = [i for i, x in enumerate(found[0][1]) if x[2] == 7]
+    assert len(places) == 300 and len({x // 90 for x in places}) == 10
+
+
+def test_mixing_of_many_sources(spark):
+    """More sources than the default resolution, and windows of every block against the fluid schedule."""
+    from tidemark.llm.mixing import mix
+
+    sizes = {f"s{i}": 1 + i * 37 % 23 for i in range(400)}
+    rows = spark.createDataFrame([(i, s, n) for i, (s, n) in enumerate(sizes.items())], "doc_id long, source string, n int")
+    rows = rows.select("doc_id", "source", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("text")).withColumn("text", F.col("text").cast("string"))
+    got = mix(rows, block_rows=2, resolution=40).collect()  # fewer than there are sources
+    shares = whole_weights({s: n**0.75 for s, n in sizes.items()}, 1600)
+    blocks = {s: -(-n // 2) for s, n in sizes.items()}
+    lines = phases(shares, blocks)
+    assert len(lines) > 10
+    windows = {(r["_source"], r["_block"]): (r["_release"], r["_slot"], r["_deadline"]) for r in got}
+    assert len(got) == sum(sizes.values()) and sorted(t for _, t, _ in windows.values()) == list(range(sum(blocks.values())))
+    for (s, b), (release, slot, deadline) in windows.items():
+        assert release == min(e + a * b // shares[s] for _, e, a in lines)
+        assert deadline == min(e - (-a * (b + 1) // shares[s]) for _, e, a in lines)
+        assert release <= slot < deadline

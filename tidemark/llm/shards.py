@@ -14,7 +14,7 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import unit, written
+from .common import told_apart, unit, written
 
 
 def hypergeometric(rng: random.Random, good: int, bad: int, draws: int) -> int:
@@ -63,10 +63,12 @@ def shuffled_shards(df: DataFrame, identity: list[Column], shards: int, seed: in
     """df with shard (0 to shards-1; sizes differ by one at most) and slot (gapless from 0 within its shard).
 
     identity: columns that tell rows apart; they seed the permutations, so recomputed tasks agree. Rows equal in them are
-    interchangeable. Nulls are values like any other; an empty table stays empty; columns of df keep their names, except
+    interchangeable; they are numbered and fall into different blocks. Nulls are values like any other; an empty table stays empty; columns of df keep their names, except
     that earlier shard and slot columns are replaced. Blocks hold about rows_per_block rows at any table size.
     """
     df = df.drop("shard", "slot").withColumns({"_a": unit(*identity, seed=seed), "_b": unit(*identity, seed=seed + 1)})
+    df = told_apart(df.withColumn("_equal", F.struct("_a", "_b")), "_equal").drop("_equal")
+    df = df.withColumns({c: F.when(F.col("_copy") > 0, unit(c, "_copy", seed=seed)).otherwise(F.col(c)) for c in ("_a", "_b")}).drop("_copy")
     blocks = max(least_blocks, -(-df.count() // rows_per_block))
     df = df.withColumn("_block", F.pmod("_a", F.lit(blocks)))
     counts = {r["_block"]: r["n"] for r in df.groupBy("_block").agg(F.count("*").alias("n")).collect()}
