@@ -5,8 +5,8 @@ Randomness is md5 of a seed and keys, so that other engines can draw the same.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
-from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -80,62 +80,122 @@ def deltas(metrics: DataFrame, names: list[str], arm: str, baseline: str, by: li
     return long.groupBy("metric", *keep, "query_id").agg(pick(arm).alias("_a"), pick(baseline).alias("_b")).where("_a is not null and _b is not null").select("metric", *keep, "query_id", F.round(F.col("_a") - F.col("_b"), 12).alias("delta"))
 
 
-def draw(seed: int, i: Column, j: Column) -> Column:
-    """Draw j of resample i, from 0 to 2**32 - 1: an md5 of seed, i and j // 4 gives four draws, each from four of its bytes."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), i.cast("string"), F.floor(j / 4).cast("string")))
-    return F.conv(F.substring(digest, (F.pmod(j, F.lit(4)) * 8 + 1).cast("int"), F.lit(8)), 16, 10).cast("long")
-
-
-def multiplicities(seed: int, i: int, n: int) -> np.ndarray:
-    """How often resample i draws each of n places."""
-    head = b"%d:%d:" % (seed, i)
-    digests = b"".join([md5(head + b"%d" % j).digest() for j in range(-(-n // 4))])
-    return np.bincount(np.frombuffer(digests, ">u4")[:n] % n, minlength=n)
-
-
-def resampled(delta: DataFrame, n: int, seed: int, by: list[str], most: int, block: int = 128) -> DataFrame:
+#: Fixed values of md5: rotations, constants and the first state.
+_TURNS = [7, 12, 17, 22] * 4 + [5, 9, 14, 20] * 4 + [4, 11, 16, 23] * 4 + [6, 10, 15, 21] * 4
+_SINES = [int(abs(math.sin(i + 1)) * 2**32) for i in range(64)]
+_STATE = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
+
+
+def _digests(head: bytes, first: int, last: int) -> np.ndarray:
+    """The md5 of head and each number from first to last - 1 in decimal, all of as many digits, as four words each. Many at
+    once take a sixth of the time of one after the other; head and digits are at most 55 bytes."""
+    digits = len(str(first))
+    size = len(head) + digits
+    text = head + bytes(digits) + b"\x80"
+    fixed = [int(x) for x in np.frombuffer(text.ljust(56, b"\0") + (8 * size).to_bytes(8, "little"), "<u4")]
+    j, own = np.arange(first, last, dtype=np.uint32), {}
+    for k in range(digits):
+        at = size - 1 - k
+        byte = (j // np.uint32(10**k) % np.uint32(10) + np.uint32(48)) << np.uint32(8 * (at % 4))
+        own[at // 4] = own.get(at // 4, np.uint32(fixed[at // 4])) | byte
+    a, b, c, d = (np.full(len(j), x, np.uint32) for x in _STATE)
+    f, turned = np.empty_like(a), np.empty_like(a)
+    for i in range(64):
+        if i < 32:
+            x, y, z, m = (b, c, d, i) if i < 16 else (d, b, c, (5 * i + 1) % 16)
+            np.bitwise_xor(y, z, f)
+            f &= x
+            f ^= z
+        elif i < 48:
+            m = (3 * i + 5) % 16
+            np.bitwise_xor(b, c, f)
+            f ^= d
+        else:
+            m = 7 * i % 16
+            np.bitwise_not(d, f)
+            f |= b
+            f ^= c
+        f += a
+        if m in own:
+            f += own[m]
+        f += np.uint32((_SINES[i] + (0 if m in own else fixed[m])) % 2**32)
+        np.right_shift(f, np.uint32(32 - _TURNS[i]), turned)
+        f <<= np.uint32(_TURNS[i])
+        f |= turned
+        f += b
+        a, b, c, d, f = d, f, b, c, a
+    return np.stack([x + np.uint32(y) for x, y in zip((a, b, c, d), _STATE)], axis=1)
+
+
+def multiplicities(seed: int, i: int, n: int, lo: int = 0, width: int | None = None) -> np.ndarray:
+    """How often resample i draws each of n places, or of the `width` places from lo on. The md5 of seed, i and j // 4 gives draws j, j + 1, j + 2 and j + 3: four bytes each, modulo n."""
+    head, last, width = b"%d:%d:" % (seed, i), -(-n // 4), n if width is None else width
+    cuts = sorted({0, last, *(10**k for k in range(1, 20) if 10**k < last)})
+    draws, at = np.empty((last, 4), np.uint32), 0
+    for start, stop in zip(cuts, cuts[1:]):
+        for at in range(start, stop, 1 << 14):
+            draws[at : min(at + (1 << 14), stop)] = _digests(head, at, min(at + (1 << 14), stop))
+    places = draws.ravel().byteswap()[:n] % np.uint32(n)
+    if width < n:
+        places -= np.uint32(lo)
+        places = places[places < width]
+    return np.bincount(places, minlength=width)
+
+
+def resampled(delta: DataFrame, n: int, seed: int, by: list[str], most: int, block: int | None = None) -> DataFrame:
     """by, _i, _mean: the mean of each group's delta in each of n resamples.
 
-    Draws depend on a group's size alone. Groups of one size are put together, at most about `most` numbers at a time, and
-    one table of multiplicities (resample x place), made `block` resamples a task, is multiplied with all of them at once.
-    Groups of more than `most` rows are not gathered: their draws are joined with their places.
+    Draws depend on a group's size alone. Groups of one size are put together, so that one table of multiplicities
+    (resample x place), made `block` resamples a task (a 48th of all unless given), is multiplied with all of them at once. A
+    task holds about `most` numbers: where the groups have more, places are cut into ranges, each a task that counts the
+    draws that fall into it, and the ranges' sums are added.
     """
-    spark = delta.sparkSession
+    most, block = max(most, 1), block or -(-n // 48)
     place = F.row_number().over(Window.partitionBy(*by).orderBy("query_id")) - 1
     placed = written(delta.select(*by, "delta", place.cast("long").alias("_place")), "places")
     sizes = placed.groupBy(*by).agg(F.count("*").alias("_n"))
-    sized = placed.join(sizes, by)
-    # One row a group, of at most `most` numbers.
-    rows = sized.where(F.col("_n") <= most).groupBy(*by, "_n").agg(F.array_sort(F.collect_list(F.struct("_place", "delta"))).alias("_d"))
-    rows = rows.select(F.struct(*by).alias("_by"), "_n", F.col("_d.delta").alias("_d"))
-    together = rows.groupBy("_n").agg(F.ceil(F.count("*") * F.col("_n") / most).alias("_parts"))
-    rows = rows.join(together, "_n").withColumn("_part", F.pmod(F.xxhash64(F.to_json("_by")), F.col("_parts"))).drop("_parts")
-    rows = rows.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit((n - 1) // block))))
-
-    def means(key: tuple, groups: pa.Table) -> pa.Table:
-        size, first = key[0].as_py(), key[2].as_py() * block
-        values = groups["_d"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
-        found = [values @ multiplicities(seed, i, size) / size for i in range(first, min(first + block, n))]
-        flat = np.concatenate(found) if found else np.zeros(0)
-        at = pa.array(np.tile(np.arange(len(values)), len(found)))
-        return pa.table([groups["_by"].combine_chunks().take(at), pa.array(np.repeat(np.arange(first, first + len(found)), len(values))), pa.array(flat)], names=["_by", "_i", "_mean"])
+    fit = F.greatest(F.lit(1024), F.floor(F.lit(most) / F.col("_n")))  # groups of a part
+    groups = sizes.groupBy("_n").agg(F.count("*").alias("_g")).withColumn("_parts", F.ceil(F.col("_g") / fit))
+    ranges = F.least(F.col("_n"), F.greatest(F.lit(1), F.ceil(F.least("_g", fit) * F.col("_n") / most)))
+    groups = groups.withColumn("_width", F.ceil(F.col("_n") / ranges)).select("_n", "_parts", "_width")
+    sized = placed.join(sizes.join(groups, "_n"), by)
+    by_ = F.struct(*by)
+    cut = sized.select(
+        by_.alias("_by"), "_n", "_width", F.pmod(F.xxhash64(F.to_json(by_)), F.col("_parts")).alias("_part"), F.floor(F.col("_place") / F.col("_width")).alias("_range"), "_place", "delta"
+    )
+    # A row for each 65,536 places of a group and range.
+    piece = F.floor((F.col("_place") - F.col("_range") * F.col("_width")) / (1 << 16))
+    rows = cut.groupBy("_by", "_n", "_width", "_part", "_range", piece.alias("_piece")).agg(F.array_sort(F.collect_list(F.struct("_place", "delta"))).alias("_d"))
+    rows = rows.select("_by", "_n", "_width", "_part", "_range", F.col("_d.delta").alias("_d"), "_piece").withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit((n - 1) // block))))
+
+    def sums(key: tuple, groups: pa.Table) -> pa.Table:
+        size, width, number, first = key[0].as_py(), key[1].as_py(), key[3].as_py(), key[4].as_py() * block
+        wide = min(width, size - number * width)
+        names, at = np.unique([repr(x) for x in groups["_by"].to_pylist()], return_index=True, return_inverse=True)[1:]
+        values = np.zeros((len(names), wide))
+        for row, piece_, d in zip(at, groups["_piece"].to_pylist(), groups["_d"]):
+            x = d.values.to_numpy(zero_copy_only=False)
+            values[row, piece_ << 16 : (piece_ << 16) + len(x)] = x
+        found, last = [np.zeros((0, len(names)))], min(first + block, n)
+        few = max(1, (1 << 22) // wide)  # 32 MB of multiplicities at once
+        for i in range(first, last, few):
+            found.append(np.stack([multiplicities(seed, j, size, number * width, wide) for j in range(i, min(i + few, last))]).astype(float) @ values.T)
+        found = np.concatenate(found)
+        of = pa.array(np.tile(names, len(found)))
+        return pa.table([groups["_by"].combine_chunks().take(of), pa.array(np.repeat(np.arange(first, last), len(names))), pa.array(found.ravel() / size)], names=["_by", "_i", "_part_of_mean"])
 
     form = ", ".join(f"`{c}`: {delta.schema[c].dataType.simpleString()}" for c in by)
-    together = rows.groupBy("_n", "_part", "_block").applyInArrow(means, f"_by struct<{form}>, _i long, _mean double").select("_by.*", "_i", "_mean")
-    if not sized.where(F.col("_n") > most).limit(1).count():
-        return together
-    large = sized.where(F.col("_n") > most)
-    drawn = large.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).select(*by, "_i", "_n", F.pmod(draw(seed, F.col("_i"), F.col("_place")), F.col("_n")).alias("_place"))
-    drawn = drawn.join(large.drop("_n"), [*by, "_place"]).groupBy(*by, "_i").agg((F.sum("delta") / F.first("_n")).alias("_mean"))
-    return together.unionByName(drawn.select(*by, F.col("_i").cast("long").alias("_i"), "_mean"))
+    # Rows are few and their work is much: by a number of partitions of its own, as by size they would come to few tasks.
+    keys = ["_n", "_width", "_part", "_range", "_block"]
+    parts = rows.repartition(192, *keys).groupBy(*keys).applyInArrow(sums, f"_by struct<{form}>, _i long, _part_of_mean double")
+    return parts.groupBy("_by", "_i").agg(F.sum("_part_of_mean").alias("_mean")).select("_by.*", "_i", "_mean")
 
 
-def paired_bootstrap(delta: DataFrame, n: int = 10_000, seed: int = 0, by: tuple[str, ...] = ("metric",), most: int = 1 << 20) -> DataFrame:
+def paired_bootstrap(delta: DataFrame, n: int = 10_000, seed: int = 0, by: tuple[str, ...] = ("metric",), most: int = 1 << 25) -> DataFrame:
     """delta(by, query_id, delta) -> by, queries, delta (mean), ci_lo, ci_hi, p_two_sided, improved, worsened, unchanged.
 
-    Resamples the queries of each group with replacement n times; draw j of resample i takes the query at place
-    draw(seed, i, j) modulo the number of queries. Groups of more than `most` queries take another way to the same means
-    (see `resampled`). Interval: 2.5 and 97.5 percentiles, linear; p: twice the smaller tail, 1 at most.
+    Resamples the queries of each group with replacement n times; draw j of resample i takes the query at a
+    place told by an md5 (see `multiplicities`). A task holds about `most` numbers of the groups (see `resampled`). Interval: 2.5 and 97.5 percentiles, linear; p: twice the smaller tail, 1 at most.
     """
     by = list(by)
     total = delta.groupBy(*by).agg(
