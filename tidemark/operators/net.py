@@ -8,6 +8,8 @@ reaction are tables with pathway_id, reaction_id, label, key.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,46 +61,55 @@ def moiety_seeds(parts: DataFrame, members: DataFrame, moieties: DataFrame) -> D
     return named.join(moieties.select("entity_id", "moiety_id").distinct(), "entity_id").select("pathway_id", F.col("moiety_id").alias("entity_id")).distinct()
 
 
+def held(parts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The participants with what they carry, nodes(pathway_id, seed, label, key): entities are not listed for each participant."""
+    return parts.join(nodes.withColumnRenamed("seed", "entity_id"), ["pathway_id", "entity_id"])
+
+
 def donated(parts: DataFrame, closure: DataFrame, members: DataFrame | None, moieties: DataFrame, own: DataFrame) -> DataFrame:
     """Genes that a reaction attaches to its products: those in the closures of the moieties of anything in a product's closure.
 
-    Without members, closure holds those of the moieties (see moiety_seeds) already.
+    Without members, closure holds those of the moieties (see moiety_seeds) already. What an entity donates is worked out
+    once for a pathway, not for each reaction that makes it.
     """
-    made = below(role(parts, "product"), closure).select(*REACTION, F.col("id").alias("entity_id")).distinct()
-    attached = made.join(moieties.select("entity_id", "moiety_id").distinct(), "entity_id").select(*REACTION, F.col("moiety_id").alias("entity_id")).distinct()
-    inside = below(attached, closure if members is None else closures(members, attached)).select(*REACTION, "id").distinct()
-    return carried(inside, own.where("label = 'Gene'"))
+    made = role(parts, "product")
+    seeds = made.select("pathway_id", F.col("entity_id").alias("seed")).distinct()
+    attached = closure.join(seeds, ["pathway_id", "seed"], "left_semi").join(moieties.select(F.col("entity_id").alias("id"), "moiety_id").distinct(), "id")
+    attached = attached.select("pathway_id", F.col("seed").alias("entity_id"), "moiety_id").distinct()
+    inside = closure if members is None else closures(members, attached.select("pathway_id", F.col("moiety_id").alias("entity_id")))
+    genes = carried(inside, own.where("label = 'Gene'")).withColumnRenamed("seed", "moiety_id")
+    given = attached.join(genes, ["pathway_id", "moiety_id"]).select("pathway_id", "entity_id", *NODE).distinct()
+    return made.join(given, ["pathway_id", "entity_id"]).select(*REACTION, *NODE).distinct()
 
 
 def changed(parts: DataFrame, closure: DataFrame) -> DataFrame:
     """pathway_id, reaction_id, id: entities in the closures of the reactants and in none of the products'."""
-    side = lambda name: below(role(parts, name), closure).select(*REACTION, "id").distinct()
-    return side("reactant").join(side("product"), [*REACTION, "id"], "left_anti")
+    sides = below(parts.where(F.col("role").isin("reactant", "product")), closure)
+    return sides.groupBy(*REACTION, "id").agg(F.bool_and(F.col("role") == "reactant").alias("_gone")).where("_gone").drop("_gone")
 
 
-def acted_on(parts: DataFrame, closure: DataFrame, changes: DataFrame, gifts: DataFrame, own: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(main, fallback): what a reaction works on.
+def acted_on(parts: DataFrame, nodes: DataFrame, changes: DataFrame, gifts: DataFrame, own: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(main, fallback), both written: what a reaction works on. nodes(pathway_id, seed, label, key): what entities carry.
 
     main: what its changed entities carry, less what is donated. fallback, for reactions without: what reactants carry,
     less what is donated, with entity_id, the reactant that carries it, so that a catalyst that is a reactant can be left out.
     """
-    main = carried(changes, own).join(gifts, [*REACTION, *NODE], "left_anti")
-    rest = carried(below(role(parts, "reactant"), closure), own).join(gifts, [*REACTION, *NODE], "left_anti")
-    return main, rest.join(main.select(*REACTION).distinct(), REACTION, "left_anti")
+    main = written(carried(changes, own).join(gifts, [*REACTION, *NODE], "left_anti"), "main")
+    rest = held(role(parts, "reactant").join(main.select(*REACTION).distinct(), REACTION, "left_anti"), nodes)
+    return main, written(rest.join(gifts, [*REACTION, *NODE], "left_anti").select(*REACTION, "entity_id", *NODE), "fallback")
 
 
-def enzymes(parts: DataFrame, closure: DataFrame, changes: DataFrame, own: DataFrame) -> DataFrame:
-    """Genes of each catalyst but those that it carries in entities that the reaction changes."""
-    genes = own.where("label = 'Gene'")
-    inside = below(role(parts, "catalyst"), closure)
-    spent = carried(inside.join(changes, [*REACTION, "id"], "left_semi"), genes)
-    left = carried(inside, genes).join(spent, [*REACTION, "entity_id", *NODE], "left_anti")
+def enzymes(parts: DataFrame, closure: DataFrame, nodes: DataFrame, changes: DataFrame, own: DataFrame) -> DataFrame:
+    """Genes of each catalyst but those that it carries in entities that the reaction changes. nodes: as in acted_on."""
+    cats = role(parts, "catalyst")
+    spent = carried(below(cats, closure).join(changes, [*REACTION, "id"], "left_semi"), own.where("label = 'Gene'"))
+    left = held(cats, nodes.where("label = 'Gene'")).join(spent, [*REACTION, "entity_id", *NODE], "left_anti")
     return left.select(*REACTION, *NODE).distinct()
 
 
-def gene_sets(closure: DataFrame, own: DataFrame) -> DataFrame:
-    """pathway_id, entity_id, genes: the sorted genes in an entity's closure."""
-    found = carried(closure.withColumnRenamed("seed", "entity_id"), own.where("label = 'Gene'"))
+def gene_sets(nodes: DataFrame) -> DataFrame:
+    """pathway_id, entity_id, genes: the sorted genes that an entity carries, of nodes(pathway_id, seed, label, key)."""
+    found = nodes.where("label = 'Gene'").withColumnRenamed("seed", "entity_id")
     return found.groupBy("pathway_id", "entity_id").agg(F.array_sort(F.collect_set("key")).alias("genes"))
 
 
@@ -110,18 +121,23 @@ def as_assembly(target: DataFrame, candidates: DataFrame, sets: DataFrame, by: l
     return target.join(found.select(by), by, "left_anti").select(*by, *NODE).unionByName(found.select(*by, F.lit("Entity").alias("label"), "key"))
 
 
-def crossed(sources: DataFrame, targets: DataFrame, mechanism: str, salts: int = 16) -> DataFrame:
+def crossed(sources: DataFrame, targets: DataFrame, mechanism: str, rows_per_task: int = 1024) -> DataFrame:
     """Each source node of a reaction with each target node; sources may have sign and via.
 
-    A reaction's sources are dealt over `salts` tasks, its targets are copied to them.
+    The sources of a reaction that has more than rows_per_task are dealt over tasks by that number, and only such a
+    reaction's targets are copied to them.
     """
     s = sources.withColumnsRenamed({"label": "source_label", "key": "source_id"})
     t = targets.select(*REACTION, F.col("label").alias("target_label"), F.col("key").alias("target_id"))
     for c in ("sign", "via"):
         if c not in s.columns:
             s = s.withColumn(c, F.lit(None).cast("string"))
-    s = s.withColumn("_salt", F.pmod(F.xxhash64("source_id", "via"), F.lit(salts)).cast("int"))
-    t = t.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    s = written(s, "sources")
+    large = s.groupBy(*REACTION).agg(F.count("*").alias("_n")).where(F.col("_n") > rows_per_task)
+    large = written(large.select(*REACTION, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")), "large")
+    salts = F.coalesce("_salts", F.lit(1))
+    s = s.join(large, REACTION, "left").withColumn("_salt", F.pmod(F.xxhash64("source_id", "via"), salts).cast("int"))
+    t = t.join(large, REACTION, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     return s.join(t, [*REACTION, "_salt"]).withColumn("mechanism", F.lit(mechanism)).select(*REACTION, *EDGE)
 
 
@@ -130,21 +146,53 @@ def minus(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 class Reactions:
-    """What the rules share: closures, carriers, changes, donations, targets, enzymes and gene sets of all reactions."""
+    """What the rules share: closures, carriers, changes, donations, targets, enzymes and gene sets of all reactions.
+
+    Each is made when a rule first asks for it, and written once.
+    """
 
     def __init__(self, parts: DataFrame, members: DataFrame, identity: DataFrame, moieties: DataFrame, currency: list[str] | None = None):
-        # Each of these is read by several rules: they are written once.
         self.parts = written(parts.select(*REACTION, "entity_id", "role").distinct(), "parts")
+        self.members, self.moieties = members, moieties
         self.own = carriers(identity, currency)
-        # Of participants and of moieties, in one go.
-        both = closures(members, self.parts.select("pathway_id", "entity_id").union(moiety_seeds(self.parts, members, moieties)))
-        self.closure = both.join(self.parts.select("pathway_id", F.col("entity_id").alias("seed")).distinct(), ["pathway_id", "seed"], "left_semi")
-        self.changes = written(changed(self.parts, self.closure), "changes")
-        self.gifts = written(donated(self.parts, both, None, moieties, self.own), "gifts")
-        main, fallback = acted_on(self.parts, self.closure, self.changes, self.gifts, self.own)
-        self.main, self.fallback = written(main, "main"), written(fallback, "fallback")
-        self.enzymes = written(enzymes(self.parts, self.closure, self.changes, self.own), "enzymes")
-        self.sets = written(gene_sets(self.closure, self.own), "sets")
+
+    @cached_property
+    def closure(self) -> DataFrame:
+        """Of participants and of moieties, in one go."""
+        return closures(self.members, self.parts.select("pathway_id", "entity_id").union(moiety_seeds(self.parts, self.members, self.moieties)))
+
+    @cached_property
+    def nodes(self) -> DataFrame:
+        """pathway_id, seed, label, key: what each seed of the closure carries."""
+        return written(carried(self.closure, self.own), "nodes")
+
+    @cached_property
+    def changes(self) -> DataFrame:
+        return written(changed(self.parts, self.closure), "changes")
+
+    @cached_property
+    def gifts(self) -> DataFrame:
+        return written(donated(self.parts, self.closure, None, self.moieties, self.own), "gifts")
+
+    @cached_property
+    def _acted_on(self) -> tuple[DataFrame, DataFrame]:
+        return acted_on(self.parts, self.nodes, self.changes, self.gifts, self.own)
+
+    @property
+    def main(self) -> DataFrame:
+        return self._acted_on[0]
+
+    @property
+    def fallback(self) -> DataFrame:
+        return self._acted_on[1]
+
+    @cached_property
+    def enzymes(self) -> DataFrame:
+        return written(enzymes(self.parts, self.closure, self.nodes, self.changes, self.own), "enzymes")
+
+    @cached_property
+    def sets(self) -> DataFrame:
+        return written(gene_sets(self.nodes), "sets")
 
     def candidates(self, exclude_catalyst: bool) -> DataFrame:
         """Entities that may name a target: reactants and products where something changed, else reactants; with exclude_catalyst, for each catalyst c, and c is none."""
@@ -172,7 +220,7 @@ def regulation(r: Reactions) -> DataFrame:
     plain = r.main.unionByName(r.fallback.select(*REACTION, *NODE).distinct()).join(with_enzyme, REACTION, "left_anti")
     targets = as_assembly(r.enzymes, role(r.parts, "catalyst"), r.sets, REACTION).unionByName(as_assembly(plain, r.candidates(False), r.sets, REACTION))
     sign = F.when(F.col("role") == "inhibitor", SIGNS["inhibitor"]).otherwise(SIGNS["stimulator"])
-    agents = carried(below(r.parts.where(F.col("role").isin(*SIGNS)).withColumn("sign", sign).drop("role"), r.closure), r.own)
+    agents = held(r.parts.where(F.col("role").isin(*SIGNS)).withColumn("sign", sign).drop("role"), r.nodes)
     return crossed(minus(agents, r.enzymes.unionByName(plain)).select(*REACTION, *NODE, "sign").distinct(), targets, "regulation")
 
 
@@ -180,7 +228,7 @@ def association(r: Reactions) -> DataFrame:
     """Without a modifier, and of two reactants or more: what each reactant carries joins each product, via that reactant."""
     alone = role(r.parts, "reactant").groupBy(*REACTION).agg(F.count("*").alias("_n")).where("_n >= 2").select(*REACTION)
     alone = alone.join(role(r.parts, "catalyst", *SIGNS).select(*REACTION), REACTION, "left_anti")
-    joined = carried(below(role(r.parts, "reactant").join(alone, REACTION, "left_semi"), r.closure), r.own).withColumnRenamed("entity_id", "via")
+    joined = held(role(r.parts, "reactant").join(alone, REACTION, "left_semi"), r.nodes).withColumnRenamed("entity_id", "via")
     made = role(r.parts, "product").select(*REACTION, F.lit("Entity").alias("label"), F.col("entity_id").alias("key"))
     return crossed(joined, made, "association")
 

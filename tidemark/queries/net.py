@@ -79,8 +79,8 @@ def net_closures(spark, sf_dir):
 
 @query(_BASE + "SELECT DISTINCT c.p AS pathway_id, seed, label, key FROM clo c JOIN own USING (id) JOIN parts ON c.p = parts.p AND seed = e")
 def net_carried(spark, sf_dir):
-    r = reactions(spark, sf_dir)
-    return net.carried(r.closure, r.own)
+    parts, members, identity, _ = tables(spark, sf_dir)
+    return net.carried(net.closures(members, parts), net.carriers(identity))
 
 
 @query(_BASE + f"SELECT {_SET}, label, key FROM don")
@@ -148,8 +148,8 @@ def net_derive_all(spark, sf_dir):
     LEFT JOIN (SELECT DISTINCT seed, key FROM clo JOIN own USING (id) SEMI JOIN parts ON clo.p = parts.p AND clo.seed = parts.e WHERE label = 'Gene') x ON x.seed = a.e LEFT JOIN (SELECT DISTINCT seed, key FROM clo JOIN own USING (id) SEMI JOIN parts ON clo.p = parts.p AND clo.seed = parts.e WHERE label = 'Gene') y ON y.seed = b.e)
     SELECT a, b FROM op WHERE a <> b""")
 def graph_gene_gene(spark, sf_dir):
-    r = reactions(spark, sf_dir)
-    react, made = net.role(r.parts, "reactant"), net.role(r.parts, "product")
+    parts, members, identity, _ = tables(spark, sf_dir)
+    react, made = net.role(parts, "reactant"), net.role(parts, "product")
     edges = react.select(*net.REACTION, F.col("entity_id").alias("src")).join(made.select(*net.REACTION, F.col("entity_id").alias("dst")), net.REACTION).select("src", "dst")
-    genes = net.carried(r.closure, r.own.where("label = 'Gene'")).select(F.col("seed").alias("assembly"), F.col("key").alias("gene")).distinct()
+    genes = net.carried(net.closures(members, parts), net.carriers(identity).where("label = 'Gene'")).select(F.col("seed").alias("assembly"), F.col("key").alias("gene")).distinct()
     return graph.gene_gene(edges, genes)
