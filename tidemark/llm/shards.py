@@ -59,12 +59,13 @@ def communication_matrix(counts: list[int], sizes: list[int], seed: int) -> list
     return out
 
 
-def shuffled_shards(df: DataFrame, identity: list[Column], shards: int, seed: int = 17, rows_per_block: int = 1_000_000, least_blocks: int = 1024) -> DataFrame:
+def shuffled_shards(df: DataFrame, identity: list[Column], shards: int, seed: int = 17, rows_per_block: int = 1_000_000, least_blocks: int = 1024, order: str | None = None) -> DataFrame:
     """df with shard (0 to shards-1; sizes differ by one at most) and slot (gapless from 0 within its shard).
 
     identity: columns that tell rows apart; they seed the permutations, so recomputed tasks agree. Rows equal in them are
     interchangeable; they are numbered and fall into different blocks. Nulls are values like any other; an empty table stays empty; columns of df keep their names, except
-    that earlier shard and slot columns are replaced. Blocks hold about rows_per_block rows at any table size.
+    that earlier shard and slot columns are replaced. order: a column of whole numbers from 0, spread evenly; slots then
+    follow it within each shard instead of a second permutation, nulls last. Blocks hold about rows_per_block rows at any table size.
     """
     df = df.drop("shard", "slot").withColumns({"_a": unit(*identity, seed=seed), "_b": unit(*identity, seed=seed + 1)})
     df = told_apart(df.withColumn("_equal", F.struct("_a", "_b")), "_equal").drop("_equal")
@@ -74,10 +75,10 @@ def shuffled_shards(df: DataFrame, identity: list[Column], shards: int, seed: in
     counts = {r["_block"]: r["n"] for r in df.groupBy("_block").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     sizes = [total // shards + (j < total % shards) for j in range(shards)]
-    order = sorted(counts)
-    matrix = communication_matrix([counts[b] for b in order], sizes, seed)
+    present = sorted(counts)
+    matrix = communication_matrix([counts[b] for b in present], sizes, seed)
     # One row a block, so its size is fixed by `blocks` and `shards`.
-    ends = [(b, [sum(row[: j + 1]) for j in range(shards)]) for b, row in zip(order, matrix, strict=True)]
+    ends = [(b, [sum(row[: j + 1]) for j in range(shards)]) for b, row in zip(present, matrix, strict=True)]
     ends = df.sparkSession.createDataFrame(ends, "_block long, _ends array<long>")
     local = F.row_number().over(Window.partitionBy("_block").orderBy("_b", "_a")) - 1
     dealt = (
@@ -88,7 +89,13 @@ def shuffled_shards(df: DataFrame, identity: list[Column], shards: int, seed: in
     )
     # The second permutation: shards are cut into chunks by another hash, so that no task holds a whole shard.
     chunks = max(64, -(-total // (shards * rows_per_block)))
-    dealt = written(dealt.withColumn("_c", unit("_b", seed=seed + 2)).withColumn("_chunk", F.pmod("_c", F.lit(chunks))), "dealt")
+    if order is None:
+        dealt = dealt.withColumn("_c", unit("_b", seed=seed + 2)).withColumn("_chunk", F.pmod("_c", F.lit(chunks)))
+    else:  # ranges of the order take the place of chunks by a hash
+        last = df.agg(F.max(order)).first()[0] or 0
+        dealt = dealt.withColumn("_c", F.coalesce(F.col(order), F.lit(last + 1)).cast("long"))
+        dealt = dealt.withColumn("_chunk", F.floor(F.col("_c") / (last // chunks + 1)).cast("long"))
+    dealt = written(dealt, "dealt")
     starts = dealt.groupBy("shard", "_chunk").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("shard").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = starts.select("shard", "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
@@ -101,13 +108,16 @@ def shuffled_shards(df: DataFrame, identity: list[Column], shards: int, seed: in
     )
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, size (UTF-8 bytes of the text plus 8; null text: 8) and text_crc32 (null text: that of no bytes, 0)."""
+def sized(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, size (UTF-8 bytes of the text plus 8; null text: 8), text_crc32 (null text: that of no bytes, 0) and the columns in more."""
     text = F.coalesce("text", F.lit("")).cast("binary")
-    return docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    return docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), *more)
 
 
-def document_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
-    """doc_id, size, text_crc32, law ('rows'), shard, slot, grown_shard (null: only for law 'key') of every row of docs."""
-    rows = shuffled_shards(sized(docs), [F.col("doc_id"), F.col("text_crc32"), F.col("size")], shards)
+def document_shards(docs: DataFrame, shards: int = 24, order: str | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, law ('rows'), shard, slot, grown_shard (null: only for law 'key') of every row of docs.
+
+    order: a column that the slots of each shard follow, see shuffled_shards.
+    """
+    rows = shuffled_shards(sized(docs, *([order] if order else [])), [F.col("doc_id"), F.col("text_crc32"), F.col("size")], shards, order=order)
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
