@@ -27,7 +27,8 @@ PREFETCH, RRF_K = 200, 60
 def light_stem(term: Column) -> Column:
     """English plurals made singular: -ies to -y, -es to -e, -s off; not after the letters that make no plural."""
     return (
-        F.when(F.rlike(term, F.lit("[^ea]ies$")), F.regexp_replace(term, "ies$", "y"))
+        F.when(~F.endswith(term, F.lit("s")), term)  # most words: without a look at the patterns
+        .when(F.rlike(term, F.lit("[^ea]ies$")), F.regexp_replace(term, "ies$", "y"))
         .when(F.rlike(term, F.lit("[^aeo]es$")), F.regexp_replace(term, "es$", "e"))
         .when(F.rlike(term, F.lit("[^us]s$")), F.regexp_replace(term, "s$", ""))
         .otherwise(term)
